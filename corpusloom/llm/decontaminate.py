@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
@@ -142,11 +142,9 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS, carry: list[str] | None = None) -> DataFrame:
-    """One row per document: ``carry`` columns (doc_id), n_words, n_hit, item_ids (sorted as strings), contaminated."""
-    carry = carry or ["doc_id"]
+def scan_documents(docs: DataFrame, known: DataFrame, carry: list[str], window: int, gram: int, block_windows: int) -> DataFrame:
+    """carry columns, n_words, n_hit, hashes (of the windows that occur) and _row of each document; known: benchmark_windows."""
     spark = docs.sparkSession
-    known = benchmark_windows(bench, window, gram).distinct().persist()
     distinct = known.groupBy("window_hash", "length").agg(F.flatten(F.collect_set("prints")).alias("prints"))
     blocks = max(1, -(-known.count() // block_windows))
     found: DataFrame | None = None
@@ -184,12 +182,33 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram:
         step = lambda a, x: F.struct(F.greatest(a["end"], (x["s"] + x["n"]).cast("long")).alias("end"), (a["total"] + F.greatest(F.lit(0).cast("long"), (x["s"] + x["n"]).cast("long") - F.greatest(a["end"], x["s"].cast("long")))).alias("total"))
         merged = found.groupBy("_row", *carry).agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("hashes"))
         found = merged.withColumn("n_hit", F.aggregate("spans", zero, step, lambda a: a["total"]))
+    return found
+
+
+def is_contaminated() -> Column:
+    """At least a twentieth of the words is hit."""
+    return (F.col("n_hit") > 0) & (F.lit(20) * F.col("n_hit") >= F.col("n_words"))
+
+
+def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, item_ids (sorted as strings), contaminated."""
+    carry = ["doc_id"]
+    known = benchmark_windows(bench, window, gram).distinct().persist()
+    found = scan_documents(docs, known, carry, window, gram, block_windows)
     hit = found.filter(F.size("hashes") > 0)
     clean = found.filter(F.size("hashes") == 0).withColumn("item_ids", F.array().cast("array<string>"))
     pairs = hit.select("_row", *carry, "n_words", "n_hit", F.explode("hashes").alias("window_hash")).join(known.select("window_hash", "item_id"), "window_hash")
     named = pairs.groupBy("_row", *carry, "n_words", "n_hit").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     both = clean.select(*carry, "n_words", "n_hit", "item_ids").unionByName(named.select(*carry, "n_words", "n_hit", "item_ids"))
-    return both.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(20) * F.col("n_hit") >= F.col("n_words")))
+    return both.withColumn("contaminated", is_contaminated())
+
+
+def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The documents that are not contaminated; columns as given."""
+    known = benchmark_windows(bench, window, gram).distinct().persist()
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], F.col("text").cast("string").alias("text"))
+    kept = scan_documents(plain, known, plain.columns[:-1], window, gram, block_windows).filter(~is_contaminated())
+    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

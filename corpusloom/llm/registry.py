@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, mixing, quality, sharding, toxicity, urlfilter, warc
+from corpusloom.llm import ann, decontaminate, mixing, neardup, quality, repeats, sharding, toxicity, urlfilter, warc
 
-MODULES = (urlfilter, quality, sharding, toxicity, warc, mixing, decontaminate)
+MODULES = (urlfilter, quality, neardup, repeats, ann, sharding, toxicity, warc, mixing, decontaminate)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
