@@ -1,3 +1,7 @@
-QUERIES = {}
-ORACLES = {}
-FLAGSHIP = None
+"""The registered queries on the library's operators, with their oracle SQL."""
+
+from corpusloom.plans import addresses, metrics, sequences, streams, texts
+from corpusloom.plans.base import ORACLES, QUERIES
+
+FLAGSHIP = QUERIES["gat2_run_gate"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "addresses", "metrics", "sequences", "streams", "texts"]
