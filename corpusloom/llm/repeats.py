@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +109,8 @@ def _bytes(value: pa.Scalar) -> bytes:
 
 
 def anchor_rows(docs: DataFrame, length: int, gram: int, firsts: bool) -> DataFrame:
-    """What the map side knows: the first place of each (anchor, context) in a task, or else the repeats of it, as (key, place)."""
+    """What the map side knows: the first place of each (anchor, context) in a task, or else the byte ranges of the others, joined."""
+    reach = length - gram
 
     def settle(buffer: list[tuple]) -> pa.RecordBatch:
         h, c, k, p = (np.concatenate(x) for x in zip(*buffer))
@@ -118,7 +120,13 @@ def anchor_rows(docs: DataFrame, length: int, gram: int, firsts: bool) -> DataFr
         new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
         if firsts:
             return pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int64)), pa.array(k[new]), pa.array(p[new])], names=["anchor", "context", "key", "place"])
-        return pa.RecordBatch.from_arrays([pa.array(k[~new]), pa.array(p[~new])], names=["key", "place"])
+        k, p = k[~new], p[~new]
+        order = np.lexsort((p, k))
+        k, p = k[order], p[order]
+        apart = np.ones(len(k), bool)
+        apart[1:] = (k[1:] != k[:-1]) | (p[1:] - reach > p[:-1] + length)
+        last = np.append(np.flatnonzero(apart)[1:] - 1, len(k) - 1)[: apart.sum()]
+        return pa.RecordBatch.from_arrays([pa.array(k[apart]), pa.array(np.maximum(p[apart] - reach, 0)), pa.array(p[last] + length)], names=["key", "start", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer, size = [], 0
@@ -136,7 +144,7 @@ def anchor_rows(docs: DataFrame, length: int, gram: int, firsts: bool) -> DataFr
         if buffer:
             yield settle(buffer)
 
-    schema = "anchor long, context long, key long, place long" if firsts else "key long, place long"
+    schema = "anchor long, context long, key long, place long" if firsts else "key long, start long, stop long"
     return docs.select("key", "text").mapInArrow(run, schema)
 
 
@@ -231,12 +239,12 @@ def narrower(large: DataFrame, length: int, part: int) -> DataFrame:
     return large.mapInArrow(run, "core long, key long, start long, lead int, bytes binary")
 
 
-def maximal_repeats(strings: list[bytes], where: list[tuple[int, int]], length: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
+def maximal_repeats(strings: list[bytes], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """Common-prefix intervals of the suffixes that are at least ``length`` long.
 
-    Each is (prefix length, occurrences (string, offset, place in order)); intervals
-    whose occurrences all have the same byte to the left are left out, as a
-    longer interval with the same occurrences covers them.
+    Each is (prefix length, occurrences (string, offset)).  Intervals whose
+    occurrences all have the same byte to the left are left out, as a longer
+    interval with the same occurrences covers them.
     """
     suffixes = sorted((s[i:], n, i) for n, s in enumerate(strings) for i in range(len(s) - length + 1))
     lcp = [0] * (len(suffixes) + 1)
@@ -248,28 +256,49 @@ def maximal_repeats(strings: list[bytes], where: list[tuple[int, int]], length:
             while k < m and x[k] == y[k]:
                 k += 1
             lcp[i] = k
-    found = []
     stack: list[tuple[int, int]] = []  # (prefix length, left end) of the open intervals
     for i in range(1, len(suffixes) + 1):
         left = i - 1
         while stack and stack[-1][0] > lcp[i]:
             depth, left = stack.pop()
-            members = [(n, o, i_) for i_, (_, n, o) in enumerate(suffixes[left:i])]
-            before = {strings[n][o - 1] if o else (-1 - n) for n, o, _ in members}
-            if len(before) > 1:
-                found.append((depth, members))
+            members = [(n, o) for _, n, o in suffixes[left:i]]
+            if len({strings[n][o - 1] if o else -1 - n for n, o in members}) > 1:
+                yield depth, members
         if lcp[i] >= length and (not stack or stack[-1][0] < lcp[i]):
             stack.append((lcp[i], left))
-    return found
 
 
-def mark_group(strings: list[bytes], where: list[tuple[int, int]], length: int) -> list[tuple[int, int, int]]:
-    """(key, start, end) of the repeats in one group; where: (key, start) of each string."""
-    marks: set[tuple[int, int, int]] = set()
-    for depth, members in maximal_repeats(strings, where, length):
-        spots = sorted((where[n][0], where[n][1] + o) for n, o, _ in members)
-        marks.update((k, p, p + depth) for k, p in spots[1:] if (k, p) != spots[0])
-    return list(marks)
+def mark_group(rows: list[tuple], length: int) -> list[tuple[int, int, int]]:
+    """(key, start, stop) of the repeats in one group; rows: (key, start, lead, bytes) in order of (key, start).
+
+    Rows with equal bytes are settled at once; suffixes are sorted for the earliest of each only.
+    """
+    first: dict[tuple[int, bytes], tuple[int, int]] = {}
+    marks: list[tuple[int, int, int]] = []
+    for key, start, lead, raw in rows:
+        if first.setdefault((lead, raw), (key, start)) != (key, start):
+            marks.append((key, start, start + len(raw)))
+    if len(first) < 2:
+        return marks
+    strings, where = [raw for _, raw in first], list(first.values())
+    spans: dict[int, list[tuple[int, int]]] = {}
+    for depth, members in maximal_repeats(strings, length):
+        spots = [(where[n][0], where[n][1] + o) for n, o in members]
+        lowest = min(spots)
+        for spot, (n, o) in zip(spots, members):
+            if spot != lowest:
+                spans.setdefault(n, []).append((o, o + depth))
+    for n, found in spans.items():
+        key, start = where[n]
+        found.sort()
+        lo, hi = found[0]
+        for s, e in found[1:]:
+            if s > hi:
+                marks.append((key, start + lo, start + hi))
+                lo, hi = s, e
+            hi = max(hi, e)
+        marks.append((key, start + lo, start + hi))
+    return marks
 
 
 def scan_groups(parts: DataFrame, length: int, single: bool, group_rows: int) -> DataFrame:
@@ -288,8 +317,7 @@ def scan_groups(parts: DataFrame, length: int, single: bool, group_rows: int) ->
 
         def close() -> None:
             if len(held) > 1 and not large:
-                strings, where = [h[3] for h in held], [(h[0], h[1]) for h in held]
-                out.extend((k, s, e, None, None, None) for k, s, e in mark_group(strings, where, length))
+                out.extend((k, s, e, None, None, None) for k, s, e in mark_group(held, length))
 
         for b in batches:
             for c, k, s, lead, raw in zip(*(b.column(n).to_pylist() for n in ("core", "key", "start", "lead", "bytes"))):
@@ -322,9 +350,8 @@ def find_marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_ro
     """(key, start, stop): byte ranges of ``docs`` (key, text) made of strings that start earlier; they may overlap."""
     settled = materialize(settle_contexts(anchor_rows(docs, length, gram, True)), "settled")
     local = anchor_rows(docs, length, gram, False)
-    repeats = settled.filter("kind = 1").select("key", "place").union(local)
-    reach = length - gram
-    marks = repeats.select("key", F.greatest(F.lit(0).cast("long"), F.col("place") - reach).alias("start"), (F.col("place") + length).alias("stop"))
+    start = F.greatest(F.lit(0).cast("long"), F.col("place") - (length - gram))
+    marks = settled.filter("kind = 1").select("key", start.alias("start"), (F.col("place") + length).alias("stop")).union(local)
     parts = cut_parts(settled.filter("kind = 2").select("key", "place").distinct(), docs, length, gram, PART)
     for part in (PART // 4, 1, 0):
         scanned = materialize(scan_groups(parts, length, part == 0, group_rows), "groups")
@@ -336,36 +363,44 @@ def find_marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_ro
     return marks
 
 
-def remove(docs: DataFrame, marks: DataFrame, carry: list[str]) -> DataFrame:
-    """carry columns, n_bytes, n_removed, n_spans, kept (binary): every document without its marked bytes."""
+def remove(docs: DataFrame, marks: DataFrame, carry: list[str], digest: bool = False) -> DataFrame:
+    """carry columns, n_bytes, n_removed, n_spans, kept (binary, or its SHA-256 in hex): every document without its marked bytes."""
+
+    def cut(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int]:
+        if not len(starts):
+            return text, 0, 0
+        order = np.argsort(starts, kind="stable")
+        s, e = starts[order], np.maximum.accumulate(np.minimum(stops[order], len(text)))
+        apart = np.ones(len(s), bool)
+        apart[1:] = s[1:] > e[:-1]
+        lo = s[apart]
+        hi = e[np.append(np.flatnonzero(apart)[1:] - 1, len(s) - 1)]
+        kept, end = [], 0
+        for a, z in zip(lo.tolist(), hi.tolist()):
+            kept.append(text[end:a])
+            end = z
+        kept.append(text[end:])
+        return b"".join(kept), int((hi - lo).sum()), len(lo)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, gone, spans, kept = [], [], [], []
-            for t, found in zip(b.column("text"), b.column("found").to_pylist()):
+            found = b.column("found")
+            ends = np.append(0, np.cumsum(np.array(pc.fill_null(pc.list_value_length(found), 0), np.int64)))
+            flat = found.flatten()
+            starts, stops = np.array(flat.field("start"), np.int64), np.array(flat.field("stop"), np.int64)
+            rows = []
+            for i, t in enumerate(b.column("text")):
                 text = _bytes(t)
-                pieces, end, removed, runs = [], 0, 0, 0
-                opened = False
-                for m in sorted((m["start"], m["stop"]) for m in found or ()):
-                    s, e = m[0], min(m[1], len(text))
-                    if e <= s or opened and e <= end:
-                        continue
-                    if not opened or s > end:
-                        pieces.append(text[end:s])
-                        runs += 1
-                        removed += e - s
-                    else:
-                        removed += e - end
-                    end, opened = e, True
-                pieces.append(text[end:])
-                n.append(len(text)), gone.append(removed), spans.append(runs), kept.append(b"".join(pieces))
+                kept, removed, spans = cut(text, starts[ends[i] : ends[i + 1]], stops[ends[i] : ends[i + 1]])
+                rows.append((len(text), removed, spans, hashlib.sha256(kept).hexdigest() if digest else kept))
+            n, gone, spans, kept = zip(*rows) if rows else ((),) * 4
             cols = [b.column(c) for c in carry]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*carry, "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string() if digest else pa.binary())], names=[*carry, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    by_doc = marks.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("found"))  # bounded by the document
+    by_doc = marks.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("found"))  # bounded by the document
     joined = docs.select("key", "text", *carry).join(by_doc, "key", "left").select(*carry, "text", "found")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
-    return joined.mapInArrow(run, f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(run, f"{fields}, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -381,15 +416,15 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, rows.dropDuplicates(["key"])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (binary) of each document."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS, digest: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary, or its SHA-256 in hex) of each document."""
     rows, documents = keyed(docs)
-    return remove(rows, find_marks(documents.select("key", "text"), length, gram, group_rows), ["doc_id"])
+    return remove(rows, find_marks(documents.select("key", "text"), length, gram, group_rows), ["doc_id"], digest)
 
 
 def op4_suffix_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    out = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
 
 
 QUERIES = {"op4_suffix_interval_repeats": op4_suffix_interval_repeats}
