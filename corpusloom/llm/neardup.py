@@ -7,11 +7,12 @@ DEPTH minimum hashes; a tree orders the classes by its own sequence of them.
 1. Regions of a tree are runs with DEPTH equal leading hashes; inside a region
    the order goes on with further hashes (as deep as the region is crowded), and
    neighbours in it are the longest common prefixes: first candidates.  Of
-   these each class has its best-looking partner confirmed on the full sets.
+   these each class has its FIRST_TRIES best-looking partners confirmed on the full sets.
 2. In regions that the confirmed links leave in several components, every
-   class outside the region's largest component is compared with all classes of
-   other components by signature; pairs that may reach the threshold are
-   confirmed too.  So crowded regions lose nothing to their crowd.
+   class outside the region's largest component is compared on the full sets with
+   all classes of other components, in blocks of bounded size, and reports one
+   link to each component it reaches.  So crowded regions lose nothing to their
+   crowd, and no table of pairs is made.
 
 Components of the confirmed links are found by joins.  Nothing is capped; a
 pair of exactly the threshold misses all TREES regions with probability
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import materialize, table
@@ -41,6 +42,8 @@ from corpusloom.llm.components import components
 TREES = 32
 DEPTH = 5
 HASHES = TREES * DEPTH
+FIRST_TRIES = 2
+BLOCK_ROWS = 8192
 SLACK = 0.12  # signatures of HASHES values are off by more than this in 1 of 7000 cases
 MASK = (1 << 64) - 1
 _rng = np.random.RandomState(97)
@@ -170,44 +173,66 @@ def estimates(pairs: DataFrame, small: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, guess double")
 
 
-def divided_regions(members: DataFrame, labels: DataFrame, small: DataFrame, floor: float) -> DataFrame:
-    """(a, b): pairs of different components that share a region and whose signatures allow the threshold."""
+def divided_regions(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b): links between components that share a region, confirmed on the full sets where the region is.
+
+    All members outside a region's largest component are queries against the
+    whole region, in blocks of ``block`` members; a query reports one link to
+    each other component, which is all that components need.
+    """
     known = members.select("region", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     known = known.withColumn("component", F.coalesce("component", "cid"))
-    split = known.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("region")
-    rows = known.join(split, "region", "left_semi").join(small, "cid").select("region", "component", "cid", "low")
-
-    def pairs_of(cids: np.ndarray, comps: np.ndarray, lows: np.ndarray) -> pa.RecordBatch:
-        names, sizes = np.unique(comps, return_counts=True)
-        largest = names[sizes.argmax()]
-        out_a, out_b = [], []
-        for i in np.flatnonzero(comps != largest):
-            other = comps != comps[i]
-            other &= (comps == largest) | (cids > cids[i])
-            j = np.flatnonzero(other)
-            j = j[(lows[j] == lows[i]).mean(axis=1) >= floor]
-            out_a += np.minimum(cids[i], cids[j]).tolist()
-            out_b += np.maximum(cids[i], cids[j]).tolist()
-        return pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+    counts = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    split = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    split = split.select("region", F.col("m.component").alias("largest"), F.ceil(F.col("rows") / F.lit(block)).cast("int").alias("blocks"))
+    placed = known.join(split, "region").withColumn("asks", F.col("component") != F.col("largest"))
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    spread = placed.withColumn("own", own).withColumn("block", F.explode(F.when(F.col("asks"), every).otherwise(F.array("own"))))
+    spread = spread.withColumn("held", F.col("own") == F.col("block"))
+    rows = spread.select("region", "block", "component", "cid", "asks", "held").join(sets, "cid")
+
+    def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
+        held = [r for r in rows if r[3]]
+        sets = [np.frombuffer(r[4], np.uint64) for r in held]
+        sizes = np.array([len(x) for x in sets])
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        comps, cids = np.array([r[0] for r in held]), np.array([r[1] for r in held])
+        out = []
+        for comp, cid, asks, _, raw in rows:
+            if not asks:
+                continue
+            s = np.frombuffer(raw, np.uint64)
+            lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
+            n = hi - lo
+            spots = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())  # the postings of every shingle of s
+            both = np.bincount(owner[spots], minlength=len(held))
+            good = np.flatnonzero((100 * both >= percent * (sizes + len(s) - both)) & (comps != comp))
+            _, one = np.unique(comps[good], return_index=True)
+            out += [(min(cid, int(cids[g])), max(cid, int(cids[g]))) for g in good[one]]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, held = None, []  # rows of the region being read
+        def batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*links) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        at, group = None, []
         for b in batches:
-            r, comp, cid = (b.column(k).to_numpy() for k in ("region", "component", "cid"))
-            if not len(r):
-                continue
-            low = np.frombuffer(b"".join(_bytes(v) for v in b.column("low")), np.uint8).reshape(len(r), -1)
-            cuts = np.concatenate([[0], np.flatnonzero(r[1:] != r[:-1]) + 1, [len(r)]])
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                if held and region != r[s]:
-                    yield pairs_of(*(np.concatenate(x) for x in zip(*held)))
-                    held = []
-                region = r[s]
-                held.append((cid[s:e], comp[s:e], low[s:e]))
-        if held:
-            yield pairs_of(*(np.concatenate(x) for x in zip(*held)))
+            names = ("region", "block", "component", "cid", "asks", "held")
+            for region, block, *row, raw in zip(*(b.column(n).to_pylist() for n in (*names, "shingles"))):
+                if (region, block) != at:
+                    if group:
+                        yield batch(links_of(group))
+                    at, group = (region, block), []
+                group.append((*row, raw))
+        if group:
+            yield batch(links_of(group))
 
-    return rows.repartition("region").sortWithinPartitions("region", "cid").mapInArrow(run, "a long, b long").distinct()
+    ordered = rows.repartition("region", "block").sortWithinPartitions("region", "block")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -261,16 +286,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = members.filter("near is not null").select(F.least("cid", "near").alias("a"), F.greatest("cid", "near").alias("b")).distinct()
     guessed = materialize(estimates(first, small).filter(F.col("guess") >= floor), "guess")
     both = guessed.select("a", "b", "guess").union(guessed.select("b", "a", "guess"))
-    best = both.groupBy("a").agg(F.max(F.struct("guess", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    tries = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "try")
-    ends = tries.select(F.col("a").alias("cid")).union(tries.select(F.col("b").alias("cid"))).distinct()
-    sets = materialize(shingle_sets(docs, classes.join(ends, "cid", "left_semi"), width), "sets")
+    best = both.withColumn("k", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("guess"), "b"))).filter(F.col("k") <= FIRST_TRIES)
+    tries = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sets = materialize(shingle_sets(docs, classes.join(crowd, "cid", "left_semi"), width), "sets")
     links = materialize(confirm(tries, sets, percent), "links")
-
-    more = materialize(divided_regions(members, components(links), small, floor).join(tries, ["a", "b"], "left_anti"), "more")
-    ends = more.select(F.col("a").alias("cid")).union(more.select(F.col("b").alias("cid"))).distinct().join(sets, "cid", "left_anti")
-    late = materialize(shingle_sets(docs, classes.join(ends, "cid", "left_semi"), width), "sets")
-    links = links.union(confirm(more, sets.union(late), percent))
+    links = links.union(divided_regions(members, components(links), sets, percent))
 
     label = components(materialize(links, "links"))
     named = classes.select("digest", "first_id", "cid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
