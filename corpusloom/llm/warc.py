@@ -5,7 +5,7 @@ least ``min_revisit`` bytes the largest page_id is a response and the others
 revisit it.  Spark's text writer puts the records into files, with the
 record terminator as line separator.
 
-Reading: tasks look for the record magic in every archive file and emit a
+Reading: tasks look for the record magic in every (unpacked) archive file and emit a
 candidate (offset, offset of its successor by Content-Length).  The magic may
 also occur inside a payload, so candidates prove nothing by themselves:
 pointer jumping from offset 0 doubles the known chain each round, and only
@@ -19,6 +19,7 @@ the largest id; a file that ends inside a record loses that record only.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -78,9 +79,9 @@ def records(pages: DataFrame, min_revisit: int = 1000, date: str = "2024-01-01T0
 
 
 def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, **options) -> None:
-    """Write the pages as WARC files of at most ``records_per_file`` records."""
+    """Write the pages as gzipped WARC files of at most ``records_per_file`` records."""
     out = records(pages, **options).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file)
-    out.text(path)
+    out.option("compression", "gzip").text(path)
 
 
 def scan_candidates(content: bytes) -> Iterator[tuple]:
@@ -119,6 +120,8 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 file, content = b.column(0)[i].as_py(), b.column(1)[i].as_buffer().to_pybytes()
+                if content[:2] == b"\x1f\x8b":
+                    content = gzip.decompress(content)
                 got = [(file, *c[:2], len(content), *c[2:]) for c in scan_candidates(content)]
                 cols = list(zip(*got)) if got else [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
@@ -133,22 +136,22 @@ def reachable(links: DataFrame) -> DataFrame:
     known = materialize(links.filter("start = 0").select("file", "start"), "reach")
     count = known.count()
     while True:
-        step = known.join(jump, ["file", "start"]).select("file", F.col("succ").alias("start"))
-        step = step.join(links.select("file", "start"), ["file", "start"], "left_semi")
+        step = known.join(jump.hint("merge"), ["file", "start"]).select("file", F.col("succ").alias("start"))
+        step = step.join(links.select("file", "start").hint("merge"), ["file", "start"], "left_semi")
         known = materialize(known.union(step).distinct(), "reach")
         new = known.count()
         if new == count:
             return known
         count = new
         second = jump.select("file", F.col("start").alias("succ"), F.col("succ").alias("_to"))
-        jump = materialize(jump.join(second, ["file", "succ"]).select("file", "start", F.col("_to").alias("succ")), "jump")
+        jump = materialize(jump.join(second.hint("merge"), ["file", "succ"]).select("file", "start", F.col("_to").alias("succ")), "jump")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of the archives under ``path``: page_id, url, record_type, refers_to, payload_bytes, payload_digest, digest_ok."""
     found = materialize(candidates(spark, path), "warc-cand")
     chain = reachable(found.select("file", "start", "succ"))
-    return found.join(chain, ["file", "start"], "left_semi").drop("file", "start", "succ", "file_end")
+    return found.join(chain.hint("merge"), ["file", "start"], "left_semi").drop("file", "start", "succ", "file_end")
 
 
 def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
