@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import table
+from corpusloom.llm.common import materialize, table
 
 WINDOW = 13
 GRAM = 5
@@ -70,14 +70,22 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
+def _sliding(values: np.ndarray, w: int, pick) -> np.ndarray:
+    size, out = 1, values
+    while size * 2 <= w:
+        out = pick(out[:-size], out[size:])
+        size *= 2
+    return pick(out[: len(out) - (w - size)], out[w - size :]) if w > size else out
+
+
 def winnow(grams: np.ndarray, w: int) -> np.ndarray:
-    """Positions of the smallest gram of each window of w grams (the leftmost of equals), each once."""
+    """Positions of the grams that are smallest in some window of w grams (all equals of them)."""
     if not len(grams):
         return np.empty(0, np.int64)
-    if len(grams) <= w:
-        return np.array([int(np.argmin(grams))])
-    view = np.lib.stride_tricks.sliding_window_view(grams, w)
-    return np.unique(np.arange(len(view)) + view.argmin(axis=1))
+    w = min(w, len(grams))
+    edge = np.zeros(w - 1, np.uint64)
+    lows = np.concatenate([edge, _sliding(grams, w, np.minimum), edge])
+    return np.flatnonzero(_sliding(lows, w, np.maximum) == grams)
 
 
 def benchmark_windows(bench: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -194,7 +202,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram:
     """One row per document: doc_id, n_words, n_hit, item_ids (sorted as strings), contaminated."""
     carry = ["doc_id"]
     known = benchmark_windows(bench, window, gram).distinct().persist()
-    found = scan_documents(docs, known, carry, window, gram, block_windows)
+    found = materialize(scan_documents(docs, known, carry, window, gram, block_windows), "hits")  # narrow; read twice below
     hit = found.filter(F.size("hashes") > 0)
     clean = found.filter(F.size("hashes") == 0).withColumn("item_ids", F.array().cast("array<string>"))
     pairs = hit.select("_row", *carry, "n_words", "n_hit", F.explode("hashes").alias("window_hash")).join(known.select("window_hash", "item_id"), "window_hash")
