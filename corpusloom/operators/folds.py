@@ -13,34 +13,68 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BooleanType, DataType, LongType, StructType
 
 #: Decides before (rows in the unit, cost of the unit, cost of the row, number of the unit): 'add', 'new' (start a unit) or 'last' (add, then close).
 Rule = Callable[[int, float, float, int], str]
 
 
-def fold_units(df: DataFrame, keys: list[str], order: list[Column], cost: str, rule: Rule, name: str = "unit") -> DataFrame:
-    """``df`` with the 0-based number of each row's unit inside its key."""
+def fold_rows(df: DataFrame, keys: list[str], order: list[Column], columns: list[str], step: Callable, name: str, kind: DataType) -> DataFrame:
+    """``df`` with ``name``: step(state, *values of columns) gives the next state and the row's value; the state is None at a key's first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, unit, count, total, closed = object(), 0, 0, 0, False
+        key, state, at = object(), None, len(keys)
         for b in batches:
-            units = []
-            for *k, c in zip(*(b.column(x).to_pylist() for x in (*keys, cost))):
-                if k != key:
-                    key, unit, count, total, closed = k, 0, 0, 0, False
-                if closed:
-                    unit, count, total, closed = unit + 1, 0, 0, False
-                what = rule(count, total, c, unit)
-                if what == "new" and count:
-                    unit, count, total = unit + 1, 0, 0
-                count, total = count + 1, total + c
-                closed = what == "last"
-                units.append(unit)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(units, pa.int64())], names=[*b.schema.names, name])
-
+            out = []
+            for row in zip(*(b.column(x).to_pylist() for x in (*keys, *columns))):
+                if row[:at] != key:
+                    key, state = row[:at], None
+                state, value = step(state, *row[at:])
+                out.append(value)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, arrow_kind)], names=[*b.schema.names, name])
+
+    arrow_kind = to_arrow_type(kind)
     ordered = df.drop(name).repartition(*keys).sortWithinPartitions(*keys, *order)
-    return ordered.mapInArrow(run, StructType(ordered.schema.fields[:]).add(name, LongType()))
+    return ordered.mapInArrow(run, StructType(ordered.schema.fields[:]).add(name, kind))
+
+
+def fold_units(df: DataFrame, keys: list[str], order: list[Column], cost: str, rule: Rule, name: str = "unit") -> DataFrame:
+    """``df`` with the 0-based number of each row's unit inside its key."""
+
+    def step(state: tuple | None, c: float) -> tuple[tuple, int]:
+        unit, count, total, closed = state or (0, 0, 0, False)
+        if closed:
+            unit, count, total = unit + 1, 0, 0
+        what = rule(count, total, c, unit)
+        if what == "new" and count:
+            unit, count, total = unit + 1, 0, 0
+        return (unit, count + 1, total + c, what == "last"), unit
+
+    return fold_rows(df, keys, order, [cost], step, name, LongType())
+
+
+def chapter_points(df: DataFrame, keys: list[str], part: str, order: list[Column], start: str, end: str, every: float = 600, apart: float = 10, least: int = 3, shortest: float = 30) -> DataFrame:
+    """The rows of an output (keys) at which a chapter starts, in order of their start.
+
+    Candidates are the first row, rows whose ``part`` is not the one before,
+    and the first row at or past each target, which is ``every`` after the last
+    target's row; one that follows the last kept within ``apart`` is dropped.
+    Outputs with fewer than ``least`` points, or shorter than ``shortest``, have none.
+    """
+
+    def step(state: tuple | None, p: object, s: float) -> tuple[tuple, bool]:
+        if state is None:
+            return (p, s + every, s), True
+        before, target, kept = state
+        due = p != before or s >= target
+        keep = due and s - kept >= apart
+        return (p, s + every if s >= target else target, s if keep else kept), keep
+
+    marked = fold_rows(df, keys, order, [part, start], step, "_point", BooleanType())
+    per = marked.groupBy(*keys).agg(F.count_if("_point").alias("_n"), F.min(start).alias("_a"), F.max_by(end, F.struct(*order)).alias("_b"))
+    good = per.filter((F.col("_n") >= least) & (F.col("_b") - F.col("_a") >= shortest)).select(*keys)
+    return marked.filter("_point").drop("_point").join(good, keys, "left_semi")
 
 
 def greedy(max_items: int, max_cost: float, separator: float = 0) -> Rule:

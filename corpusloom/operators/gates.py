@@ -43,7 +43,7 @@ def term_issues(texts: DataFrame, key: str, text: str, terms: list[str]) -> Data
 
 
 def elliptical(text: Column, ground: Column, mark: str = r"\.\.\.") -> Column:
-    """Whether the parts of a ground, parted by dots, stand in a text in their order, case and typographic quotes aside."""
+    """Whether the parts of a ground, parted by dots, stand in a text in their order, case and typographic quotes aside; null or blank grounds nothing."""
     fold = lambda c: F.translate(F.lower(c), "‘’“”", "''\"\"")
     parts, whole = F.split(fold(ground), mark), fold(text)
 
@@ -52,7 +52,7 @@ def elliptical(text: Column, ground: Column, mark: str = r"\.\.\.") -> Column:
         return F.when((at == 0) | (F.length(part) == 0), at).when(found > 0, found + F.length(part)).otherwise(0)
 
     some = F.exists(parts, lambda p: F.length(F.trim(p)) > 0)
-    return some & (F.aggregate(parts, F.lit(1), step) > 0)
+    return F.coalesce(some & (F.aggregate(parts, F.lit(1), step) > 0), F.lit(False))
 
 
 def remediation_issues(targets: DataFrame, decisions: DataFrame, key: str) -> DataFrame:

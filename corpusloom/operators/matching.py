@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from difflib import SequenceMatcher
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructType
 
 
 def interval_overlap(left: DataFrame, right: DataFrame, keys: list[str], width: int) -> DataFrame:
@@ -62,3 +67,31 @@ def glossary(terms: DataFrame, term: str, ref: str, first: int = 12) -> DataFram
     few = pairs.withColumn("_k", F.row_number().over(place)).filter(F.col("_k") <= first).groupBy(term).agg(F.sort_array(F.collect_list(ref)).alias("_r"))
     shown = F.concat(F.array_join(F.col("_r").cast("array<string>"), ", "), F.when(F.col("refs") > first, ", ...").otherwise(""))
     return totals.join(few, term).select(term, "uses", "refs", shown.alias("first_refs"))
+
+
+def token_match(df: DataFrame, key: str, expected: str, observed: str, near: float = 0.60) -> DataFrame:
+    """(key, expected_index, observed_index, exact) of two word lists: longest equal blocks first, then, between
+    blocks, runs of equal length whose words are alike pairwise (ratio of ``near`` or more).
+
+    A row is one unit: its lists are aligned in memory, so units are packed
+    first.  Null lists match nothing.
+    """
+    kind = df.schema[key].dataType
+
+    def align(a: list[str], b: list[str]) -> Iterator[tuple[int, int, bool]]:
+        for tag, i, i_end, j, j_end in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+            if tag == "equal" or tag == "replace" and i_end - i == j_end - j:
+                for x, y in zip(range(i, i_end), range(j, j_end)):
+                    if tag == "equal" or SequenceMatcher(None, a[x], b[y], autojunk=False).ratio() >= near:
+                        yield x, y, tag == "equal"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, x, y in zip(*(b.column(i) for i in range(3))):
+                found = list(align(x.as_py() or [], y.as_py() or []))
+                columns = zip(*found) if found else ([], [], [])
+                kinds = (pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(found), b.schema[0].type), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=[key, "expected_index", "observed_index", "exact"])
+
+    schema = StructType().add(key, kind).add("expected_index", LongType()).add("observed_index", LongType()).add("exact", BooleanType())
+    return df.select(key, expected, observed).mapInArrow(run, schema)

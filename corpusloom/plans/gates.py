@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import contracts as C
 from corpusloom.operators import folds
 from corpusloom.operators import gates as G
+from corpusloom.operators import matching as M
 from corpusloom.operators import resolve as V
 from corpusloom.operators import rules as R
 from corpusloom.plans.base import ITEMS, items, query
@@ -83,7 +84,7 @@ def remediation_targets(read):
     return G.remediation_targets(G.text_gate(_ids(read), _layer(read), "doc_id", "t", RULES), _groups(read), "doc_id")
 
 
-@query("con3_elliptical_ground", "WITH d AS (SELECT doc_id, replace(text, '.', '') AS t FROM documents), q AS (SELECT doc_id, lower(t) AS t, lower(substr(t, 1, 12)) AS a, lower(substr(t, 40, 12)) AS b FROM d), o AS (SELECT doc_id, t, CASE WHEN doc_id % 5 = 0 THEN b ELSE a END AS a, CASE WHEN doc_id % 5 = 0 THEN a ELSE b END AS b FROM q) SELECT doc_id, length(trim(a)) + length(trim(b)) > 0 AND contains(t, a) AND contains(substr(t, strpos(t, a) + length(a)), b) AS grounded FROM o")
+@query("con3_elliptical_ground", "WITH d AS (SELECT doc_id, replace(text, '.', '') AS t FROM documents), q AS (SELECT doc_id, lower(t) AS t, lower(substr(t, 1, 12)) AS a, lower(substr(t, 40, 12)) AS b FROM d), o AS (SELECT doc_id, t, CASE WHEN doc_id % 5 = 0 THEN b ELSE a END AS a, CASE WHEN doc_id % 5 = 0 THEN a ELSE b END AS b FROM q) SELECT doc_id, coalesce(length(trim(a)) + length(trim(b)) > 0 AND contains(t, a) AND contains(substr(t, strpos(t, a) + length(a)), b), false) AS grounded FROM o")
 def elliptical_ground(read):
     d = read("documents").select("doc_id", F.replace("text", F.lit("."), F.lit("")).alias("t"))
     a, b = F.substring("t", 1, 12), F.substring("t", 40, 12)
@@ -206,3 +207,20 @@ def catalog_rows(read):
     title = F.concat(kind, F.col("l_orderkey").cast("string"))
     about = F.concat(F.format_string("Lines %d-%d\n", F.min("l_linenumber"), F.max("l_linenumber")), lines)
     return read("lineitem").groupBy("l_orderkey").agg(title.alias("title"), about.alias("description"))
+
+
+@query("win15_chapter_points", """WITH RECURSIVE r AS MATERIALIZED (SELECT user_id AS k, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, floor(epoch(ts))::BIGINT AS s, floor(epoch(ts))::BIGINT // 86400 AS day FROM events),
+f AS (SELECT k, n, event_id, s, day, s + 40000 AS target, s AS kept, true AS point FROM r WHERE n = 1
+ UNION ALL SELECT r.k, r.n, r.event_id, r.s, r.day, CASE WHEN r.s >= target THEN r.s + 40000 ELSE target END, CASE WHEN (r.day <> f.day OR r.s >= target) AND r.s - kept >= 3000 THEN r.s ELSE kept END, (r.day <> f.day OR r.s >= target) AND r.s - kept >= 3000 FROM f JOIN r ON r.k = f.k AND r.n = f.n + 1)
+SELECT k, event_id, s FROM (SELECT *, count(*) FILTER (point) OVER (PARTITION BY k) AS points, max(s) OVER (PARTITION BY k) - min(s) OVER (PARTITION BY k) AS len FROM f) WHERE point AND points >= 3 AND len >= 90000""")
+def chapters(read):
+    ev = read("events").select(F.col("user_id").alias("k"), "event_id", "ts", F.unix_timestamp("ts").alias("s")).withColumns({"day": F.floor(F.col("s") / 86400), "e": F.col("s")})
+    return folds.chapter_points(ev, ["k"], "day", [F.col("ts"), F.col("event_id")], "s", "e", 40000, 3000, 3, 90000).select("k", "event_id", "s")
+
+
+@query("evl7_token_match")
+def token_match(read):
+    """Turns against a hearing of them: every seventh word lost, every fifth misspelt."""
+    words = F.split("text", " ")
+    heard = F.filter(F.transform(words, lambda w, i: F.when(i % 7 == 6, None).when(i % 5 == 4, F.concat(w, F.lit("x"))).otherwise(w)), lambda w: w.isNotNull())
+    return M.token_match(items(read).select("ref", words.alias("expected"), heard.alias("observed")), "ref", "expected", "observed")
