@@ -12,9 +12,14 @@ def normalized(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
+def group_ids(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, group_id) of every row, groups of one included: one scan, no shuffle; enough where a lone row cannot matter."""
+    return df.select(key, F.sha2(normalized(F.col(text)), 256).alias("group_id"))
+
+
 def duplicate_groups(df: DataFrame, key: str, text: str) -> DataFrame:
     """(group_id, key, size): members of groups of equal normalized texts; sizes are counted first, no member list is built."""
-    hashed = df.select(key, F.sha2(normalized(F.col(text)), 256).alias("group_id"))
+    hashed = group_ids(df, key, text)
     sizes = hashed.groupBy("group_id").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return hashed.join(sizes, "group_id")
 

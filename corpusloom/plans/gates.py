@@ -35,6 +35,11 @@ def _groups(read):
     return V.duplicate_groups(read("documents").filter("text is not null"), "doc_id", "text")
 
 
+def _memberships(read):
+    """Every row's group; divergence and closure need no sizes, as a lone row neither differs nor adds any."""
+    return V.group_ids(read("documents").filter("text is not null"), "doc_id", "text")
+
+
 def _ids(read):
     return read("documents").select("doc_id")
 
@@ -50,26 +55,26 @@ def corpus_gate(read):
     error = F.lit("error").alias("severity")
     unaudited = layer.join(labels, "doc_id", "left_anti").select("doc_id", F.lit("missing_audit").alias("code"), error)
     unresolved = labels.filter("toxic = 1").select("doc_id", F.lit("unresolved_finding").alias("code"), error)
-    return G.text_gate(_ids(read), layer, "doc_id", "t", RULES, _groups(read)).unionByName(unaudited).unionByName(unresolved)
+    return G.text_gate(_ids(read), layer, "doc_id", "t", RULES, _memberships(read)).unionByName(unaudited).unionByName(unresolved)
 
 
 @query("gat5_second_language_gate", f"WITH {LAYER}, {GROUPS} {COVER} UNION ALL {SPLIT} UNION ALL SELECT doc_id, 'missing_script', 'error' FROM p WHERE NOT regexp_matches(t, '[a-z]') UNION ALL SELECT doc_id, 'forbidden_script', 'error' FROM p WHERE regexp_matches(t, '[a-z]') AND regexp_matches(t, '[éèê]')")
 def second_language_gate(read):
     layer = _layer(read)
     script = layer.filter("t is not null").select("doc_id", R.script_check(F.col("t"), "[a-z]", "[éèê]").alias("code"), F.lit("error").alias("severity")).filter("code <> 'ok'")
-    return G.coverage_gate(_ids(read), layer, "doc_id", "t").unionByName(G.divergence(_groups(read), layer, "doc_id", "t")).unionByName(script)
+    return G.coverage_gate(_ids(read), layer, "doc_id", "t").unionByName(G.divergence(_memberships(read), layer, "doc_id", "t")).unionByName(script)
 
 
 @query("gat6_release_gate", f"WITH {LAYER}, {GROUPS}, i AS ({COVER} UNION ALL {RULED} UNION ALL {SPLIT} UNION ALL {FORMULAS}) SELECT code, severity, count(*) AS n FROM i GROUP BY code, severity")
 def release_gate(read):
-    issues = G.text_gate(_ids(read), _layer(read), "doc_id", "t", {**RULES, **FORMULA}, _groups(read))
+    issues = G.text_gate(_ids(read), _layer(read), "doc_id", "t", {**RULES, **FORMULA}, _memberships(read))
     return issues.groupBy("code", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("gat20_candidate_gate", rf"WITH {LAYER}, {GROUPS} {COVER} UNION ALL {SPLIT} UNION ALL SELECT DISTINCT doc_id, 'banned:' || lower(w), 'error' FROM (SELECT doc_id, unnest(regexp_extract_all(t, '(?i)\b(with|that)\b')) AS w FROM p)")
 def candidate_gate(read):
     layer = _layer(read)
-    return G.coverage_gate(_ids(read), layer, "doc_id", "t").unionByName(G.divergence(_groups(read), layer, "doc_id", "t")).unionByName(G.term_issues(layer, "doc_id", "t", ["with", "that"]))
+    return G.coverage_gate(_ids(read), layer, "doc_id", "t").unionByName(G.divergence(_memberships(read), layer, "doc_id", "t")).unionByName(G.term_issues(layer, "doc_id", "t", ["with", "that"]))
 
 
 @query("res5_group_triage", f"WITH {LAYER}, {GROUPS}, x AS (SELECT g, min(doc_id) AS first, count(*) AS members, count(DISTINCT t) AS options FROM h JOIN p USING (doc_id) GROUP BY g), o AS (SELECT DISTINCT g FROM h WHERE doc_id % 5 = 0) SELECT first, members, options, CASE WHEN o.g IS NOT NULL THEN 'policy' WHEN options <= 1 THEN 'invariant' ELSE 'work_item' END AS status FROM x LEFT JOIN o USING (g)")
@@ -81,7 +86,7 @@ def group_triage(read):
 @query("res9_remediation_targets", f"""WITH {LAYER}, {GROUPS}, i AS (SELECT * FROM ({COVER} UNION ALL {RULED}) WHERE severity = 'error'), c AS (SELECT doc_id, string_agg(DISTINCT code, ',' ORDER BY code) AS codes FROM i GROUP BY doc_id)
 SELECT doc_id, false AS closure_only, codes FROM c UNION ALL SELECT doc_id, true, '' FROM h WHERE g IN (SELECT g FROM h JOIN c USING (doc_id)) AND doc_id NOT IN (SELECT doc_id FROM c)""")
 def remediation_targets(read):
-    return G.remediation_targets(G.text_gate(_ids(read), _layer(read), "doc_id", "t", RULES), _groups(read), "doc_id")
+    return G.remediation_targets(G.text_gate(_ids(read), _layer(read), "doc_id", "t", RULES), _memberships(read), "doc_id")
 
 
 @query("con3_elliptical_ground", "WITH d AS (SELECT doc_id, replace(text, '.', '') AS t FROM documents), q AS (SELECT doc_id, lower(t) AS t, lower(substr(t, 1, 12)) AS a, lower(substr(t, 40, 12)) AS b FROM d), o AS (SELECT doc_id, t, CASE WHEN doc_id % 5 = 0 THEN b ELSE a END AS a, CASE WHEN doc_id % 5 = 0 THEN a ELSE b END AS b FROM q) SELECT doc_id, coalesce(length(trim(a)) + length(trim(b)) > 0 AND contains(t, a) AND contains(substr(t, strpos(t, a) + length(a)), b), false) AS grounded FROM o")
@@ -107,7 +112,7 @@ SELECT doc_id, 'undecided' AS problem FROM documents WHERE doc_id NOT IN (SELECT
 UNION ALL SELECT doc_id, 'group_divergence' FROM h JOIN d USING (doc_id) WHERE g IN (SELECT g FROM h JOIN d USING (doc_id) GROUP BY g HAVING count(DISTINCT t) > 1)""")
 def remediation_decisions(read):
     docs, k = read("documents").select("doc_id", "text"), F.col("doc_id")
-    targets = docs.join(_groups(read).select("doc_id", "group_id"), "doc_id", "left")
+    targets = docs.join(_memberships(read).select("doc_id", "group_id"), "doc_id", "left")
     new = F.when((k % 6 == 0) | (k % 10 == 1), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     decisions = docs.filter("doc_id % 9 <> 0 and text is not null").select("doc_id", (k % 3 == 0).alias("applied"), new.alias("new_text"))
     return G.remediation_issues(targets, decisions, "doc_id")
