@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def banned_terms(text: Column, terms: list[str]) -> Column:
+#: Word edges in texts of any language; what \b takes for a letter depends on the Java release.
+WORD_EDGES = (r"(?<![\p{L}\p{M}\p{N}_])", r"(?![\p{L}\p{M}\p{N}_])")
+
+
+def banned_terms(text: Column, terms: list[str], edges: tuple[str, str] = (r"\b", r"\b")) -> Column:
     """Distinct banned whole words found, lower-cased, sorted, comma-joined; empty if none."""
-    pattern = r"(?i)\b(" + "|".join(terms) + r")\b"
+    pattern = rf"(?i){edges[0]}(" + "|".join(terms) + rf"){edges[1]}"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     return F.array_join(F.array_sort(F.array_distinct(F.transform(found, F.lower))), ",")
 
@@ -29,23 +33,23 @@ def keyed_term_rules(df: DataFrame, rules: DataFrame, key: str, text: str) -> Da
 
 def phrase_leads(df: DataFrame, key: str, text: str, phrases: list[str]) -> DataFrame:
     """(key, phrase, found): the original-case slice of the first case-insensitive occurrence."""
-    at = lambda p: F.instr(F.lower(F.col(text)), p.lower())
-    leads = [F.when(at(p) > 0, F.struct(F.lit(p).alias("phrase"), F.substring(F.col(text), at(p), F.lit(len(p))).alias("found"))) for p in phrases]
+    found = lambda p: F.regexp_extract(F.col(text), rf"(?iu)\Q{p}\E", 0)  # in the text itself: lower-casing can move places
+    leads = [F.when(found(p) != "", F.struct(F.lit(p).alias("phrase"), found(p).alias("found"))) for p in phrases]
     return df.select(key, F.explode(F.array_compact(F.array(*leads))).alias("l")).select(key, "l.*")
 
 
-def rewrite(text: Column, steps: list[tuple[str, str, str]]) -> tuple[Column, Column]:
+def rewrite(text: Column, steps: list[tuple[str, str, str]], edges: tuple[str, str] = (r"\b", r"\b")) -> tuple[Column, Column]:
     """Whole-word replacements that keep UPPER and Title case; steps: (label, word, replacement).
 
     Returns the new text and the array of ``label: count`` of the steps that changed something.
     """
-    edits = []
+    edits, (left, right) = [], edges
     for label, old, new in steps:
-        n = F.regexp_count(text, F.lit(rf"(?i)\b{old}\b"))
+        n = F.regexp_count(text, F.lit(rf"(?i){left}{old}{right}"))
         edits.append(F.when(n > 0, F.concat(F.lit(f"{label}: "), n.cast("string"))))
         for a, b in ((old.upper(), new.upper()), (old.capitalize(), new.capitalize())):
-            text = F.regexp_replace(text, rf"\b{a}\b", b)
-        text = F.regexp_replace(text, rf"(?i)\b{old}\b", new)
+            text = F.regexp_replace(text, rf"{left}{a}{right}", b)
+        text = F.regexp_replace(text, rf"(?i){left}{old}{right}", new)
     return text, F.array_compact(F.array(*edits))
 
 
