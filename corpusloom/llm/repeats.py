@@ -108,25 +108,33 @@ def _bytes(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""
 
 
-def anchor_rows(docs: DataFrame, length: int, gram: int, firsts: bool) -> DataFrame:
-    """What the map side knows: the first place of each (anchor, context) in a task, or else the byte ranges of the others, joined."""
+def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """What the map side knows, in one pass: the first place of each (anchor, context) in a buffer, and the byte ranges of the others, joined.
+
+    A range has a ``stop``; its start is in ``place`` and its anchor only spreads it.  Both kinds have to come from the
+    same pass: where another pass cuts tasks or buffers elsewhere, other places are first.
+    """
     reach = length - gram
+    names = ["anchor", "context", "key", "place", "stop"]
 
-    def settle(buffer: list[tuple]) -> pa.RecordBatch:
+    def settle(buffer: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, c, k, p = (np.concatenate(x) for x in zip(*buffer))
         order = np.lexsort((p, k, c, h))
         h, c, k, p = h[order], c[order], k[order], p[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        if firsts:
-            return pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int64)), pa.array(k[new]), pa.array(p[new])], names=["anchor", "context", "key", "place"])
+        firsts = [pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int64)), pa.array(k[new]), pa.array(p[new])]
+        yield pa.RecordBatch.from_arrays([*firsts, pa.nulls(len(firsts[0]), pa.int64())], names=names)
         k, p = k[~new], p[~new]
+        if not len(k):
+            return
         order = np.lexsort((p, k))
         k, p = k[order], p[order]
         apart = np.ones(len(k), bool)
         apart[1:] = (k[1:] != k[:-1]) | (p[1:] - reach > p[:-1] + length)
         last = np.append(np.flatnonzero(apart)[1:] - 1, len(k) - 1)[: apart.sum()]
-        return pa.RecordBatch.from_arrays([pa.array(k[apart]), pa.array(np.maximum(p[apart] - reach, 0)), pa.array(p[last] + length)], names=["key", "start", "stop"])
+        k, start = k[apart], np.maximum(p[apart] - reach, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(k * 1_000_003 + start), pa.array(np.zeros(len(k), np.int64)), pa.array(k), pa.array(start), pa.array(p[last] + length)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer, size = [], 0
@@ -139,22 +147,29 @@ def anchor_rows(docs: DataFrame, length: int, gram: int, firsts: bool) -> DataFr
                 buffer.append((h, context_hashes(text, at, length, gram), np.full(len(at), key, np.int64), at))
                 size += len(at)
                 if size >= FLUSH:
-                    yield settle(buffer)
+                    yield from settle(buffer)
                     buffer, size = [], 0
         if buffer:
-            yield settle(buffer)
+            yield from settle(buffer)
 
-    schema = "anchor long, context long, key long, place long" if firsts else "key long, start long, stop long"
-    return docs.select("key", "text").mapInArrow(run, schema)
+    return docs.select("key", "text").mapInArrow(run, "anchor long, context long, key long, place long, stop long")
 
 
 def settle_contexts(rows: DataFrame) -> DataFrame:
-    """(kind, anchor, key, place): kind 1 repeats an equal context; kind 2 is the earliest of a context whose anchor has several."""
+    """(kind, anchor, key, place, stop): kind 1 repeats an equal context; kind 2 is the earliest of a context whose anchor has several; kind 3 are the ranges of ``rows``, as they came."""
+
+    names = ["kind", "anchor", "key", "place", "stop"]
+
+    def told(kind: pa.Array, *columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([kind, *columns, pa.nulls(len(kind), pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "anchor", "key", "place"]
         prev = None  # (anchor, context, key, place, is first of its context, first context of its anchor, already told)
         for b in batches:
+            ranges = b.filter(pc.is_valid(b.column("stop")))
+            if ranges.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(ranges.num_rows, 3, np.int64)), *(ranges.column(n) for n in names[1:])], names=names)
+                b = b.filter(pc.is_null(b.column("stop")))
             a, c, k, p = (b.column(n).to_numpy() for n in ("anchor", "context", "key", "place"))
             if not len(a):
                 continue
@@ -176,13 +191,13 @@ def settle_contexts(rows: DataFrame) -> DataFrame:
             if len(owners) and owners[0] < 0:
                 owners = owners[1:]
                 if pending is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([2]), *(pa.array([v]) for v in pending)], names=names)
+                    yield told(pa.array([2]), *(pa.array([v]) for v in pending))
                     pending = None
             kind[owners] = 2
             if prev is not None and prev[6]:
                 kind[0] = 0
             i = np.flatnonzero(kind)
-            yield pa.RecordBatch.from_arrays([pa.array(kind[i]), pa.array(a[i]), pa.array(k[i]), pa.array(p[i])], names=names)
+            yield told(pa.array(kind[i]), pa.array(a[i]), pa.array(k[i]), pa.array(p[i]))
             last = start[-1]
             if last >= 0:  # the anchor of the last row began in this batch
                 first_row = None if kind[last] == 2 or (last == 0 and prev is not None and prev[6] and prev[5]) else (int(a[last]), int(k[last]), int(p[last]))
@@ -191,7 +206,7 @@ def settle_contexts(rows: DataFrame) -> DataFrame:
             prev = (a[-1], c[-1], k[-1], p[-1], bool(new_c[-1]), bool(new_a[-1]), bool(kind[-1]) or (len(a) == 1 and prev is not None and prev[6]))
 
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "context", "key", "place")
-    return ordered.mapInArrow(run, "kind long, anchor long, key long, place long")
+    return ordered.mapInArrow(run, "kind long, anchor long, key long, place long, stop long")
 
 
 def cut_parts(places: DataFrame, docs: DataFrame, length: int, gram: int, part: int) -> DataFrame:
@@ -348,8 +363,8 @@ def scan_groups(parts: DataFrame, length: int, single: bool, group_rows: int) ->
 
 def find_marks(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(key, start, stop): byte ranges of ``docs`` (key, text) made of strings that start earlier; they may overlap."""
-    settled = materialize(settle_contexts(anchor_rows(docs, length, gram, True)), "settled")
-    local = anchor_rows(docs, length, gram, False)
+    settled = materialize(settle_contexts(anchor_rows(docs, length, gram)), "settled")
+    local = settled.filter("kind = 3").select("key", F.col("place").alias("start"), "stop")
     start = F.greatest(F.lit(0).cast("long"), F.col("place") - (length - gram))
     marks = settled.filter("kind = 1").select("key", start.alias("start"), (F.col("place") + length).alias("stop")).union(local)
     parts = cut_parts(settled.filter("kind = 2").select("key", "place").distinct(), docs, length, gram, PART)

@@ -278,6 +278,36 @@ def test_repeats_with_null_and_repeated_ids(spark):
     assert repeats.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_repeats_do_not_depend_on_how_later_scans_cut_the_input(spark, tmp_path, monkeypatch):
+    text = " ".join(words_of(40, 3))
+    for i in range(6):
+        docs_of(spark, [text], ids=[i]).coalesce(1).write.mode("append").parquet(str(tmp_path))
+    names = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")
+    before = {n: spark.conf.get(f"spark.sql.files.{n}", None) for n in names}
+
+    def cut(*values):
+        for n, v in zip(names, values):
+            spark.conf.set(f"spark.sql.files.{n}", v)
+
+    written = repeats.materialize
+
+    def materialize(df, tag):
+        out = written(df, tag)
+        cut("4096", "4096", "6")  # from now on each file is a task of its own
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", materialize)
+    try:
+        cut("128m", "0", "1")  # at first all files are one task
+        docs = spark.read.parquet(str(tmp_path)).select(F.col("doc_id").alias("key"), F.col("text"))
+        assert docs.rdd.getNumPartitions() == 1
+        marked = {r["key"] for r in repeats.find_marks(docs).collect()}
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(f"spark.sql.files.{n}") if v is None else spark.conf.set(f"spark.sql.files.{n}", v)
+    assert marked == {1, 2, 3, 4, 5}
+
+
 def test_maximal_repeats_with_all_occurrences():
     found = dict(repeats.maximal_repeats([b"xabcdey", b"zabcdeq", b"bcdzz"], 3))
     assert sorted(found[5]) == [(0, 1), (1, 1)] and sorted(found[3]) == [(0, 2), (1, 2), (2, 0)] and len(found) == 2
