@@ -69,6 +69,21 @@ def glossary(terms: DataFrame, term: str, ref: str, first: int = 12) -> DataFram
     return totals.join(few, term).select(term, "uses", "refs", shown.alias("first_refs"))
 
 
+def concordance(occurrences: DataFrame, lemma: str, unit: str, ref: str, length: str, below: int = 30, first: int = 3) -> DataFrame:
+    """(unit, lemma, df, outside, exemplar) of every lemma of a unit that fewer than ``below`` references have.
+
+    ``outside`` holds the ``first`` references of other units (empty: only in this one), ``exemplar`` is the shortest of
+    all those, the earlier of equals.  Frequent lemmas go before anything is joined, so a list has fewer than ``below`` entries.
+    """
+    places = occurrences.select(lemma, unit, ref, length).dropDuplicates([lemma, ref])
+    few = places.groupBy(lemma).agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") < below)
+    listed = places.join(few, lemma).groupBy(lemma, "df").agg(F.sort_array(F.collect_list(F.struct(ref, length, unit))).alias("_all"))
+    each = listed.select(lemma, "df", "_all", F.explode(F.array_distinct(F.col(f"_all.{unit}"))).alias(unit))
+    other = each.withColumn("_o", F.filter("_all", lambda x: ~x[unit].eqNullSafe(F.col(unit))))
+    shortest = F.array_min(F.transform("_o", lambda x: F.struct(x[length], x[ref])))
+    return other.select(unit, lemma, "df", F.slice(F.col(f"_o.{ref}"), 1, first).alias("outside"), shortest[ref].alias("exemplar"))
+
+
 def token_match(df: DataFrame, key: str, expected: str, observed: str, near: float = 0.60) -> DataFrame:
     """(key, expected_index, observed_index, exact) of two word lists: longest equal blocks first, then, between
     blocks, runs of equal length whose words are alike pairwise (ratio of ``near`` or more).

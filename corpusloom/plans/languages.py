@@ -109,6 +109,16 @@ def concordance(read):
     return few.select("lemma", "df", F.array_join(F.slice("refs", 1, 3).cast("array<string>"), ",").alias("first_refs"))
 
 
+@query("res10_unit_concordance", f"""WITH w AS (SELECT DISTINCT doc_id, doc_id // 8 AS unit, length(text) AS len, lemma FROM (SELECT doc_id, text, unnest(regexp_extract_all(lower(text), '{LEMMA}')) AS lemma FROM documents)), d AS (SELECT lemma, count(*) AS df FROM w GROUP BY lemma HAVING count(*) < 30),
+k AS (SELECT w.*, df FROM w JOIN d USING (lemma)), u AS (SELECT DISTINCT unit, lemma, df FROM k), o AS (SELECT u.unit, u.lemma, k.doc_id, row_number() OVER (PARTITION BY u.unit, u.lemma ORDER BY k.doc_id) AS n, row_number() OVER (PARTITION BY u.unit, u.lemma ORDER BY k.len, k.doc_id) AS s FROM u JOIN k ON u.lemma = k.lemma AND u.unit <> k.unit)
+SELECT unit, lemma, df, coalesce(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (n <= 3), '') AS first_refs, min(doc_id) FILTER (s = 1) AS exemplar FROM u LEFT JOIN o USING (unit, lemma) GROUP BY unit, lemma, df""")
+def unit_concordance(read):
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LEMMA), F.lit(0)))
+    w = read("documents").select("doc_id", F.floor(F.col("doc_id") / 8).alias("unit"), F.length("text").alias("len"), F.explode(words).alias("lemma"))
+    found = M.concordance(w, "lemma", "unit", "doc_id", "len")
+    return found.select("unit", "lemma", "df", F.array_join(F.col("outside").cast("array<string>"), ",").alias("first_refs"), "exemplar")
+
+
 @query("gat15_word_sequence_all", f"SELECT doc_id, regexp_extract_all(lower(text), '{LEMMA}') = regexp_extract_all(lower(CASE WHEN doc_id % 4 = 0 THEN text || ' more' ELSE '  ' || text || '!' END), '{LEMMA}') AS equal FROM documents")
 def word_sequence(read):
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(LEMMA), F.lit(0))

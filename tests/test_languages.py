@@ -3,6 +3,7 @@
 import pytest
 
 from corpusloom import plans
+from corpusloom.operators import matching
 
 TEXTS = [
     (1, "The same  line", "en"),
@@ -48,3 +49,12 @@ def test_words_are_not_cut_at_accents(spark, folder):
     assert ("plage", 2, "4,5") in {(r["lemma"], r["df"], r["first_refs"]) for r in plans.QUERIES["res10_concordance_all"](spark, folder).collect()}
     for name in ("gat15_word_sequence_all", "res3_accept_gated_overlay_all"):
         assert plans.QUERIES[name](spark, folder).count() == len(TEXTS)
+
+
+def test_concordance_of_a_unit_has_lemmas_of_one_document_and_leaves_its_own_out(spark):
+    rows = [("rare", 0, 1, 9), ("both", 0, 1, 9), ("both", 0, 2, 3), ("both", 1, 8, 7), ("both", 1, 9, 5), ("both", 2, 16, 5), ("both", 2, 17, 8)]
+    rows += [("often", i // 8, i, 4) for i in range(30)]
+    got = matching.concordance(spark.createDataFrame(rows, "lemma string, unit long, ref long, len int"), "lemma", "unit", "ref", "len").collect()
+    assert {(r["unit"], r["lemma"], r["df"], tuple(r["outside"]), r["exemplar"]) for r in got} == {
+        (0, "rare", 1, (), None), (0, "both", 6, (8, 9, 16), 9), (1, "both", 6, (1, 2, 16), 2), (2, "both", 6, (1, 2, 8), 2)
+    }
