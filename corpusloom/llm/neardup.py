@@ -267,8 +267,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, fp, n, digest, group, component_id; no group where a text has no shingles.
+
+    group is an id of the component, also where none of its documents has a doc_id.
+    """
     sketch = materialize(sketches(docs, width), "sketch")
     rep = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "fp")).alias("rep")
     grouped = sketch.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), rep, F.first("sig").alias("sig"))
@@ -296,19 +299,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = classes.select("digest", "first_id", "cid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid")).select("digest", "first_id", "component")
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "component").select("digest", "component_id")
-    out = sketch.select("doc_id", "n", "digest").join(named, "digest", "left")
+    named = named.join(smallest, "component").select("digest", F.col("component").alias("group"), "component_id")
+    return sketch.select("doc_id", "fp", "n", "digest").join(named, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    out = _labelled(docs, width, percent)
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, one of each group: that with the smallest doc_id; columns as given."""
-    kept = near_duplicates(docs, width, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return stay
-    return stay.withColumn("_fp", F.xxhash64("text")).dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)
+    """The documents that stay: one row of each group, that with the smallest doc_id (nulls last, then by a hash of the
+    text), and all rows without shingles; columns as given."""
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    fp = F.xxhash64(F.col("text").cast("string"))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").isNull().alias("none"), "fp")).alias("f")
+    labelled = materialize(_labelled(numbered, width, percent), "labelled")
+    chosen = labelled.filter("digest is not null").groupBy("group").agg(first).select("f.*")
+    rows = numbered.select("_row", F.col("doc_id").cast("long").alias("_id"), fp.alias("fp"))
+    same = F.coalesce("_id", F.lit((1 << 63) - 1)) == F.col("id")
+    whole = rows.join(chosen, same & F.col("_id").isNull().eqNullSafe(F.col("none")) & (rows.fp == chosen.fp)).groupBy("id", "none", chosen.fp).agg(F.min("_row").alias("_row"))
+    bare = labelled.filter("digest is null").select("fp").distinct()  # hashes of texts without words
+    alone = numbered.withColumn("_fp", fp).join(bare, F.col("_fp").eqNullSafe(F.col("fp")), "left_semi").select("_row")
+    stay = whole.select("_row").unionByName(alone)
+    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def op3_lsh_forest_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,6 +223,15 @@ def test_divided_regions_in_small_blocks(spark):
     assert whole > 80 and got == [(i, c) for i, (_, c) in enumerate(brute_components(texts, 2, 80))]
 
 
+def test_dropping_near_duplicates_with_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(words_of(60, seed)) for seed in (11, 12, 13))
+    ids = [1, None, None, None, 5, 5, 5, 5, 6, None, None, 7]
+    texts = [a, a + " more", b, b, "", "", None, c, c + " more", None, "  ", c]
+    got = [(r["doc_id"], r["text"]) for r in neardup.drop_near_duplicates(docs_of(spark, texts, ids=ids).repartition(3)).collect()]
+    want = [(1, a), (None, b), (5, ""), (5, ""), (5, None), (5, c), (None, None), (None, "  ")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     r = random.Random(4)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 500)]
