@@ -35,16 +35,16 @@ BLOCK = 4096
 EPS = 1e-9
 
 
-def word_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): number of runs of bytes other than space and \\x09-\\x0D."""
+def word_sizes(docs: DataFrame, *carry: str) -> DataFrame:
+    """(doc_id, source, size, long columns to carry): number of runs of bytes other than space and \\x09-\\x0D."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(sizes, pa.int64())], names=["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(sizes, pa.int64()), *(b.column(c) for c in carry)], names=["doc_id", "source", "size", *carry])
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
-    return narrow.mapInArrow(count, "doc_id long, source string, size long")
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), *carry)
+    return narrow.mapInArrow(count, "doc_id long, source string, size long" + "".join(f", {c} long" for c in carry))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = MAX_REPEAT) -> DataFrame:
@@ -126,17 +126,17 @@ def land(p: np.ndarray, z: np.ndarray) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, **targets: float) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    sizes = materialize(word_sizes(docs), "sizes")
+def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, carry: tuple[str, ...] = (), **targets: float) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken, and the long columns to carry."""
+    sizes = materialize(word_sizes(docs, *carry), "sizes")
     src = source_targets(sizes, **targets)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     small = F.broadcast(src) if src.count() <= 10_000 else src
     rows = sizes.join(small, sizes.source.eqNullSafe(src.source)).drop(src.source)
     base = F.floor(ratio + F.lit(EPS)).cast("int")
     rows = rows.withColumn("base", base).withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("base"))).withColumn("left", F.col("n_docs"))
-    columns = ["doc_id", "source", "size", "source_size", "target", "base", "p"]
-    schema = "doc_id long, source string, size long, source_size long, target double, base int, p double, left long, last boolean"
+    columns = ["doc_id", "source", "size", "source_size", "target", "base", "p", *carry]
+    schema = "doc_id long, source string, size long, source_size long, target double, base int, p double, " + "".join(f"{c} long, " for c in carry) + "left long, last boolean"
 
     def run_block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "_h", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
@@ -163,13 +163,14 @@ def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, **targets: float) ->
     for more in done[1:]:
         out = out.unionByName(more)
     copies = (F.col("base") + F.round("p").cast("int")).alias("copies")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return out.select("doc_id", "source", "size", "source_size", "target", copies, *carry).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def apply_mix(docs: DataFrame, **options: float) -> DataFrame:
     """The documents of the mix, each as often as the mix takes it; columns as given."""
-    copies = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # doc_ids may be null or repeated
+    copies = mix(numbered, carry=("_row",), **options).select("_row", F.col("copies").alias("_copies"))
+    joined = numbered.join(copies, "_row")
     times = F.sequence(F.lit(1), F.col("_copies"))
     taken = joined.filter(F.col("_copies") > 0).withColumn("_copy", F.explode(times))
     return taken.select(*docs.columns)

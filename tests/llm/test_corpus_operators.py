@@ -142,6 +142,14 @@ def test_mix_edge_cases(spark):
 # --- WARC
 
 
+def test_mix_is_applied_by_row_where_ids_are_null_or_repeated(spark):
+    texts = [" ".join(words_of(5 + k % 7, k)) for k in range(300)]
+    docs = docs_of(spark, texts, [f"s{k % 4}" for k in range(300)], [None if k % 3 == 0 else k % 5 for k in range(300)])
+    got = dict(map(tuple, mixing.apply_mix(docs).select("source", F.size(F.split("text", " ")).alias("n")).groupBy("source").agg(F.sum("n")).collect()))
+    want = {r["source"]: r["target"] for r in mixing.source_targets(mixing.word_sizes(docs)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) <= 12 for s in want)
+
+
 def test_warc_rejects_records_inside_payloads(spark):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nWARC-Payload-Digest: sha1:0\r\nWARC-Payload-Length: 0\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
     pages = [(1, "http://a\r\nX: y", "é" * 700 + inner), (2, None, "é" * 700 + inner), (3, "u", None), (4, "u", ""), (5, "u", inner), (None, "u", "WARC/1.1\r\n")]
