@@ -5,8 +5,9 @@ from the start, found by a digest.  Each class has a signature of TREES *
 DEPTH minimum hashes; a tree orders the classes by its own sequence of them.
 
 1. Regions of a tree are runs with DEPTH equal leading hashes; inside a region
-   the order goes on with further hashes (as deep as the region is crowded), and
-   neighbours in it are the longest common prefixes: first candidates.  Of
+   the order goes on with two further hashes, and the row before in it is the
+   first candidate.  The depth is fixed: a crowded region is not deepened, and no
+   prefix lengths are compared; step 2 settles it exactly instead.  Of
    these each class has its FIRST_TRIES best-looking partners confirmed on the full sets.
 2. In regions that the confirmed links leave in several components, every
    class outside the region's largest component is compared on the full sets with
