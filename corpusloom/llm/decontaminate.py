@@ -4,17 +4,20 @@ Words are hashed, k-word grams are combined from them, and of every ``w``
 consecutive grams the smallest is kept as fingerprint (k + w - 1 = 13), so
 any shared span of 13 words shares a fingerprint.  Documents are scanned for
 the benchmark's fingerprints; each hit is extended over the 13-word windows
-around it, which are compared by a 64-bit hash of all their words.  Items
-shorter than a window are one window of their own length.
+around it, which are found by a hash of all their words and then compared word
+for word.  Items shorter than a window are one window of their own length.
 
 The benchmark's fingerprints and windows go to the tasks in blocks of at most
-``block_windows`` windows (a stated query set against all rows); the hits of
-several blocks meet in one aggregation per document.
+``block_windows`` windows (a stated query set against all rows).  With several
+blocks the documents are first written with a row number; each block then
+returns the hits of its rows only, and those of a row meet in one aggregation.
 
 Defined edge cases: null or empty texts have no words, no hits, and are not
-contaminated; repeated doc_ids are judged by row; null or wordless items are
-left out; equal windows of several items hit for each of them.  Extra columns
-are ignored.
+contaminated; repeated or null doc_ids are judged by row; null or wordless items
+are left out, and repeated items count once; equal windows of several items hit
+for each of them; an empty benchmark contaminates nothing and an empty table
+gives an empty result.  Extra columns, of any type and name, are ignored by
+``decontaminate`` and kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -28,20 +31,24 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from corpusloom.llm.common import materialize, table
+from corpusloom.llm.common import free_names, materialize, table
 
 WINDOW = 13
 GRAM = 5
-BLOCK_WINDOWS = 1_000_000
+BLOCK_WINDOWS = 250_000
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 MUL = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words, A-Z lower-cased."""
-    words = WORD.findall(text.lower())
+def words_of(value: pa.Scalar) -> list[bytes]:
+    """The words of a text, A-Z lower-cased; none of a null."""
+    return WORD.findall(value.as_buffer().to_pybytes().lower()) if value.is_valid else []
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_word_hash, words), np.uint64, len(words))
 
 
@@ -89,25 +96,68 @@ def winnow(grams: np.ndarray, w: int) -> np.ndarray:
 
 
 def benchmark_windows(bench: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(item_id, length, window_hash, prints): each window of each item and the fingerprints it selects."""
+    """(item_id, words, length, print): each distinct window of each item, its words joined by blanks, and the fingerprint it selects."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, lens, hs, ps = [], [], [], []
+            ids, joined, lens, prints = [], [], [], []
             for item, t in zip(b.column(0).to_pylist(), b.column(1)):
-                words = word_hashes(t.as_buffer().to_pybytes()) if t.is_valid else np.empty(0, np.uint64)
+                words = words_of(t)
                 n = min(window, len(words))
-                if not n:
-                    continue
-                grams = gram_hashes(words, gram).view(np.int64)
-                for s, h in enumerate(gram_hashes(words, n).view(np.int64).tolist()):
-                    inside = grams[s : s + n - gram + 1] if n == window else grams[:0]
-                    prints = [int(inside[np.argmin(inside.view(np.uint64))])] if len(inside) else []
-                    ids.append(item), lens.append(n), hs.append(h), ps.append(prints)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(lens, pa.int32()), pa.array(hs, pa.int64()), pa.array(ps, pa.list_(pa.int64()))], names=["item_id", "length", "window_hash", "prints"])
+                grams = gram_hashes(word_hashes(words), gram)
+                for s in range(len(words) - n + 1 if n else 0):
+                    ids.append(item)
+                    joined.append(b" ".join(words[s : s + n]))
+                    lens.append(n)
+                    prints.append(int(grams[s : s + n - gram + 1].min().view(np.int64)) if n == window else None)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(joined, pa.binary()), pa.array(lens, pa.int32()), pa.array(prints, pa.int64())], names=["item_id", "words", "length", "print"])
 
     items = bench.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    return items.mapInArrow(cut, "item_id string, length int, window_hash long, prints array<long>")
+    return items.mapInArrow(cut, "item_id string, words binary, length int, print long").distinct()
+
+
+class Windows:
+    """A block of benchmark windows as flat arrays: per length the sorted hashes and the windows they stand for."""
+
+    def __init__(self, known: pa.Table) -> None:
+        self.prints = np.unique(known["print"].drop_null().to_numpy())
+        self.words, self.items = known["words"].combine_chunks(), known["item_id"].combine_chunks()
+        lengths = known["length"].to_numpy()
+        hashes = np.fromiter((int(gram_hashes(word_hashes(w.as_py().split(b" ")), n)[0]) for w, n in zip(self.words, lengths.tolist())), np.uint64, len(lengths))
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == n)
+            own = own[np.argsort(hashes[own], kind="stable")]
+            self.by_length[n] = (hashes[own], own)
+
+    def confirmed(self, words: list[bytes], starts: np.ndarray, hashes: np.ndarray, n: int) -> Iterator[tuple[int, int, list[int]]]:
+        """(start, n, windows) of the places whose words are those of a window."""
+        known, own = self.by_length[n]
+        lo, hi = np.searchsorted(known, hashes, "left"), np.searchsorted(known, hashes, "right")
+        for i in np.flatnonzero(hi > lo).tolist():
+            text = b" ".join(words[starts[i] : starts[i] + n])
+            same = [int(w) for w in own[lo[i] : hi[i]] if self.words[w].as_py() == text]
+            if same:
+                yield int(starts[i]), n, same
+
+    def hits(self, words: list[bytes], window: int, gram: int) -> Iterator[tuple[int, int, list[int]]]:
+        """(start, length, windows) of every benchmark window that occurs in a document."""
+        h = word_hashes(words)
+        for n in self.by_length:
+            if len(h) < n:
+                continue
+            if n < window:
+                yield from self.confirmed(words, np.arange(len(h) - n + 1), gram_hashes(h, n), n)
+                continue
+            grams = gram_hashes(h, gram)
+            at = winnow(grams, window - gram + 1)
+            at = at[_isin(grams[at].view(np.int64), self.prints)]
+            starts = np.unique((at[:, None] - np.arange(window - gram + 1)[None, :]).ravel())
+            starts = starts[(starts >= 0) & (starts <= len(h) - window)]
+            whole = np.full(len(starts), _start(window), np.uint64)
+            for j in range(window):
+                whole = _stir(whole * MUL + h[starts + j])
+            yield from self.confirmed(words, starts, whole, n)
 
 
 def _isin(values: np.ndarray, table_: np.ndarray) -> np.ndarray:
@@ -118,31 +168,8 @@ def _isin(values: np.ndarray, table_: np.ndarray) -> np.ndarray:
     return table_[at] == values
 
 
-def scan_words(words: np.ndarray, prints: np.ndarray, windows: dict[int, np.ndarray], window: int, gram: int) -> list[tuple[int, int, int]]:
-    """(start, length, window hash) of each benchmark window in the document."""
-    hits: list[tuple[int, int, int]] = []
-    full = windows.get(window)
-    if full is not None and len(words) >= window:
-        grams = gram_hashes(words, gram)
-        at = winnow(grams, window - gram + 1)
-        at = at[_isin(grams[at].view(np.int64), prints)]
-        if len(at):
-            starts = np.unique((at[:, None] - np.arange(window - gram + 1)[None, :]).ravel())
-            starts = starts[(starts >= 0) & (starts <= len(words) - window)]
-            h = np.full(len(starts), _start(window), np.uint64)
-            for j in range(window):
-                h = _stir(h * MUL + words[starts + j])
-            good = _isin(h.view(np.int64), full)
-            hits += zip(starts[good].tolist(), [window] * int(good.sum()), h[good].view(np.int64).tolist())
-    for n, known in windows.items():
-        if n != window:
-            h = gram_hashes(words, n).view(np.int64)
-            good = np.flatnonzero(_isin(h, known))
-            hits += zip(good.tolist(), [n] * len(good), h[good].tolist())
-    return hits
-
-
 def covered(spans: list[tuple[int, int]]) -> int:
+    """Number of words inside the (start, length) spans."""
     end = total = 0
     for s, n in sorted(spans):
         total += max(0, s + n - max(end, s))
@@ -150,47 +177,64 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def scan_documents(docs: DataFrame, known: DataFrame, carry: list[str], window: int, gram: int, block_windows: int) -> DataFrame:
-    """carry columns, n_words, n_hit, hashes (of the windows that occur) and _row of each document; known: benchmark_windows."""
-    spark = docs.sparkSession
-    distinct = known.groupBy("window_hash", "length").agg(F.flatten(F.collect_set("prints")).alias("prints"))
+VERDICT = StructType().add("n_words", LongType()).add("n_hit", LongType()).add("item_ids", ArrayType(StringType()))
+SPANS = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64())]))
+
+
+def block_of(known: DataFrame, block: int, blocks: int) -> Windows:
+    """One bounded block of the benchmark's windows, on the driver to be broadcast."""
+    own = known.filter(F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks)) == block)
+    return Windows(own.select("item_id", "words", "length", "print").toArrow())
+
+
+def scan_documents(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """``docs`` with n_words, n_hit and item_ids (sorted as strings), instead of columns of those names; one scan for a benchmark of one block."""
+    base = docs.drop(*VERDICT.names)
+    known = materialize(benchmark_windows(bench, window, gram), "windows")
     blocks = max(1, -(-known.count() // block_windows))
+    at, sc = base.columns.index("text"), docs.sparkSession.sparkContext
+
+    def judge(windows: Windows, value: pa.Scalar) -> tuple[int, list[tuple[int, int]], set[str]]:
+        words = words_of(value)
+        found = list(windows.hits(words, window, gram))
+        return len(words), [(s, n) for s, n, _ in found], {windows.items[w].as_py() for w in {w for *_, ws in found for w in ws}}
+
+    if blocks == 1:
+        sent = sc.broadcast(block_of(known, 0, 1))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = [judge(sent.value, t) for t in b.column(at)]
+                cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([covered(r[1]) for r in rows], pa.int64()), pa.array([sorted(r[2]) for r in rows], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *VERDICT.names])
+
+        return base.mapInArrow(scan, StructType([*base.schema.fields, *VERDICT.fields]))
+
+    (row,) = free_names(base, "_row")
+    numbered = materialize(base.withColumn(row, F.monotonically_increasing_id()), "rows")
     found: DataFrame | None = None
-    fields = docs.select(*carry).schema
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_words long, spans array<struct<s:int,n:int>>, n_hit long, hashes array<long>, _row long"
-    source = docs.select(*carry, F.monotonically_increasing_id().alias("_row"), F.col("text").cast("string").alias("text"))
-    if blocks > 1:
-        source = source.withColumn("_row", F.xxhash64("_row", *carry))
     for k in range(blocks):
-        part = distinct.filter(F.pmod(F.xxhash64("window_hash"), F.lit(blocks)) == k).collect()  # a bounded block of the query set
-        prints = np.unique(np.array([p for r in part for p in r["prints"]], np.int64))
-        windows = {n: np.unique(np.array([r["window_hash"] for r in part if r["length"] == n], np.int64)) for n in {r["length"] for r in part}}
-        sent = spark.sparkContext.broadcast((prints, windows))
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            prints, windows = sent.value
-            span_t = pa.list_(pa.struct([("s", pa.int32()), ("n", pa.int32())]))
+        sent_k = sc.broadcast(block_of(known, k, blocks))
+
+        def scan_block(batches: Iterator[pa.RecordBatch], sent=sent_k, first=k == 0) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                n_words, spans, n_hit, hashes = [], [], [], []
-                for t in b.column("text"):
-                    words = word_hashes(t.as_buffer().to_pybytes()) if t.is_valid else np.empty(0, np.uint64)
-                    hits = scan_words(words, prints, windows, window, gram)
-                    n_words.append(len(words))
-                    own = [(s, n) for s, n, _ in hits]
-                    n_hit.append(covered(own))
-                    spans.append([{"s": s, "n": n} for s, n in own] if blocks > 1 else [])
-                    hashes.append(sorted({h for _, _, h in hits}))
-                cols = [b.column(i) for i in range(len(carry))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n_words, pa.int64()), pa.array(spans, span_t), pa.array(n_hit, pa.int64()), pa.array(hashes, pa.list_(pa.int64())), b.column("_row")], names=[*carry, "n_words", "spans", "n_hit", "hashes", "_row"])
-
-        one = source.mapInArrow(scan, out_schema)
+                rows = [(i, *judge(sent.value, t)) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
+                rows = [r for r in rows if first or r[2]]
+                cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([[{"s": s, "n": n} for s, n in r[2]] for r in rows], SPANS), pa.array([sorted(r[3]) for r in rows], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(cols, names=[row, "n_words", "spans", "item_ids"])
+
+        one = numbered.select(row, "text").mapInArrow(scan_block, f"`{row}` long, n_words long, spans array<struct<s:long,n:long>>, item_ids array<string>")
         found = one if found is None else found.unionByName(one)
-    if blocks > 1:
-        zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("total"))
-        step = lambda a, x: F.struct(F.greatest(a["end"], (x["s"] + x["n"]).cast("long")).alias("end"), (a["total"] + F.greatest(F.lit(0).cast("long"), (x["s"] + x["n"]).cast("long") - F.greatest(a["end"], x["s"].cast("long")))).alias("total"))
-        merged = found.groupBy("_row", *carry).agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("hashes"))
-        found = merged.withColumn("n_hit", F.aggregate("spans", zero, step, lambda a: a["total"]))
-    return found
+    zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("total"))
+
+    def step(a: Column, x: Column) -> Column:
+        stop = x["s"] + x["n"]
+        return F.struct(F.greatest(a["end"], stop).alias("end"), (a["total"] + F.greatest(F.lit(0).cast("long"), stop - F.greatest(a["end"], x["s"]))).alias("total"))
+
+    lists = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))  # noqa: E731  bounded by the document
+    merged = found.groupBy(row).agg(F.max("n_words").alias("n_words"), F.sort_array(lists("spans")).alias("_spans"), F.sort_array(lists("item_ids")).alias("item_ids"))
+    merged = merged.select(row, "n_words", F.aggregate("_spans", zero, step, lambda a: a["total"]).alias("n_hit"), "item_ids")
+    return numbered.join(merged, row).drop(row)
 
 
 def is_contaminated() -> Column:
@@ -200,23 +244,16 @@ def is_contaminated() -> Column:
 
 def decontaminate(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, item_ids (sorted as strings), contaminated."""
-    carry = ["doc_id"]
-    known = benchmark_windows(bench, window, gram).distinct().persist()
-    found = materialize(scan_documents(docs, known, carry, window, gram, block_windows), "hits")  # narrow; read twice below
-    hit = found.filter(F.size("hashes") > 0)
-    clean = found.filter(F.size("hashes") == 0).withColumn("item_ids", F.array().cast("array<string>"))
-    pairs = hit.select("_row", *carry, "n_words", "n_hit", F.explode("hashes").alias("window_hash")).join(known.select("window_hash", "item_id"), "window_hash")
-    named = pairs.groupBy("_row", *carry, "n_words", "n_hit").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    both = clean.select(*carry, "n_words", "n_hit", "item_ids").unionByName(named.select(*carry, "n_words", "n_hit", "item_ids"))
-    return both.withColumn("contaminated", is_contaminated())
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    judged = scan_documents(texts, bench, window, gram, block_windows).drop("text")
+    return judged.withColumn("contaminated", is_contaminated())
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents that are not contaminated; columns as given."""
-    known = benchmark_windows(bench, window, gram).distinct().persist()
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], F.col("text").cast("string").alias("text"))
-    kept = scan_documents(plain, known, plain.columns[:-1], window, gram, block_windows).filter(~is_contaminated())
-    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    plain = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"_c{i}") for i, c in enumerate(docs.columns)])
+    kept = scan_documents(plain, bench, window, gram, block_windows).filter(~is_contaminated())
+    return kept.select(*[F.col("text" if c == "text" else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op10_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,24 +10,27 @@ stays fractional (two units a block at most) goes to the next level, and the
 last two units of a source are landed by the choice nearest to its word total.
 Large documents fly first, so that the landing is left with small ones.
 
+A document is known by doc_id, source and a hash of its text; rows equal in all
+of them are numbered, so they too are spread over the blocks, and which numbers
+are taken does not depend on where the rows lie.
+
 Defined edge cases: a null or empty text has size 0 and may be taken (0 words);
-a null source is a source of its own and sorts last; repeated rows are
-documents of their own; an empty table gives an empty result; other columns
-are ignored.
+a null source is a source of its own and sorts last; repeated rows, and rows
+with null or repeated doc_ids, are documents of their own; an empty table gives
+an empty result; other columns are ignored by ``mix`` and kept, whatever their
+names, by ``apply_mix``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialize, table, with_row_number
+from corpusloom.llm.common import free_names, materialize, table, with_row_number
 
+WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_REPEAT = 2.0
@@ -36,15 +39,29 @@ EPS = 1e-9
 
 
 def word_sizes(docs: DataFrame, *carry: str) -> DataFrame:
-    """(doc_id, source, size, long columns to carry): number of runs of bytes other than space and \\x09-\\x0D."""
+    """(doc_id, source, size, fp, columns to carry): size counts runs other than space and \\x09-\\x0D, fp is a hash of the text."""
+    text = F.col("text").cast("string")
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"), F.xxhash64(text).alias("fp"), *carry)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(sizes, pa.int64()), *(b.column(c) for c in carry)], names=["doc_id", "source", "size", *carry])
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), *carry)
-    return narrow.mapInArrow(count, "doc_id long, source string, size long" + "".join(f", {c} long" for c in carry))
+def numbered_copies(sizes: DataFrame) -> DataFrame:
+    """The written ``sizes`` with unit: a hash of doc_id, source, fp and a number that is different among equal rows.
+
+    Equal rows are counted first; only those that have equals are numbered, inside their partition and then from the counts of
+    the partitions before it, so that no group of equals is gathered in one task.
+    """
+    same = ["doc_id", "source", "fp"]
+    marked = sizes.withColumn("unit", F.xxhash64(*same))
+    groups = marked.groupBy("unit").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("unit")
+    single = marked.join(groups, "unit", "left_anti")
+    several = materialize(marked.join(groups, "unit", "left_semi").withColumn("_at", F.monotonically_increasing_id()), "equals")
+    placed = several.withColumn("_p", F.shiftright("_at", 20))  # runs of a million rows of a partition
+    here = placed.groupBy("unit", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    before = here.withColumn("_o", F.coalesce(F.sum("_c").over(Window.partitionBy("unit").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
+    local = placed.withColumn("_k", F.row_number().over(Window.partitionBy("unit", "_p").orderBy("_at"))).join(before, ["unit", "_p"])
+    counted = local.withColumn("unit", F.xxhash64("unit", F.col("_o") + F.col("_k")))
+    return single.unionByName(counted.select(*single.columns))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = MAX_REPEAT) -> DataFrame:
@@ -128,18 +145,19 @@ def land(p: np.ndarray, z: np.ndarray) -> np.ndarray:
 
 def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, carry: tuple[str, ...] = (), **targets: float) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken, and the long columns to carry."""
-    sizes = materialize(word_sizes(docs, *carry), "sizes")
-    src = source_targets(sizes, **targets)
+    written = materialize(word_sizes(docs, *carry), "sizes")
+    src = source_targets(written, **targets)
+    sizes = numbered_copies(written)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     small = F.broadcast(src) if src.count() <= 10_000 else src
     rows = sizes.join(small, sizes.source.eqNullSafe(src.source)).drop(src.source)
     base = F.floor(ratio + F.lit(EPS)).cast("int")
     rows = rows.withColumn("base", base).withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("base"))).withColumn("left", F.col("n_docs"))
-    columns = ["doc_id", "source", "size", "source_size", "target", "base", "p", *carry]
-    schema = "doc_id long, source string, size long, source_size long, target double, base int, p double, " + "".join(f"{c} long, " for c in carry) + "left long, last boolean"
+    columns = ["doc_id", "source", "size", "unit", "source_size", "target", "base", "p", *carry]
+    schema = "doc_id long, source string, size long, unit long, source_size long, target double, base int, p double, " + "".join(f"{c} long, " for c in carry) + "left long, last boolean"
 
     def run_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "_h", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "_h"], ascending=[False, True], kind="stable").reset_index(drop=True)
         blocks = int(pdf["_blocks"].iloc[0])
         p, z = fly(pdf["p"].to_numpy(), pdf["size"].to_numpy(), seed + int(pdf["_block"].iloc[0])), pdf["size"].to_numpy()
         pdf["p"] = land(p, z) if blocks == 1 else p
@@ -150,7 +168,7 @@ def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, carry: tuple[str, ..
     level = 0
     while True:
         n = F.ceil(F.col("left") / F.lit(block)).cast("long")
-        keyed = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(seed))).withColumn("_blocks", F.greatest(n, F.lit(1)))
+        keyed = rows.withColumn("_h", F.xxhash64("unit", F.lit(seed))).withColumn("_blocks", F.greatest(n, F.lit(1)))
         keyed = keyed.withColumn("_block", F.pmod(F.xxhash64("_h", F.lit(level)), F.col("_blocks")))
         flown = materialize(keyed.groupBy("source", "_block").applyInPandas(run_block, schema), f"cube{level}")
         landed = F.col("last") | (F.col("p") == 0) | (F.col("p") == 1)
@@ -168,12 +186,12 @@ def mix(docs: DataFrame, seed: int = 7, block: int = BLOCK, carry: tuple[str, ..
 
 def apply_mix(docs: DataFrame, **options: float) -> DataFrame:
     """The documents of the mix, each as often as the mix takes it; columns as given."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # doc_ids may be null or repeated
-    copies = mix(numbered, carry=("_row",), **options).select("_row", F.col("copies").alias("_copies"))
-    joined = numbered.join(copies, "_row")
-    times = F.sequence(F.lit(1), F.col("_copies"))
-    taken = joined.filter(F.col("_copies") > 0).withColumn("_copy", F.explode(times))
-    return taken.select(*docs.columns)
+    row, times = free_names(docs, "_row", "_copies")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # doc_ids may be null or repeated
+    copies = mix(numbered, carry=(row,), **options).select(row, F.col("copies").alias(times))
+    joined = numbered.join(copies.filter(F.col(times) > 0), row)
+    taken = joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return taken.drop(row, times)
 
 
 def op9_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,14 @@ rectified responses are max-pooled over overlapping chunks (CHUNK bytes, half
 of it apart) that cover every byte.  The mean and the maximum of the chunk
 vectors, as one vector, go through a logistic layer to one probability.
 
-The network is fitted on the driver on at most TRAIN_ROWS labelled rows and
-TRAIN_CHARS characters of each (both documented bounds of the fit, not of the
-scoring); the fitted arrays, a few hundred kB, are broadcast.
+The network is fitted on the driver on the whole texts of at most TRAIN_ROWS
+labelled rows, 48 MB together (the documented bound of the sample); the fitted
+arrays, a few hundred kB, are broadcast.
 
 Defined edge cases: null and empty texts are scored as a run of zero bytes;
-without any usable label the score is 0.5; repeated rows are scored each.
-Extra columns are ignored, or kept by ``score_column``'s caller.
+without labels of both kinds, or on an empty table, the score is 0.5; repeated
+rows and repeated or null doc_ids are scored each; long texts are convolved
+piece by piece, in bounded memory.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
-from corpusloom.llm.learning import split_of, training_texts
+from corpusloom.llm.learning import TRAIN_BYTES, split_of, training_texts
 
 KERNEL = 5
 FILTERS = 16
 CHUNK = 512
 TRAIN_ROWS = 3000
-TRAIN_CHARS = 6000
 EPOCHS = 8
 THRESHOLD = 0.3
 
@@ -50,40 +50,39 @@ class ByteCNN:
         raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
         return np.concatenate([raw, np.zeros(KERNEL - 1 + (len(raw) == 0), np.uint8)])
 
-    def chunks(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Max-pooled responses per chunk and the positions they come from."""
-        n = len(raw) - KERNEL + 1
-        out = self.table[0][raw[:n]]
-        for j in range(1, KERNEL):
-            out = out + self.table[j][raw[j : j + n]]
-        half = CHUNK // 2
-        starts = np.arange(0, max(1, n - half), half)  # the last chunk ends with the document
-        pooled = np.empty((len(starts), FILTERS), np.float32)
-        where = np.empty((len(starts), FILTERS), np.int64)
-        for c, s in enumerate(starts):
-            part = out[s : s + CHUNK] if c < len(starts) - 1 else out[s:]
-            where[c] = s + part.argmax(axis=0)
-            pooled[c] = part.max(axis=0)
-        return np.maximum(pooled + self.bias, 0), where
-
-    def features(self, raw: np.ndarray) -> np.ndarray:
-        n = len(raw) - KERNEL + 1
-        half = CHUNK // 2
-        starts = np.arange(0, max(1, n - half), half)
-        blocks = np.empty((len(starts) + 1, FILTERS), np.float32)
-        for s in range(0, len(starts), 256):  # long texts in pieces: bounded memory
-            lo, hi = s * half, min(n, (min(s + 256, len(starts)) + 1) * half) if s + 256 < len(starts) else n
+    def pieces(self, raw: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first chunk, first position, responses) of runs of at most 256 chunks, which overlap by half a chunk."""
+        n, half = len(raw) - KERNEL + 1, CHUNK // 2
+        count = max(1, -(-(n - half) // half))
+        for c in range(0, count, 256):
+            lo, hi = c * half, n if c + 256 >= count else (c + 257) * half
             out = self.table[0][raw[lo:hi]]
             for j in range(1, KERNEL):
                 out += self.table[j][raw[lo + j : hi + j]]
-            cuts = np.arange(0, min(256, len(starts) - s) + 1) * half
-            cuts = cuts[cuts < hi - lo]
-            top = np.maximum.reduceat(out, cuts, axis=0)
-            blocks[s : s + len(top)] = top
-            last = s + len(top)
-        pooled = np.maximum(blocks[: max(1, last - 1)], blocks[1:last]) if last > 1 else blocks[:1]
-        pooled = np.maximum(pooled + self.bias, 0)
-        return np.concatenate([pooled.mean(axis=0), pooled.max(axis=0)])
+            yield c, lo, out
+
+    def chunks(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Max-pooled responses per chunk and the positions they come from; the last chunk ends with the document."""
+        pooled, where, half = [], [], CHUNK // 2
+        for _, lo, out in self.pieces(raw):
+            for s in range(0, max(1, len(out) - half), half):
+                part = out[s : s + CHUNK]
+                where.append(lo + s + part.argmax(axis=0))
+                pooled.append(part.max(axis=0))
+        return np.maximum(np.stack(pooled) + self.bias, 0), np.stack(where)
+
+    def features(self, raw: np.ndarray) -> np.ndarray:
+        """Mean and maximum of the chunk vectors."""
+        total, top, count, half = np.zeros(FILTERS, np.float64), None, 0, CHUNK // 2
+        for _, _, out in self.pieces(raw):
+            blocks = np.maximum.reduceat(out, np.arange(0, len(out), half), axis=0)
+            pooled = np.maximum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
+            pooled = np.maximum(pooled + self.bias, 0)
+            total += pooled.sum(axis=0)
+            count += len(pooled)
+            best = pooled.max(axis=0)
+            top = best if top is None else np.maximum(top, best)
+        return np.concatenate([total / count, top]).astype(np.float32)
 
     def score(self, raw: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.features(raw) @ self.weight + self.offset[0], -30, 30))))
@@ -124,8 +123,8 @@ class ByteCNN:
         return self
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> ByteCNN | None:
-    texts, y = training_texts(docs, labels, "quality", split_of(F.col("doc_id"), 5) != 0, rows, chars)
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, total: int = TRAIN_BYTES) -> ByteCNN | None:
+    texts, y = training_texts(docs, labels, "quality", split_of(F.col("doc_id"), 5) != 0, rows, total)
     return ByteCNN().fit(texts, y) if len(set(y)) == 2 else None
 
 

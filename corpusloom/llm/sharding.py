@@ -4,41 +4,44 @@
 shards`` and ``slot = y div shards`` are computable for any row without
 looking at the others, shard counts differ by one at most, and slots have no
 gaps.  The domain is an a*b grid just above n; values that leave 0..n-1 walk
-the cycle until they are back inside.
+the cycle until they are back inside.  A walk visits each cell outside 0..n-1
+once at most, so the sides are chosen to leave few such cells and the walk is
+as long as their number: no value can stay outside.
 
 Defined edge cases: null doc_ids sort first; null texts have 0 bytes and the
 CRC of the empty text; rows equal in every ordering column are
-interchangeable; an empty table gives an empty result.  Columns named like
-the outputs are replaced.
+interchangeable; repeated or null doc_ids are rows like others; an empty table
+gives an empty result.  Columns named like the outputs are replaced, all others
+kept.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import table, with_row_number
+from corpusloom.llm.common import free_names, table, with_row_number
 
 ROUNDS = 4
-MAX_WALK = 128
+SIDES = 1 << 20  # sides to choose from
 
 
 def grid(n: int) -> tuple[int, int, int]:
-    """Sides of the smallest near-square grid that holds n cells, and the bound on the cycle walk."""
-    a = max(1, math.isqrt(max(0, n - 1)) + 1)
-    b = max(1, -(-n // a))
-    return a, b, min(MAX_WALK, a * b - n + 1)
+    """Sides of a near-square grid that holds n cells and few more, and the steps after which a cycle walk has left those."""
+    n = max(1, n)
+    least = math.isqrt(n - 1) + 1
+    sides = np.arange(least, least + min(least, SIDES), dtype=np.int64)
+    spare = -n % sides
+    best = int(spare.argmin())
+    a = int(sides[best])
+    return a, -(-n // a), int(spare[best]) + 1
 
 
 def feistel(x: Column, n: int, seed: int) -> Column:
-    """Permutation of 0..n-1 as a column expression, inside the JVM.
-
-    The walk is bounded by the number of grid cells outside 0..n-1; for large
-    n that number is cut at MAX_WALK, where the chance of still being outside
-    is (1/sqrt(n))**128.
-    """
+    """Permutation of 0..n-1 as a column expression, inside the JVM; the walk ends inside for every value (see ``grid``)."""
     a, b, walk = grid(n)
 
     def once(v: Column) -> Column:
@@ -60,11 +63,13 @@ def feistel(x: Column, n: int, seed: int) -> Column:
 
 def assign_shards(df: DataFrame, order: list[Column], shards: int = 8, seed: int = 20240229) -> DataFrame:
     """Every row of ``df`` with ``shard`` and ``slot``; ``order`` fixes the global row numbers."""
-    numbered, n = with_row_number(df.drop("shard", "slot", "_row", "_to"), order, "_row", "shard")
-    placed = numbered.withColumn("_to", feistel(F.col("_row"), max(n, 1), seed))
-    shard = (F.col("_to") % F.lit(shards)).cast("int")
-    slot = F.floor(F.col("_to") / F.lit(shards)).cast("long")
-    return placed.withColumn("shard", shard).withColumn("slot", slot).drop("_row", "_to")
+    base = df.drop("shard", "slot")
+    row, to = free_names(base, "_row", "_to")
+    numbered, n = with_row_number(base, order, row, "shard")
+    placed = numbered.withColumn(to, feistel(F.col(row), max(n, 1), seed))
+    shard = (F.col(to) % F.lit(shards)).cast("int")
+    slot = F.floor(F.col(to) / F.lit(shards)).cast("long")
+    return placed.withColumn("shard", shard).withColumn("slot", slot).drop(row, to)
 
 
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

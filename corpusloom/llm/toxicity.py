@@ -3,26 +3,30 @@
 Folding lower-cases, maps look-alike letters of other scripts to Latin, and
 reads digits and signs inside words as the letters they stand for.  The
 automaton holds whole words and word stems with weights, and exception
-phrases that take the weight of the word inside them back.  The weighted sum,
+phrases: a match inside one of them does not count.  The weighted sum,
 normalised by the length in words, becomes a probability by a logistic curve.
 
-Lexicon, exceptions and curve are learnt on the driver from at most TRAIN_ROWS
-labelled rows and TRAIN_CHARS characters of each (bounds of the fit only).
-Near copies among them count once, so that the words of one much-copied text
-are not taken for toxic ones.
+Lexicon, exceptions and curve are learnt on the driver from the whole texts of
+at most TRAIN_ROWS labelled rows, 48 MB together (the documented bound of the
+sample).  Near copies among them count once, so that the words of one
+much-copied text are not taken for toxic ones.
 
 Defined edge cases: null and empty texts have no match and get the curve's
-value at 0; without any toxic and clean label all scores are 0; repeated rows
-are scored each; extra columns are kept by ``drop_toxic``.
+value at 0; without labels of both kinds all scores are close to 0; an empty
+table gives an empty result; repeated rows and repeated or null doc_ids are
+scored each; folding and matching take time in proportion to the text, also
+for one very long word; ``drop_toxic`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -30,57 +34,87 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from corpusloom.llm.common import table
-from corpusloom.llm.learning import split_of, training_texts
+from corpusloom.llm.common import free_names, table
+from corpusloom.llm.learning import TRAIN_BYTES, split_of, training_texts
 
 TRAIN_ROWS = 6000
-TRAIN_CHARS = 20_000
-STEM = 4  # shortest stem, in characters
-MIN_DOCS = 6
+STEM, LONGEST_STEM = 4, 9  # in characters
+MIN_DOCS = 4
 MIN_PURITY = 0.9
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
 #: Letters of other scripts that look like Latin ones.
-HOMOGLYPHS = str.maketrans("асеорхуіјѕһԁԛԝκοανρτυιɡ", "aceopxyijshdqwkoavptuig")
-SEEN = re.compile("[асеорхуіјѕһԁԛԝκοανρτυιɡ]")
+LOOKS = dict(zip("асеорхуіјѕһԁԛԝκοανρτυιɡ", "aceopxyijshdqwkoavptuig"))
+HOMOGLYPHS, SEEN = str.maketrans(LOOKS), re.compile(f"[{''.join(LOOKS)}]")
 #: Digits and signs that stand for letters inside words.
 DIGITS = str.maketrans("013457@$!", "oieastasi")
-MIXED = re.compile(r"[\w@$!]*[^\W\d_][0-9@$!]+[^\W_][\w@$!]*|\b[0-9@$]+[^\W\d_]{2}[\w@$!]*")
+#: A whole run of word characters and signs with a digit or sign in it; each place of a text is looked at once.
+RUN = re.compile(r"(?<![\w@$!])[^\W0-9]*+[0-9@$!][\w@$!]*+")
+INSIDE = re.compile(r"[^\W\d_][0-9@$!]+[^\W_]")
+AHEAD = re.compile(r"[0-9][0-9@$]*[^\W\d_]{2}")
+
+
+def _spelled(run: re.Match) -> str:
+    """The run with digits and signs read as letters if they stand between or before letters; signs at its ends stay."""
+    word = run[0]
+    body = word.strip("!")
+    if not (INSIDE.search(body) or AHEAD.match(body)):
+        return word
+    return word.replace(body, body.translate(DIGITS), 1)
 
 
 def fold(text: str | None) -> str:
     """Words in folded form between single spaces, with a space at both ends."""
     t = (text or "").lower()
-    if SEEN.search(t):
+    if not t.isascii() and SEEN.search(t):
         t = t.translate(HOMOGLYPHS)
-    t = MIXED.sub(lambda m: m[0].translate(DIGITS), t)
-    return " " + " ".join(WORD.findall(t)) + " "
+    return " " + " ".join(WORD.findall(RUN.sub(_spelled, t))) + " "
 
 
 class Lexicon:
     """Weighted patterns and exception phrases over folded text, and the curve from weight and length to a probability."""
 
-    def __init__(self, weights: dict[str, float], exceptions: dict[str, float] | None = None, curve: tuple[float, float, float] = (-4.0, 6.0, 1.0)) -> None:
-        self.patterns = {**weights, **{p: -abs(w) for p, w in (exceptions or {}).items()}}
-        self.curve = curve
+    def __init__(self, weights: dict[str, float], exceptions: Iterable[str] = (), curve: tuple[float, float, float] = (-4.0, 6.0, 1.0)) -> None:
+        self.weights, self.exceptions, self.curve = dict(weights), frozenset(exceptions), curve
 
     @functools.cached_property
     def automaton(self) -> ahocorasick.Automaton:
         a = ahocorasick.Automaton()
-        for p, w in self.patterns.items():
-            a.add_word(p, w)
+        for p in self.weights.keys() | self.exceptions:
+            a.add_word(p, (len(p), self.weights.get(p, 0.0), p in self.exceptions))
         a.make_automaton()
         return a
 
     def __getstate__(self) -> dict:
-        return {"patterns": self.patterns, "curve": self.curve}
+        return {"weights": self.weights, "exceptions": self.exceptions, "curve": self.curve}
+
+    def total(self, folded: str) -> float:
+        """Weight of all matches that are not inside an exception phrase."""
+        if not self.weights:
+            return 0.0
+        found: list[tuple[int, int, float]] = []
+        excused: list[tuple[int, int]] = []
+        for end, (size, weight, exception) in self.automaton.iter(folded):
+            if exception:
+                excused.append((end + 1 - size, end))
+            elif weight:
+                found.append((end + 1 - size, end, weight))
+        if not excused:
+            return sum(w for _, _, w in found)
+        excused.sort()
+        starts, reach = [s for s, _ in excused], list(itertools.accumulate((e for _, e in excused), max))
+
+        def counts(start: int, end: int) -> bool:
+            i = bisect.bisect_right(starts, start)
+            return not i or reach[i - 1] < end
+
+        return sum(w for s, e, w in found if counts(s, e))
 
     def features(self, folded: str) -> tuple[float, float]:
-        """Matched weight (capped below at 0): whether any, and per hundred words on a log scale."""
-        if not self.patterns:
-            return 0.0, 0.0
-        total = max(0.0, sum(w for _, w in self.automaton.iter(folded)))
+        """Matched weight: whether any, and per hundred words on a log scale."""
+        total = self.total(folded)
         return min(1.0, total), math.log1p(100 * total / (folded.count(" ") + 20))
 
     def score(self, text: str | None) -> float:
@@ -89,9 +123,14 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, c0 + c1 * a + c2 * b))))
 
 
+_SKETCH = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
+
+
 def _sketch(words: list[str]) -> list[int]:
+    """Four minimum hashes of the three-word shingles."""
     grams = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-    return [min(xxhash.xxh3_64_intdigest(g, seed=s) for g in grams) for s in range(4)]
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64, len(grams))
+    return [int((h * f ^ (h * f >> np.uint64(32))).min()) for f in _SKETCH]
 
 
 def learn(texts: list[str], labels: list[int]) -> Lexicon:
@@ -117,7 +156,7 @@ def learn(texts: list[str], labels: list[int]) -> Lexicon:
         keys = set()
         for w in set(words):
             keys.add(f" {w} ")
-            keys.update(f" {w[:k]}" for k in range(STEM, min(len(w), 9) + 1))
+            keys.update(f" {w[:k]}" for k in range(STEM, min(len(w), LONGEST_STEM) + 1))
         for k in keys:
             df[k][y] += 1
 
@@ -129,15 +168,15 @@ def learn(texts: list[str], labels: list[int]) -> Lexicon:
     weights: dict[str, float] = {}
     for k in sorted(good, key=lambda k: (len(k.rstrip()), k)):
         stem = k.rstrip()
-        if not any(stem[:i] in good and not stem[:i].endswith(" ") and stem[:i] != k for i in range(STEM + 1, len(stem) + 1)):
+        if not any(stem[:i] in good and not stem[:i].endswith(" ") and stem[:i] != k for i in range(STEM + 1, min(len(stem), LONGEST_STEM + 1) + 1)):
             weights[k] = round(math.log((df[k][1] + 0.5) / n[1] / ((df[k][0] + 0.5) / n[0])), 4)
-    phrases: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
+    phrases: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     matcher = Lexicon(weights)
     for _, y, f in docs:
         for end, _w in matcher.automaton.iter(f) if weights else ():
-            for k in _around(f, end):
-                phrases[k][y] += 1
-    exceptions = {p: weights[k] for (p, k), c in phrases.items() if c[0] >= 3 and not c[1] and k in weights}
+            for phrase in _around(f, end):
+                phrases[phrase][y] += 1
+    exceptions = {p for p, c in phrases.items() if c[0] >= 3 and not c[1]}
     lex = Lexicon(weights, exceptions)
     x = np.array([[1.0, *lex.features(f)] for _, _, f in docs])
     y = np.array([y for _, y, _ in docs], float)
@@ -150,20 +189,16 @@ def learn(texts: list[str], labels: list[int]) -> Lexicon:
     return lex
 
 
-def _around(folded: str, end: int) -> list[tuple[str, str]]:
-    """The two-word phrases around the word that ends about ``end``, with the pattern inside."""
+def _around(folded: str, end: int) -> list[str]:
+    """The two-word phrases around the word that ends about ``end``."""
     stop = folded.find(" ", end if folded[end] == " " else end + 1)
     start = folded.rfind(" ", 0, stop)
     before, after = folded.rfind(" ", 0, start), folded.find(" ", stop + 1)
-    word = folded[start : stop + 1]
-    out = []
-    for phrase in (folded[before : stop + 1] if before >= 0 else "", folded[start : after + 1] if after > 0 else ""):
-        out += [(phrase, k) for k in (word, *(word[:i] for i in range(STEM + 1, len(word)))) if phrase]
-    return out
+    return [p for p in (folded[before : stop + 1] if before >= 0 else "", folded[start : after + 1] if after > 0 else "") if p]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Lexicon:
-    return learn(*training_texts(docs, labels, "toxic", split_of(F.col("doc_id"), 4) != 2, rows, chars))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, total: int = TRAIN_BYTES) -> Lexicon:
+    return learn(*training_texts(docs, labels, "toxic", split_of(F.col("doc_id"), 4) != 2, rows, total))
 
 
 def with_score(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFrame:
@@ -177,14 +212,13 @@ def with_score(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFr
             scores = [sent.value.score(t.as_py()) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, name])
 
-    from pyspark.sql.types import DoubleType, StructType
-
     return kept.mapInArrow(run, StructType([*kept.schema.fields]).add(name, DoubleType()))
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose toxicity is below ``threshold``; columns as given."""
-    return with_score(docs, lexicon, "_toxicity").filter(F.col("_toxicity") < threshold).select(*docs.columns)
+    (name,) = free_names(docs, "_toxicity")
+    return with_score(docs, lexicon, name).filter(F.col(name) < threshold).drop(name)
 
 
 def op7_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,17 @@ blocked if an active block rule matches and no active allow rule does.
 
 The join is an equi-join on the key with the time as residual predicate; a
 capture has as many keys as its host has labels, so nothing is multiplied by
-the size of a host.  A popular host is a hot key of a plain shuffle join, which
-adaptive execution can split, and a small list is broadcast by its measured size.
+the size of a host.  Up to SMALL_LIST intervals, counted first, are broadcast.
+A longer list is shuffled: keys that no rule has go before the shuffle where
+they are short (top-level and second-level domains, which most captures share),
+and every key is dealt to SALTS tasks, so a popular host is no hot key.
 
 Defined edge cases: a capture with a null or hostless url, or without a fetch
 time, matches nothing and is kept; entries without rule or time are ignored;
 of entries of one rule at one time, 'add' counts before 'remove' is seen, so
-the removal holds; repeated adds change nothing.  Extra columns are ignored.
+the removal holds; repeated adds change nothing; repeated captures are judged
+each, with the counts of one; an empty list blocks nothing and an empty table
+gives an empty result.  Extra columns of both tables are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import table
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+SMALL_LIST = 200_000
+SALTS = 16
 SEGMENT = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*/([^/?#]+)"
 
 
@@ -51,18 +57,29 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return spans.filter("action = 'add'").select("list", "rule", F.col("effective_at").alias("valid_from"), "valid_to")
 
 
-def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def active_rules(keys: DataFrame, intervals: DataFrame, small_list: int = SMALL_LIST) -> DataFrame:
+    """keys (.., fetched_at, key) with the list and rule of each interval that holds their fetch time."""
+    spans = intervals.withColumnRenamed("rule", "key")
+    on = (F.col("fetched_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
+    if spans.limit(small_list + 1).count() <= small_list:
+        return keys.join(F.broadcast(spans), "key").filter(on)
+    short = F.size(F.split("key", r"\.")) <= 2
+    named = spans.filter(short).select("key").distinct()
+    if named.limit(small_list + 1).count() <= small_list:
+        keys = keys.filter(~short).unionByName(keys.filter(short).join(F.broadcast(named), "key", "left_semi"))
+    salted = keys.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url", "fetched_at"), F.lit(SALTS)).cast("int"))
+    dealt = spans.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(dealt, ["key", "_salt"]).filter(on).drop("_salt")
+
+
+def filter_urls(captures: DataFrame, entries: DataFrame, small_list: int = SMALL_LIST) -> DataFrame:
     """captures (page_id, url, fetched_at) with host, n_block, n_allow, first_rule and blocked as of the fetch time."""
     base = captures.select("page_id", "url", "fetched_at", host_of(F.col("url")).alias("host"))
-    keys = base.select("page_id", "url", "fetched_at", F.explode(rule_keys(F.col("host"), F.coalesce("url", F.lit("")))).alias("rule"))
-    on = (keys.rule == F.col("i.rule")) & (F.col("fetched_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
-    active = keys.join(validity_intervals(entries).alias("i"), on).select("page_id", "url", "fetched_at", "list", F.col("i.rule").alias("rule"))
-    verdict = active.groupBy("page_id", "url", "fetched_at").agg(
-        F.count_if(F.col("list") == "block").alias("n_block"),
-        F.count_if(F.col("list") == "allow").alias("n_allow"),
-        F.min(F.when(F.col("list") == "block", F.col("rule"))).alias("first_rule"),
-    )
-    v = verdict.select(*[F.col(c).alias(f"_{c}") for c in ("page_id", "url", "fetched_at")], "n_block", "n_allow", "first_rule")
+    keys = base.select("page_id", "url", "fetched_at", F.explode(rule_keys(F.col("host"), F.coalesce("url", F.lit("")))).alias("key"))
+    active = active_rules(keys, validity_intervals(entries), small_list)
+    rules = lambda kind: F.collect_set(F.when(F.col("list") == kind, F.col("key")))  # noqa: E731  a capture has few keys
+    verdict = active.groupBy("page_id", "url", "fetched_at").agg(rules("block").alias("_b"), rules("allow").alias("_a"))
+    v = verdict.select(*[F.col(c).alias(f"_{c}") for c in ("page_id", "url", "fetched_at")], F.size("_b").cast("long").alias("n_block"), F.size("_a").cast("long").alias("n_allow"), F.array_min("_b").alias("first_rule"))
     same = base.page_id.eqNullSafe(F.col("_page_id")) & base.url.eqNullSafe(F.col("_url")) & base.fetched_at.eqNullSafe(F.col("_fetched_at"))
     zero = F.lit(0).cast("long")
     out = base.join(v, same, "left").drop("_page_id", "_url", "_fetched_at").withColumns({"n_block": F.coalesce("n_block", zero), "n_allow": F.coalesce("n_allow", zero)})
