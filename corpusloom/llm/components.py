@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(small_low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small_low.select("u", F.col("m").alias("v")))
-        pairs = materialize(small.filter("u <> v").distinct(), "cc")
+        pairs = materialize(small.filter("u <> v").distinct(), "cc", pairs)
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             break

@@ -4,16 +4,18 @@ A document is its set of distinct word shingles.  Equal sets are one class
 from the start, found by a digest.  Each class has a signature of TREES *
 DEPTH minimum hashes; a tree orders the classes by its own sequence of them.
 
-1. Regions of a tree are runs with DEPTH equal leading hashes; inside a region
-   the order goes on with two further hashes, and the row before in it is the
-   first candidate.  The depth is fixed: a crowded region is not deepened, and no
-   prefix lengths are compared; step 2 settles it exactly instead.  Of
-   these each class has its FIRST_TRIES best-looking partners confirmed on the full sets.
-2. In regions that the confirmed links leave in several components, every
-   class outside the region's largest component is compared on the full sets with
-   all classes of other components, in blocks of bounded size, and reports one
-   link to each component it reaches.  So crowded regions lose nothing to their
-   crowd, and no table of pairs is made.
+1. Candidates.  In every tree a class looks at its neighbours on both sides of
+   the order and at the length of the prefix it shares with them.  Of all its
+   neighbours in all trees it takes those with the longest common prefixes
+   first, so the depth it goes down to, or up to, is that of its own region:
+   deep where copies crowd, down to DEPTH where it has hardly any company.  Of
+   these PROBES the FIRST_TRIES with the most alike signatures are confirmed on the full sets.
+2. The rest, exactly.  In regions (DEPTH equal leading hashes) that the confirmed links leave in
+   several components, every class outside the region's largest component is
+   compared on the full sets with the classes of other components.  Regions of
+   more than ``block`` classes are cut into pieces by set size and a hash, and two pieces meet
+   in a task only if their sizes allow a link; inside, a prefix filter on the rarest
+   shingles picks who is compared.  One link between two components is enough, so no table of pairs is made.
 
 Components of the confirmed links are found by joins.  Nothing is capped; a
 pair of exactly the threshold misses all TREES regions with probability
@@ -22,13 +24,15 @@ pair of exactly the threshold misses all TREES regions with probability
 Defined edge cases: null, empty and wordless texts have no shingles and stay
 alone (component: their own doc_id); texts of fewer words than a shingle are
 one shingle; documents without doc_id count as members, but the component takes
-its smallest non-null doc_id; repeated rows are equal sets.  Extra columns are
-ignored.
+its smallest non-null doc_id; repeated rows and repeated doc_ids are members
+each; an empty table gives an empty result.  Extra columns are ignored by
+``near_duplicates`` and kept, whatever their names, by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +41,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialize, table
+from corpusloom.llm.common import free_names, materialize, table
 from corpusloom.llm.components import components
 
 TREES = 32
 DEPTH = 5
 HASHES = TREES * DEPTH
+LANES = 4  # further hashes of a tree's order, 16 bits of each
+PROBES = 6
 FIRST_TRIES = 2
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 2048
 SLACK = 0.12  # signatures of HASHES values are off by more than this in 1 of 7000 cases
 MASK = (1 << 64) - 1
 _rng = np.random.RandomState(97)
@@ -108,7 +114,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def tree_rows(classes: DataFrame) -> DataFrame:
-    """(region, deeper, cid): per class and tree a hash of the tree and its DEPTH leading values, and the order beyond."""
+    """(region, deeper, cid): per class and tree a hash of the tree and its DEPTH leading values, and the next LANES in one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,45 +123,64 @@ def tree_rows(classes: DataFrame) -> DataFrame:
                 continue
             sigs = np.stack([np.frombuffer(_bytes(s), np.uint32) for s in b.column("sig")]).astype(np.uint64)
             for t in range(TREES):
-                order = np.arange(t * DEPTH, t * DEPTH + DEPTH + 2) % HASHES
+                order = np.arange(t * DEPTH, t * DEPTH + DEPTH + LANES) % HASHES
                 key = np.full(len(cids), np.uint64(t + 1), np.uint64)
                 for j in order[:DEPTH]:
                     key = _stir(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, j])
-                deeper = ((sigs[:, order[DEPTH]] >> np.uint64(1)) << np.uint64(32)) | sigs[:, order[DEPTH + 1]]
+                deeper = np.zeros(len(cids), np.uint64)
+                for j in order[DEPTH:]:
+                    deeper = (deeper << np.uint64(16)) | (sigs[:, j] & np.uint64(0xFFFF))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(deeper.view(np.int64)), pa.array(cids)], names=["region", "deeper", "cid"])
 
     return classes.select("cid", "sig").mapInArrow(run, "region long, deeper long, cid long")
 
 
+def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of two places of one region."""
+    differ = (x ^ y).view(np.uint64)
+    return DEPTH + sum((differ >> np.uint64(16 * lane) == 0).astype(np.int64) for lane in range(LANES))
+
+
 def region_members(rows: DataFrame) -> DataFrame:
-    """(region, cid, near): the classes of regions with company; near is the one before in the order (null for the first)."""
+    """(region, cid, one, one_depth, two, two_depth): the classes of regions with company, and the two before in the order with their common prefixes."""
+    names = ["region", "cid", "one", "one_depth", "two", "two_depth"]
+
+    def told(r: np.ndarray, d: np.ndarray, c: np.ndarray, lo: int, hi: int) -> pa.RecordBatch:
+        """The rows lo..hi, with what stands before and after them in view."""
+        columns: list[pa.Array] = []
+        same = r[1:] == r[:-1]
+        company = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        at = np.flatnonzero(company[lo:hi]) + lo
+        for back in (1, 2):
+            prior = np.maximum(at - back, 0)
+            none = (at < back) | (r[prior] != r[at])
+            columns += [pa.array(c[prior], mask=none), pa.array(common_prefix(d[prior], d[at]), mask=none)]
+        return pa.RecordBatch.from_arrays([pa.array(r[at]), pa.array(c[at]), *columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, int] | None = None  # the last row, not yet known to have company
-        inside = False
+        r = d = c = np.empty(0, np.int64)
+        told_to = 0  # the rows before this one in r, d, c are told already; two of them stay in view
         for b in batches:
-            r, c = b.column("region").to_numpy(), b.column("cid").to_numpy()
-            if not len(r):
-                continue
-            if held is not None:
-                r, c = np.concatenate([[held[0]], r]), np.concatenate([[held[1]], c])
-            same = r[1:] == r[:-1]
-            before = np.concatenate([[inside], same])
-            after = np.concatenate([same, [False]])
-            keep = before | after
-            keep[-1] = False
-            near = np.concatenate([[-1], c[:-1]])
-            if held is not None and inside:
-                near[0] = prior
-            i = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(r[i]), pa.array(c[i]), pa.array(near[i], mask=~before[i])], names=["region", "cid", "near"])
-            held, inside = (int(r[-1]), int(c[-1])), bool(before[-1])
-            prior = int(near[-1])
-        if held is not None and inside:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[1]]), pa.array([prior])], names=["region", "cid", "near"])
+            r, d, c = (np.concatenate([x, b.column(n).to_numpy()]) for x, n in zip((r, d, c), ("region", "deeper", "cid")))
+            if len(r) - 1 > told_to:  # the last row waits for its successor
+                yield told(r, d, c, told_to, len(r) - 1)
+                cut = max(0, len(r) - 3)
+                r, d, c, told_to = r[cut:], d[cut:], c[cut:], len(r) - 1 - cut
+        if len(r) > told_to:
+            yield told(r, d, c, told_to, len(r))
 
     ordered = rows.repartition("region").sortWithinPartitions("region", "deeper", "cid")
-    return ordered.mapInArrow(run, "region long, cid long, near long")
+    return ordered.mapInArrow(run, "region long, cid long, one long, one_depth long, two long, two_depth long")
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """(a, b): of each class the PROBES neighbours with the longest common prefixes over all trees."""
+    near = [members.filter(f"{n} is not null").select(F.least("cid", n).alias("a"), F.greatest("cid", n).alias("b"), F.col(f"{n}_depth").alias("depth")) for n in ("one", "two")]
+    pairs = near[0].union(near[1]).groupBy("a", "b").agg(F.sum("depth").alias("depth"))
+    both = pairs.union(pairs.select("b", "a", "depth"))
+    place = Window.partitionBy("a").orderBy(F.desc("depth"), "b")
+    best = both.withColumn("k", F.row_number().over(place)).filter(F.col("k") <= PROBES)
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def estimates(pairs: DataFrame, small: DataFrame) -> DataFrame:
@@ -174,46 +199,92 @@ def estimates(pairs: DataFrame, small: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, guess double")
 
 
-def divided_regions(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b): links between components that share a region, confirmed on the full sets where the region is.
+def meetings(known: DataFrame, percent: int, block: int) -> DataFrame:
+    """(meeting, side, component, cid, asks): who meets whom; known: region, cid, n, component.
 
-    All members outside a region's largest component are queries against the
-    whole region, in blocks of ``block`` members; a query reports one link to
-    each other component, which is all that components need.
+    Members outside a region's largest component ask.  A region of at most ``block`` members is one meeting, all on side 0.
+    In larger ones a meeting is a piece that asks (side 0) with itself or with another piece (side 1) of a set size near enough.
     """
-    known = members.select("region", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    known = known.withColumn("component", F.coalesce("component", "cid"))
-    counts = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    split = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    split = split.select("region", F.col("m.component").alias("largest"), F.ceil(F.col("rows") / F.lit(block)).cast("int").alias("blocks"))
-    placed = known.join(split, "region").withColumn("asks", F.col("component") != F.col("largest"))
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    spread = placed.withColumn("own", own).withColumn("block", F.explode(F.when(F.col("asks"), every).otherwise(F.array("own"))))
-    spread = spread.withColumn("held", F.col("own") == F.col("block"))
-    rows = spread.select("region", "block", "component", "cid", "asks", "held").join(sets, "cid")
-
-    def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
-        held = [r for r in rows if r[3]]
-        sets = [np.frombuffer(r[4], np.uint64) for r in held]
-        sizes = np.array([len(x) for x in sets])
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        comps, cids = np.array([r[0] for r in held]), np.array([r[1] for r in held])
-        out = []
-        for comp, cid, asks, _, raw in rows:
-            if not asks:
+    counts = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c"))
+    split = counts.groupBy("region").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("members"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    split = split.select("region", F.col("m.component").alias("largest"), "members")
+    placed = known.join(split, "region").withColumn("asks", F.col("component") != F.col("largest")).drop("largest")
+    columns = ["meeting", "side", "component", "cid", "asks"]
+    small = placed.filter(F.col("members") <= block).withColumn("meeting", F.xxhash64("region")).withColumn("side", F.lit(0)).select(*columns)
+
+    ratio = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-12  # sizes of linked sets are one step apart at most
+    step = F.floor(F.log("n") / F.lit(ratio)) if percent < 100 else F.col("n")
+    large = placed.filter(F.col("members") > block).withColumn("step", step.cast("long"))
+    rooms = large.groupBy("region", "step", "asks").agg(F.ceil(F.count(F.lit(1)) / F.lit(block / 2)).cast("int").alias("pieces"))
+    large = large.join(rooms, ["region", "step", "asks"]).withColumn("piece", F.pmod(F.xxhash64("cid"), F.col("pieces")).cast("int"))
+    large = large.withColumn("pid", F.xxhash64("region", "step", "asks", "piece"))
+    pieces = rooms.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("pid", F.xxhash64("region", "step", "asks", "piece"))
+    asking = pieces.filter("asks").select("region", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"), F.col("pid").alias("x"))
+    pairs = asking.join(pieces.select("region", "step", F.col("asks").alias("both"), F.col("pid").alias("y")), ["region", "step"])
+    pairs = pairs.filter(~F.col("both") | (F.col("x") <= F.col("y"))).select(F.xxhash64("x", "y").alias("meeting"), "x", "y")
+    sides = pairs.select("meeting", F.col("x").alias("pid"), F.lit(0).alias("side")).union(pairs.filter("x <> y").select("meeting", "y", F.lit(1)))
+    return small.union(large.join(sides, "pid").select(*columns))
+
+
+def links_of(rows: list[tuple[int, int, int, bool, bytes]], percent: int) -> list[tuple[int, int]]:
+    """Links of one meeting, (cid, cid), one for each two components at most; rows: side, component, cid, asks, set."""
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    sizes = np.array([len(x) for x in sets])
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    _, token, count = np.unique(tokens, return_inverse=True, return_counts=True)
+    by_token = np.argsort(token, kind="stable")
+    posted, begins = owner[by_token], np.concatenate([[0], np.cumsum(count)])
+    rare = np.lexsort((token, count[token], owner))  # each set, its rarest shingles first
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(len(rare)) - np.repeat(starts[:-1], sizes)
+    first = place < np.repeat(sizes - (percent * sizes + 99) // 100 + 1, sizes)  # two linked sets share one of these
+    in_prefix = np.zeros(len(rare), bool)
+    in_prefix[rare[first]] = True
+    listed = in_prefix[by_token]
+    led = posted[listed]  # owners by token, prefixes only
+    led_begins = np.concatenate([[0], np.cumsum(listed)])[begins]
+    side, comp, cid = (np.array([r[i] for r in rows]) for i in range(3))
+    asks, crossing = np.array([r[3] for r in rows]), side.any()
+    _, comp = np.unique(comp, return_inverse=True)
+    root = list(range(comp.max() + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(asks & (side == 0)).tolist():
+        own = token[starts[i] : starts[i + 1]]
+        head = token[rare[starts[i] : starts[i + 1]][first[starts[i] : starts[i + 1]]]]
+        lo, n = led_begins[head], led_begins[head + 1] - led_begins[head]
+        met = np.unique(led[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        met = met[(comp[met] != comp[i]) & ((side[met] == 1) if crossing else (~asks[met] | (met > i)))]
+        met = met[100 * np.minimum(sizes[met], sizes[i]) >= percent * np.maximum(sizes[met], sizes[i])]
+        if len(met) > 64:  # count all shared shingles at once
+            lo, n = begins[own], count[own]
+            both = np.bincount(posted[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(rows))[met]
+            met = met[100 * both >= percent * (sizes[met] + sizes[i] - both)]
+        sure = len(met) <= 64
+        for j in met.tolist():
+            x, y = find(comp[i]), find(comp[j])
+            if x == y:
                 continue
-            s = np.frombuffer(raw, np.uint64)
-            lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-            n = hi - lo
-            spots = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())  # the postings of every shingle of s
-            both = np.bincount(owner[spots], minlength=len(held))
-            good = np.flatnonzero((100 * both >= percent * (sizes + len(s) - both)) & (comps != comp))
-            _, one = np.unique(comps[good], return_index=True)
-            out += [(min(cid, int(cids[g])), max(cid, int(cids[g]))) for g in good[one]]
-        return out
+            if sure:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both < percent * (sizes[i] + sizes[j] - both):
+                    continue
+            root[x] = y
+            out.append((min(int(cid[i]), int(cid[j])), max(int(cid[i]), int(cid[j]))))
+    return out
+
+
+def divided_regions(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b): links between components that share a region, confirmed on the full sets where their pieces meet."""
+    known = members.select("region", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    known = known.withColumn("component", F.coalesce("component", "cid")).join(sets.select("cid", (F.octet_length("shingles") / 8).cast("long").alias("n")), "cid")
+    rows = meetings(known, percent, block).join(sets, "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -222,17 +293,16 @@ def divided_regions(members: DataFrame, labels: DataFrame, sets: DataFrame, perc
 
         at, group = None, []
         for b in batches:
-            names = ("region", "block", "component", "cid", "asks", "held")
-            for region, block, *row, raw in zip(*(b.column(n).to_pylist() for n in (*names, "shingles"))):
-                if (region, block) != at:
+            for meeting, *row in zip(*(b.column(n).to_pylist() for n in ("meeting", "side", "component", "cid", "asks", "shingles"))):
+                if meeting != at:
                     if group:
-                        yield batch(links_of(group))
-                    at, group = (region, block), []
-                group.append((*row, raw))
+                        yield batch(links_of(group, percent))
+                    at, group = meeting, []
+                group.append(tuple(row))
         if group:
-            yield batch(links_of(group))
+            yield batch(links_of(group, percent))
 
-    ordered = rows.repartition("region", "block").sortWithinPartitions("region", "block")
+    ordered = rows.repartition("meeting").sortWithinPartitions("meeting")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -268,7 +338,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _labelled(docs: DataFrame, width: int, percent: int, block: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: doc_id, fp, n, digest, group, component_id; no group where a text has no shingles.
 
     group is an id of the component, also where none of its documents has a doc_id.
@@ -287,14 +357,13 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     crowd = members.select("cid").distinct()
     small = materialize(classes.select("cid", "sig").join(crowd, "cid", "left_semi").mapInArrow(shorten, "cid long, low binary"), "low")
     floor = percent / 100 - SLACK
-    first = members.filter("near is not null").select(F.least("cid", "near").alias("a"), F.greatest("cid", "near").alias("b")).distinct()
-    guessed = materialize(estimates(first, small).filter(F.col("guess") >= floor), "guess")
+    guessed = materialize(estimates(candidates(members), small).filter(F.col("guess") >= floor), "guess")
     both = guessed.select("a", "b", "guess").union(guessed.select("b", "a", "guess"))
     best = both.withColumn("k", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("guess"), "b"))).filter(F.col("k") <= FIRST_TRIES)
     tries = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sets = materialize(shingle_sets(docs, classes.join(crowd, "cid", "left_semi"), width), "sets")
     links = materialize(confirm(tries, sets, percent), "links")
-    links = links.union(divided_regions(members, components(links), sets, percent))
+    links = links.union(divided_regions(members, components(links), sets, percent, block))
 
     label = components(materialize(links, "links"))
     named = classes.select("digest", "first_id", "cid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
@@ -304,9 +373,9 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return sketch.select("doc_id", "fp", "n", "digest").join(named, "digest", "left")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    out = _labelled(docs, width, percent)
+    out = _labelled(docs, width, percent, block)
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -314,18 +383,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay: one row of each group, that with the smallest doc_id (nulls last, then by a hash of the
     text), and all rows without shingles; columns as given."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    fp = F.xxhash64(F.col("text").cast("string"))
-    first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").isNull().alias("none"), "fp")).alias("f")
+    (row,) = free_names(docs, "_row")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rows = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("fp"))
+    far = F.lit((1 << 63) - 1)
+    first = F.min(F.struct(F.coalesce("doc_id", far).alias("id"), F.col("doc_id").isNull().alias("none"), "fp")).alias("f")
     labelled = materialize(_labelled(numbered, width, percent), "labelled")
-    chosen = labelled.filter("digest is not null").groupBy("group").agg(first).select("f.*")
-    rows = numbered.select("_row", F.col("doc_id").cast("long").alias("_id"), fp.alias("fp"))
-    same = F.coalesce("_id", F.lit((1 << 63) - 1)) == F.col("id")
-    whole = rows.join(chosen, same & F.col("_id").isNull().eqNullSafe(F.col("none")) & (rows.fp == chosen.fp)).groupBy("id", "none", chosen.fp).agg(F.min("_row").alias("_row"))
+    chosen = labelled.filter("digest is not null").groupBy("group").agg(first).select("f.id", "f.none", F.col("f.fp").alias("hash"))
+    same = (F.coalesce("doc_id", far) == F.col("id")) & (F.col("doc_id").isNull() == F.col("none")) & (F.col("fp") == F.col("hash"))
+    whole = rows.join(chosen, same).groupBy("id", "none", "hash").agg(F.min("row").alias("row"))
     bare = labelled.filter("digest is null").select("fp").distinct()  # hashes of texts without words
-    alone = numbered.withColumn("_fp", fp).join(bare, F.col("_fp").eqNullSafe(F.col("fp")), "left_semi").select("_row")
-    stay = whole.select("_row").unionByName(alone)
-    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
+    stay = whole.select("row").unionByName(rows.join(bare, "fp", "left_semi").select("row"))
+    return numbered.join(stay.withColumnRenamed("row", row), row, "left_semi").drop(row)
 
 
 def op3_lsh_forest_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,11 +224,73 @@ def test_near_duplicates_equal_brute_force(spark, width):
     assert neardup.near_duplicates(docs_of(spark, texts).limit(0), width, 80).collect() == []
 
 
+@pytest.mark.parametrize("block", [4, 16, 2048])
+def test_pieces_of_divided_regions_lose_no_link(block):
+    r = random.Random(block)
+    base = set(range(100))
+    rows = []
+    for k in range(60):
+        own = sorted({x if r.random() > (k % 5) * 0.04 else 1000 + r.randrange(10**6) for x in base})[: 100 - k % 20]
+        rows.append((0, k // 2, k, k > 5, np.array(own, np.uint64).tobytes()))
+    sets = [set(np.frombuffer(x[4], np.uint64).tolist()) for x in rows]
+
+    def linked(i, j):
+        both = len(sets[i] & sets[j])
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    def roots(links):
+        root = {k // 2: k // 2 for k in range(60)}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i, j in links:
+            root[find(i // 2)] = find(j // 2)
+        return {frozenset(k for k in root if find(k) == find(x)) for x in root}
+
+    want = roots([(i, j) for i in range(60) for j in range(i) if linked(i, j) and (i > 5 or j > 5)])
+    pieces = [rows[i : i + block] for i in range(0, 60, block)]
+    got = []
+    for a, x in enumerate(pieces):
+        got += neardup.links_of(x, 80)
+        for y in pieces[a + 1 :]:  # both directions, as the first piece has rows that do not ask
+            got += neardup.links_of([*x, *((1, *row[1:]) for row in y)], 80) + neardup.links_of([*y, *((1, *row[1:]) for row in x)], 80)
+    assert all(linked(i, j) for i, j in got) and roots(got) == want
+
+
 def test_divided_regions_in_small_blocks(spark):
-    texts = near_copies(80, 7)
-    whole = neardup.BLOCK_ROWS
-    got = sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs_of(spark, texts), 2, 80).collect())
-    assert whole > 80 and got == [(i, c) for i, (_, c) in enumerate(brute_components(texts, 2, 80))]
+    texts = near_copies(80, 7) + [" ".join(words_of(60, 7)[:40] + words_of(20, s)) for s in range(40)]
+    got = sorted((r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs_of(spark, texts), 2, 80, block=6).collect())
+    assert got == [(i, c) for i, (_, c) in enumerate(brute_components(texts, 2, 80))]
+
+
+def test_region_members_do_not_depend_on_batches(spark):
+    r = random.Random(3)
+    rows = sorted({(r.randrange(40), r.randrange(3), k) for k in range(120)})
+    df = spark.createDataFrame(rows, "region long, deeper long, cid long").coalesce(1)
+    seen = []
+    for size in ("1", "2", "7", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        seen.append(sorted(map(tuple, neardup.region_members(df).collect()), key=str))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(x == seen[0] for x in seen)
+    where = {c: (g, d) for g, d, c in rows}
+    groups = {}
+    for g, d, c in rows:
+        groups.setdefault(g, []).append(c)
+    assert len(seen[0]) == sum(len(g) for g in groups.values() if len(g) > 1)
+    for g, c, one, one_depth, two, _ in seen[0]:
+        at = groups[g].index(c)
+        assert (one, two) == (groups[g][at - 1] if at else None, groups[g][at - 2] if at > 1 else None)
+        assert one is None or one_depth == neardup.DEPTH + (4 if where[one][1] == where[c][1] else 3)
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    docs = docs_of(spark, [*near_copies(6, 2), "x y z", None]).withColumn("_row", F.lit("a")).withColumn("_fp", F.lit("b")).withColumn("_kept", F.lit("c"))
+    got = neardup.drop_near_duplicates(docs, 2, 80)
+    assert got.columns == docs.columns and {(r["_row"], r["_fp"], r["_kept"]) for r in got.collect()} == {("a", "b", "c")}
 
 
 def test_dropping_near_duplicates_with_null_and_repeated_ids(spark):
