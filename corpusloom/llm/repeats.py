@@ -16,13 +16,16 @@ A byte is removed if a LENGTH-byte string covers it that also starts earlier
    intervals, and those with different bytes to the left are the maximal
    repeats; all occurrences but the earliest are marked.
 3. A group of more than GROUP_ROWS places is not held in memory: it is cut again
-   into narrower parts, down to single windows, where only the earliest place has
-   to be known and rows stream by.
+   into narrower parts, down to single windows, where rows stream by and only the
+   earliest place of each string has to be known.  Strings are compared byte by
+   byte everywhere but in step 1, where two contexts of one anchor are told apart
+   by 64-bit hashes of up to 176 bytes on top of the anchor's own.
 
 Defined edge cases: null texts are empty; documents shorter than LENGTH keep
 all their bytes; a null doc_id sorts first; rows equal in doc_id and text are
 one document and get one result; documents of one doc_id with different texts
-are ordered by a hash of the text.  Extra columns are ignored.
+are ordered by a hash of the text; an empty table gives an empty result.  Extra
+columns, of any name, are ignored.
 """
 
 from __future__ import annotations
@@ -246,7 +249,7 @@ def narrower(large: DataFrame, length: int, part: int) -> DataFrame:
                 for lo in range(lead // part * part, lead + starts, part):
                     s, e = max(lo, lead), min(lo + part, lead + starts) - 1
                     piece = raw[s - lead : e - lead + length]
-                    core = raw[lo + part - 1 - lead : lo - lead + length] if lo >= lead else raw[lo + part - 1 - lead : lo - lead + length]
+                    core = raw[lo + part - 1 - lead : lo - lead + length]
                     rows.append((x(core, lo + 1000 * part + (r["core"] & 0xFFFFFFFF)) - (1 << 63), r["key"], r["start"] + s - lead, s - lo, piece))
             cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()])], names=["core", "key", "start", "lead", "bytes"])
@@ -327,7 +330,7 @@ def scan_groups(parts: DataFrame, length: int, single: bool, group_rows: int) ->
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        core, held, large = None, [], False
+        core, held, large, earliest = None, [], False, {}
         out: list[tuple] = []
 
         def close() -> None:
@@ -338,11 +341,10 @@ def scan_groups(parts: DataFrame, length: int, single: bool, group_rows: int) ->
             for c, k, s, lead, raw in zip(*(b.column(n).to_pylist() for n in ("core", "key", "start", "lead", "bytes"))):
                 if c != core:
                     close()
-                    core, held, large = c, [], False
-                if single:  # one window: the first row of its order is the earliest
-                    if held and (k, s) != held[0][:2]:
+                    core, held, large, earliest = c, [], False, {}
+                if single:  # one window: the first row with its bytes is the earliest
+                    if earliest.setdefault(raw, (k, s)) != (k, s):
                         out.append((k, s, s + length, None, None, None))
-                    held = held or [(k, s)]
                 elif large:
                     out.append((k, s, None, c, lead, raw))
                 else:
@@ -443,4 +445,19 @@ def op4_suffix_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_suffix_interval_repeats": op4_suffix_interval_repeats}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_suffix_interval_repeats": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+c AS (SELECT doc_id, n, o, substr(h, 2 * o + 1, 2 * 355) AS t FROM (SELECT doc_id, h, n, unnest(range(0, n, 256)) AS o FROM d)),
+w AS (SELECT doc_id, o + q AS p, substr(t, 2 * q + 1, 200) AS s FROM (SELECT doc_id, n, o, t, unnest(range(0, 256)) AS q FROM c) WHERE o + q + 100 <= n),
+f AS (SELECT s, min((doc_id, p)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT doc_id, p FROM w JOIN f USING (s) WHERE (doc_id, p) > first),
+run AS (SELECT doc_id, p, p - lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) > 100 AS opens FROM hit),
+grp AS (SELECT doc_id, p, count_if(opens) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM run),
+span AS (SELECT doc_id, g, min(p) AS a, max(p) + 100 AS z FROM grp GROUP BY doc_id, g),
+gap AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span),
+cut AS (SELECT doc_id, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(z) AS last FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(from_hex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+}
