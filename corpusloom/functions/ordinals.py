@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.storage import written
+
 
 def global_ordinal(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """1-based position of each row along ``order``.
 
-    Rows are range-partitioned and numbered inside their partition; the
-    offsets are a running sum over one row per partition.
+    Rows are range-partitioned, numbered inside their partition and written
+    once, so that the offsets - a running sum over one row per partition - are
+    those of the rows they are added to.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).persist()
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_i", F.monotonically_increasing_id())
+    ranged = written(ranged, "ordinal").withColumn("_p", F.shiftright("_i", 33))
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    return ranged.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_o") + F.col("_i") + 1).drop("_p", "_i", "_o")
+    here = F.col("_i").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_o") + here + 1).drop("_p", "_i", "_o")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.ordinals import global_ordinal
+
 REF = r"^(\d{1,3}):(\d{1,3})$"
 
 
@@ -61,7 +63,9 @@ def dense_check(df: DataFrame, coll: str, seq: str) -> DataFrame:
 
 
 def section_check(sections: DataFrame, total: int) -> DataFrame:
-    """Sections (section, first, last) with what breaks their contiguity; one window over the small section dimension."""
-    prev = F.lag("last").over(Window.partitionBy(F.lit(0)).orderBy("section"))
-    gap = F.when(prev.isNull(), F.col("first") - 1).otherwise(F.col("first") - prev - 1)
-    return sections.withColumn("gap", gap).withColumn("size", F.col("last") - F.col("first") + 1).withColumn("beyond", F.greatest(F.lit(0), F.col("last") - F.lit(total)))
+    """Sections (section, first, last) with what breaks their contiguity; each meets the one before by its ordinal."""
+    numbered = global_ordinal(sections, ["section"], "_no")
+    prior = numbered.select((F.col("_no") + 1).alias("_no"), F.col("last").alias("_prev"))
+    gap = F.col("first") - F.coalesce("_prev", F.lit(0)) - 1
+    out = numbered.join(prior, "_no", "left").withColumn("gap", gap).drop("_no", "_prev")
+    return out.withColumn("size", F.col("last") - F.col("first") + 1).withColumn("beyond", F.greatest(F.lit(0), F.col("last") - F.lit(total)))

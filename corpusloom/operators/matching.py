@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructType
 
 
 def interval_overlap(left: DataFrame, right: DataFrame, keys: list[str], width: int) -> DataFrame:
@@ -84,29 +79,46 @@ def concordance(occurrences: DataFrame, lemma: str, unit: str, ref: str, length:
     return other.select(unit, lemma, "df", F.slice(F.col(f"_o.{ref}"), 1, first).alias("outside"), shortest[ref].alias("exemplar"))
 
 
-def token_match(df: DataFrame, key: str, expected: str, observed: str, near: float = 0.60) -> DataFrame:
-    """(key, expected_index, observed_index, exact) of two word lists: longest equal blocks first, then, between
-    blocks, runs of equal length whose words are alike pairwise (ratio of ``near`` or more).
+def word_places(df: DataFrame, key: str, words: str, run: int) -> tuple[DataFrame, DataFrame]:
+    """(key, at, word) and (key, at, gram): every word of a list, and every run of ``run`` words."""
+    place = df.select(key, F.posexplode(words).alias("at", "word"))
+    n = F.size(words)
+    starts = F.when(n >= run, F.sequence(F.lit(0), n - run)).otherwise(F.array().cast("array<int>"))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, run), "\x1f"))
+    return place, df.select(key, F.posexplode(grams).alias("at", "gram"))
+
+
+def token_match(df: DataFrame, key: str, expected: str, observed: str, run: int = 3, near: float = 0.60) -> DataFrame:
+    """(key, expected_index, observed_index, exact) of two word lists.
 
-    A row is one unit: its lists are aligned in memory, so units are packed
-    first.  Null lists match nothing.
+    Equal runs of ``run`` words are joined and grow to blocks along their
+    diagonal.  A block that crosses a longer one (the first of equals) goes.  Every word on either side belongs to its longest
+    block, and a pair stands where both words agree on it.  Where two neighbouring
+    pairs are equally far apart on both sides, the words between them are
+    paired one by one if their edit distance leaves ``near`` of the longer word.
+    Null lists match nothing; words are strings or null, and nulls match nothing.
     """
-    kind = df.schema[key].dataType
-
-    def align(a: list[str], b: list[str]) -> Iterator[tuple[int, int, bool]]:
-        for tag, i, i_end, j, j_end in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-            if tag == "equal" or tag == "replace" and i_end - i == j_end - j:
-                for x, y in zip(range(i, i_end), range(j, j_end)):
-                    if tag == "equal" or SequenceMatcher(None, a[x], b[y], autojunk=False).ratio() >= near:
-                        yield x, y, tag == "equal"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, x, y in zip(*(b.column(i) for i in range(3))):
-                found = list(align(x.as_py() or [], y.as_py() or []))
-                columns = zip(*found) if found else ([], [], [])
-                kinds = (pa.int64(), pa.int64(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(found), b.schema[0].type), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=[key, "expected_index", "observed_index", "exact"])
-
-    schema = StructType().add(key, kind).add("expected_index", LongType()).add("observed_index", LongType()).add("exact", BooleanType())
-    return df.select(key, expected, observed).mapInArrow(run, schema)
+    lists = df.select(key, F.coalesce(expected, F.array().cast("array<string>")).alias("_x"), F.coalesce(observed, F.array().cast("array<string>")).alias("_y"))
+    xs, x_runs = word_places(lists, key, "_x", run)
+    ys, y_runs = word_places(lists, key, "_y", run)
+    met = x_runs.withColumnRenamed("at", "i").join(y_runs.withColumnRenamed("at", "j"), [key, "gram"]).select(key, "i", (F.col("j") - F.col("i")).alias("d"))
+    line = Window.partitionBy(key, "d").orderBy("i")
+    blocks = met.withColumn("_b", F.col("i") - F.row_number().over(line)).groupBy(key, "d", "_b").agg(F.min("i").alias("a"), (F.max("i") + run).alias("z"))
+    blocks = blocks.withColumn("len", F.col("z") - F.col("a"))
+    other = blocks.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in ("d", "a", "len")])
+    crosses = (F.col("a") - F.col("_a")) * (F.col("a") + F.col("d") - F.col("_a") - F.col("_d")) < 0
+    longer = F.struct("_len", -F.col("_a"), -F.col("_d")) > F.struct("len", -F.col("a"), -F.col("d"))
+    blocks = blocks.join(other, (F.col(key) == F.col("_k")) & crosses & longer, "left_anti")  # the blocks of one unit are few
+    cells = blocks.select(key, "d", "len", "a", F.explode(F.sequence(F.col("a"), F.col("z") - 1)).alias("i")).withColumn("j", F.col("i") + F.col("d"))
+    rank = lambda side: F.row_number().over(Window.partitionBy(key, side).orderBy(F.desc("len"), "a", "d"))
+    exact = cells.withColumns({"_r": rank("i"), "_s": rank("j")}).filter("_r = 1 and _s = 1").select(key, "i", "j")
+    ends = lists.select(key, F.explode(F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j")), F.struct(F.size("_x").alias("i"), F.size("_y").alias("j")))).alias("e")).select(key, "e.i", "e.j")
+    order = Window.partitionBy(key).orderBy("i", "j")
+    gaps = exact.union(ends).withColumns({"i0": F.lag("i").over(order), "j0": F.lag("j").over(order)})
+    gaps = gaps.filter((F.col("i") - F.col("i0") == F.col("j") - F.col("j0")) & (F.col("i") - F.col("i0") > 1))
+    between = gaps.select(key, F.explode(F.sequence(F.col("i0") + 1, F.col("i") - 1)).alias("i"), (F.col("j0") - F.col("i0")).alias("d")).withColumn("j", F.col("i") + F.col("d"))
+    paired = between.join(xs.select(key, F.col("at").alias("i"), F.col("word").alias("x")), [key, "i"]).join(ys.select(key, F.col("at").alias("j"), F.col("word").alias("y")), [key, "j"])
+    longest = F.greatest(F.length("x"), F.length("y"))
+    close = paired.filter((longest > 0) & (F.levenshtein("x", "y") <= (1 - near) * longest)).select(key, "i", "j", (F.col("x") == F.col("y")).alias("exact"))
+    out = exact.withColumn("exact", F.lit(True)).unionByName(close)
+    return out.select(key, F.col("i").cast("long").alias("expected_index"), F.col("j").cast("long").alias("observed_index"), "exact")

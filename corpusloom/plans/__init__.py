@@ -1,7 +1,7 @@
 """The registered queries on the library's operators, with their oracle SQL."""
 
-from corpusloom.plans import addresses, gates, languages, matching, metrics, records, sequences, streams, texts
+from corpusloom.plans import addresses, gates, languages, matching, metrics, records, reviews, sequences, streams, texts
 from corpusloom.plans.base import ORACLES, QUERIES
 
 FLAGSHIP = QUERIES["gat2_run_gate"]
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "addresses", "gates", "languages", "matching", "metrics", "records", "sequences", "streams", "texts"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "addresses", "gates", "languages", "matching", "metrics", "records", "reviews", "sequences", "streams", "texts"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from corpusloom.operators import contracts as C
 from corpusloom.operators import folds
 from corpusloom.operators import gates as G
-from corpusloom.operators import matching as M
 from corpusloom.operators import resolve as V
 from corpusloom.operators import rules as R
 from corpusloom.plans.base import ITEMS, items, query
@@ -221,11 +220,3 @@ SELECT k, event_id, s FROM (SELECT *, count(*) FILTER (point) OVER (PARTITION BY
 def chapters(read):
     ev = read("events").select(F.col("user_id").alias("k"), "event_id", "ts", F.unix_timestamp("ts").alias("s")).withColumns({"day": F.floor(F.col("s") / 86400), "e": F.col("s")})
     return folds.chapter_points(ev, ["k"], "day", [F.col("ts"), F.col("event_id")], "s", "e", 40000, 3000, 3, 90000).select("k", "event_id", "s")
-
-
-@query("evl7_token_match")
-def token_match(read):
-    """Turns against a hearing of them: every seventh word lost, every fifth misspelt."""
-    words = F.split("text", " ")
-    heard = F.filter(F.transform(words, lambda w, i: F.when(i % 7 == 6, None).when(i % 5 == 4, F.concat(w, F.lit("x"))).otherwise(w)), lambda w: w.isNotNull())
-    return M.token_match(items(read).select("ref", words.alias("expected"), heard.alias("observed")), "ref", "expected", "observed")

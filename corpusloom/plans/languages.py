@@ -31,13 +31,13 @@ def _lemmas(read):
     return read("documents").select("doc_id", F.explode(words).alias("lemma"))
 
 
-@query("prj5_banned_terms_all", f"SELECT doc_id, coalesce(list_aggregate(list_sort(list_distinct(list_filter(regexp_extract_all(lower(text), '{RUN}'), lambda x: x IN ('idiot', 'moron', 'scum', 'trash')))), 'string_agg', ','), '') AS terms FROM documents")
+@query("prj5_banned_terms", f"SELECT doc_id, coalesce(list_aggregate(list_sort(list_distinct(list_filter(regexp_extract_all(lower(text), '{RUN}'), lambda x: x IN ('idiot', 'moron', 'scum', 'trash')))), 'string_agg', ','), '') AS terms FROM documents")
 def banned(read):
     terms = R.banned_terms(F.col("text"), TERMS, R.WORD_EDGES)
     return read("documents").select("doc_id", F.coalesce(terms, F.lit("")).alias("terms"))
 
 
-@query("prj9_phrase_leads_all", "SELECT doc_id, phrase, substr(text, strpos(lower(text), phrase), length(phrase)) AS found FROM documents, (VALUES ('is the'), ('of that'), ('and with')) p(phrase) WHERE contains(lower(text), phrase)")
+@query("prj9_phrase_leads", "SELECT doc_id, phrase, substr(text, strpos(lower(text), phrase), length(phrase)) AS found FROM documents, (VALUES ('is the'), ('of that'), ('and with')) p(phrase) WHERE contains(lower(text), phrase)")
 def leads(read):
     return R.phrase_leads(read("documents"), "doc_id", "text", ["is the", "of that", "and with"])
 
@@ -49,33 +49,33 @@ def _twice(text: str, old: str, new: str) -> str:
     return text
 
 
-@query("prj10_case_preserving_rewrite_all", f"""WITH d AS (SELECT doc_id, text, len(list_filter(regexp_extract_all(lower(text), '{RUN}'), lambda x: x = 'with')) AS n FROM documents)
+@query("prj10_case_preserving_rewrite", f"""WITH d AS (SELECT doc_id, text, len(list_filter(regexp_extract_all(lower(text), '{RUN}'), lambda x: x = 'with')) AS n FROM documents)
 SELECT doc_id, {_twice(_twice(_twice('text', 'WITH', 'BESIDE'), 'With', 'Beside'), '(?i:with)', 'beside')} AS text, CASE WHEN n > 0 THEN 'with: ' || n ELSE '' END AS edits FROM d""")
 def rewritten(read):
     text, edits = R.rewrite(F.col("text"), [("with", "with", "beside")], R.WORD_EDGES)
     return read("documents").select("doc_id", text.alias("text"), F.array_join(edits, ",").alias("edits"))
 
 
-@query("agg10_edit_histogram_all", f"""WITH r AS (SELECT regexp_extract_all(lower(text), '{RUN}') AS w FROM documents) SELECT label, count(*) AS items FROM (SELECT unnest([CASE WHEN list_contains(w, 'with') THEN 'with' END, CASE WHEN list_contains(w, 'that') THEN 'that' END]) AS label FROM r) WHERE label IS NOT NULL GROUP BY label""")
+@query("agg10_edit_histogram", f"""WITH r AS (SELECT regexp_extract_all(lower(text), '{RUN}') AS w FROM documents) SELECT label, count(*) AS items FROM (SELECT unnest([CASE WHEN list_contains(w, 'with') THEN 'with' END, CASE WHEN list_contains(w, 'that') THEN 'that' END]) AS label FROM r) WHERE label IS NOT NULL GROUP BY label""")
 def edit_histogram(read):
     _, edits = R.rewrite(F.col("text"), [("with", "with", "beside"), ("that", "that", "which")], R.WORD_EDGES)
     per = read("documents").select(F.explode(edits).alias("e"))
     return per.groupBy(F.split("e", ":")[0].alias("label")).agg(F.count(F.lit(1)).alias("items"))
 
 
-@query("agg5_duplicate_groups_all", f"WITH {GROUPS} SELECT g AS group_id, doc_id, count(*) OVER (PARTITION BY g) AS size FROM h WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY g) > 1")
+@query("agg5_duplicate_groups", f"WITH {GROUPS} SELECT g AS group_id, doc_id, count(*) OVER (PARTITION BY g) AS size FROM h WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY g) > 1")
 def duplicate_groups(read):
     return _groups(read)
 
 
-@query("agg6_invariance_all", f"""WITH {GROUPS}, x AS (SELECT g, {RENDERED} AS r FROM h), s AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1)
+@query("agg6_invariance", f"""WITH {GROUPS}, x AS (SELECT g, {RENDERED} AS r FROM h), s AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1)
 SELECT g AS group_id, count(r) AS present, count(DISTINCT r) AS renderings, count(DISTINCT r) = 1 AS invariant FROM x JOIN s USING (g) GROUP BY g HAVING count(r) > 1""")
 def invariance(read):
     rendered = F.when(F.col("doc_id") % 7 == 0, F.reverse("text")).when(F.col("doc_id") % 5 != 0, F.col("text"))
     return V.invariance(_groups(read), read("documents").select("doc_id", rendered.alias("rendered")), "doc_id", "rendered")
 
 
-@query("con9_group_choice_all", f"""WITH {GROUPS}, s AS (SELECT g, min(doc_id) AS a FROM h WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1)
+@query("con9_group_choice", f"""WITH {GROUPS}, s AS (SELECT g, min(doc_id) AS a FROM h WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1)
 SELECT g AS group_id, CASE WHEN a % 3 = 0 THEN 'not_an_option' WHEN a % 3 = 1 THEN 'ok' ELSE 'no_choice' END AS status FROM s""")
 def group_choice(read):
     groups = _groups(read)
@@ -89,18 +89,18 @@ def group_choice(read):
 LEMMAS = rf"(SELECT doc_id, unnest(regexp_extract_all(lower(text), '{LEMMA}')) AS lemma FROM documents)"
 
 
-@query("agg7_glossary_all", f"""WITH p AS (SELECT lemma AS term, doc_id, count(*) AS n FROM {LEMMAS} GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY doc_id) AS k FROM p)
+@query("agg7_glossary", f"""WITH p AS (SELECT lemma AS term, doc_id, count(*) AS n FROM {LEMMAS} GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY doc_id) AS k FROM p)
 SELECT term, sum(n)::BIGINT AS uses, count(*) AS refs, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) FILTER (k <= 12) || CASE WHEN count(*) > 12 THEN ', ...' ELSE '' END AS first_refs FROM r GROUP BY term""")
 def glossary(read):
     return M.glossary(_lemmas(read).withColumnRenamed("lemma", "term"), "term", "doc_id")
 
 
-@query("agg9_lemma_document_frequency_all", f"SELECT lemma, count(DISTINCT doc_id) AS df FROM {LEMMAS} GROUP BY lemma")
+@query("agg9_lemma_document_frequency", f"SELECT lemma, count(DISTINCT doc_id) AS df FROM {LEMMAS} GROUP BY lemma")
 def lemma_df(read):
     return _lemmas(read).dropDuplicates(["doc_id", "lemma"]).groupBy("lemma").agg(F.count("doc_id").alias("df"))
 
 
-@query("res10_concordance_all", f"""WITH w AS (SELECT DISTINCT doc_id, lemma FROM {LEMMAS}), d AS (SELECT lemma, count(*) AS df FROM w GROUP BY lemma HAVING count(*) BETWEEN 2 AND 29),
+@query("res10_concordance", f"""WITH w AS (SELECT DISTINCT doc_id, lemma FROM {LEMMAS}), d AS (SELECT lemma, count(*) AS df FROM w GROUP BY lemma HAVING count(*) BETWEEN 2 AND 29),
 r AS (SELECT lemma, doc_id, df, row_number() OVER (PARTITION BY lemma ORDER BY doc_id) AS k FROM w JOIN d USING (lemma)) SELECT lemma, df, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS first_refs FROM r WHERE k <= 3 GROUP BY lemma, df""")
 def concordance(read):
     w = _lemmas(read).dropDuplicates(["doc_id", "lemma"])
@@ -119,14 +119,14 @@ def unit_concordance(read):
     return found.select("unit", "lemma", "df", F.array_join(F.col("outside").cast("array<string>"), ",").alias("first_refs"), "exemplar")
 
 
-@query("gat15_word_sequence_all", f"SELECT doc_id, regexp_extract_all(lower(text), '{LEMMA}') = regexp_extract_all(lower(CASE WHEN doc_id % 4 = 0 THEN text || ' more' ELSE '  ' || text || '!' END), '{LEMMA}') AS equal FROM documents")
+@query("gat15_word_sequence", f"SELECT doc_id, regexp_extract_all(lower(text), '{LEMMA}') = regexp_extract_all(lower(CASE WHEN doc_id % 4 = 0 THEN text || ' more' ELSE '  ' || text || '!' END), '{LEMMA}') AS equal FROM documents")
 def word_sequence(read):
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(LEMMA), F.lit(0))
     other = F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit(" more"))).otherwise(F.concat(F.lit("  "), "text", F.lit("!")))
     return read("documents").select("doc_id", (words(F.col("text")) == words(other)).alias("equal"))
 
 
-@query("res3_accept_gated_overlay_all", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'revised: ' || text ELSE text END AS final_text, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 AND text IS NOT NULL THEN 'revision' ELSE 'base' END AS layer FROM documents")
+@query("res3_accept_gated_overlay", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'revised: ' || text ELSE text END AS final_text, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 AND text IS NOT NULL THEN 'revision' ELSE 'base' END AS layer FROM documents")
 def accept_gated(read):
     d = read("documents").select("doc_id", "text")
     revised = d.filter("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("revised: "), "text").alias("revision"))
@@ -134,7 +134,7 @@ def accept_gated(read):
     return V.accept_gated(d, revised, verdicts, "doc_id").select("doc_id", "final_text", "layer")
 
 
-@query("con2_grounded_findings_all", r"""WITH f AS (SELECT doc_id, toxic, quality, text, CASE WHEN doc_id % 5 = 0 THEN 'zzzz' ELSE translate(substr(text, 1, 20), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS quote, CASE WHEN doc_id % 3 = 0 THEN 'pass' ELSE 'revise' END AS verdict FROM labels JOIN documents USING (doc_id)),
+@query("con2_grounded_findings", r"""WITH f AS (SELECT doc_id, toxic, quality, text, CASE WHEN doc_id % 5 = 0 THEN 'zzzz' ELSE translate(substr(text, 1, 20), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS quote, CASE WHEN doc_id % 3 = 0 THEN 'pass' ELSE 'revise' END AS verdict FROM labels JOIN documents USING (doc_id)),
 n AS (SELECT *, toxic = 1 OR quality = 0 AS has, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t, trim(regexp_replace(lower(quote), '\s+', ' ', 'g')) AS q FROM f)
 SELECT doc_id, problem FROM (SELECT doc_id, unnest([CASE WHEN has AND NOT (length(trim(quote)) > 0 AND contains(t, q)) THEN 'ungrounded' END, CASE WHEN has = (verdict = 'pass') THEN 'verdict_mismatch' END, CASE WHEN toxic = 1 AND verdict <> 'revise' THEN 'severe_without_revise' END]) AS problem FROM n) WHERE problem IS NOT NULL""")
 def grounded_findings(read):

@@ -53,20 +53,6 @@ def records_of_passages(read):
 WORDS = r"(SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents WHERE lang = 'en')"
 
 
-@query("agg7_glossary", f"""WITH p AS (SELECT term, doc_id, count(*) AS n FROM {WORDS} GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY doc_id) AS k FROM p)
-SELECT term, sum(n)::BIGINT AS uses, count(*) AS refs, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) FILTER (k <= 12) || CASE WHEN count(*) > 12 THEN ', ...' ELSE '' END AS first_refs FROM r GROUP BY term""")
-def glossary(read):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    return M.glossary(read("documents").filter("lang = 'en'").select("doc_id", F.explode(words).alias("term")), "term", "doc_id")
-
-
-@query("agg10_edit_histogram", r"""SELECT label, count(*) AS items FROM (SELECT unnest([CASE WHEN regexp_matches(text, '(?i)\bwith\b') THEN 'with' END, CASE WHEN regexp_matches(text, '(?i)\bthat\b') THEN 'that' END]) AS label FROM documents WHERE lang = 'en') WHERE label IS NOT NULL GROUP BY label""")
-def edit_histogram(read):
-    _, edits = R.rewrite(F.col("text"), [("with", "with", "beside"), ("that", "that", "which")])
-    per = read("documents").filter("lang = 'en'").select(F.explode(edits).alias("e"))
-    return per.groupBy(F.split("e", ":")[0].alias("label")).agg(F.count(F.lit(1)).alias("items"))
-
-
 @query("prj11_identity_policy", "SELECT doc_id, CASE WHEN source LIKE 'src1%' THEN text ELSE replace(text, 'with', 'beside') END AS text FROM documents")
 def identity_policy(read):
     return read("documents").select("doc_id", F.when(F.col("source").startswith("src1"), F.col("text")).otherwise(F.replace("text", F.lit("with"), F.lit("beside"))).alias("text"))
@@ -135,17 +121,3 @@ def response_contract(read):
     return C.response_issues(made.select("coll", body.alias("body")), it.select("coll", "ref"), "coll")
 
 
-@query("con2_grounded_findings", r"""WITH f AS (SELECT doc_id, toxic, quality, text, CASE WHEN doc_id % 5 = 0 THEN 'zzzz' ELSE upper(substr(text, 1, 20)) END AS quote, CASE WHEN doc_id % 3 = 0 THEN 'pass' ELSE 'revise' END AS verdict FROM labels JOIN documents USING (doc_id) WHERE lang = 'en'),
-n AS (SELECT *, toxic = 1 OR quality = 0 AS has, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS t, trim(regexp_replace(lower(quote), '\s+', ' ', 'g')) AS q FROM f)
-SELECT doc_id, problem FROM (SELECT doc_id, unnest([CASE WHEN has AND NOT (length(trim(quote)) > 0 AND contains(t, q)) THEN 'ungrounded' END, CASE WHEN has = (verdict = 'pass') THEN 'verdict_mismatch' END, CASE WHEN toxic = 1 AND verdict <> 'revise' THEN 'severe_without_revise' END]) AS problem FROM n) WHERE problem IS NOT NULL""")
-def grounded_findings(read):
-    d = read("labels").join(read("documents").filter("lang = 'en'").select("doc_id", "text"), "doc_id")
-    d = d.withColumn("quote", F.when(F.col("doc_id") % 5 == 0, "zzzz").otherwise(F.upper(F.substring("text", 1, 20))))
-    d = d.withColumn("verdict", F.when(F.col("doc_id") % 3 == 0, "pass").otherwise("revise"))
-    has = (F.col("toxic") == 1) | (F.col("quality") == 0)
-    checks = [
-        ("ungrounded", ~has | C.grounded(F.col("text"), F.col("quote"))),
-        ("verdict_mismatch", has != (F.col("verdict") == "pass")),
-        ("severe_without_revise", (F.col("toxic") != 1) | (F.col("verdict") == "revise")),
-    ]
-    return C.failures(d, ["doc_id"], checks)

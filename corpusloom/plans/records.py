@@ -23,17 +23,6 @@ def blind_audit(read):
     return C.failures(read("labels"), ["doc_id"], [("score_range", (F.col("doc_id") % 7).between(1, 5)), ("unknown_candidate", code.isin("c0", "c1", "c2"))])
 
 
-@query("con9_group_choice", r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents WHERE lang = 'en'), s AS (SELECT g, min(doc_id) AS a, max(doc_id) AS b FROM h GROUP BY g HAVING count(*) > 1)
-SELECT g AS group_id, CASE WHEN a % 3 = 0 THEN 'not_an_option' WHEN a % 3 = 1 THEN 'ok' ELSE 'no_choice' END AS status FROM s""")
-def group_choice(read):
-    groups = V.duplicate_groups(read("documents").filter("lang = 'en'"), "doc_id", "text")
-    low = groups.groupBy("group_id").agg(F.min("doc_id").alias("a"))
-    made = low.filter("a % 3 <> 2").select("group_id", F.when(F.col("a") % 3 == 0, -1).otherwise(F.col("a")).alias("choice"))
-    options = groups.select("group_id", F.col("doc_id").alias("choice"), F.lit(True).alias("known"))
-    status = F.when(F.col("choice").isNull(), "no_choice").when(F.col("known").isNull(), "not_an_option").otherwise("ok")
-    return low.join(made, "group_id", "left").join(options, ["group_id", "choice"], "left").select("group_id", status.alias("status"))
-
-
 @query("con10_label_log", "SELECT doc_id, CASE WHEN toxic = 1 THEN text ELSE 'whole text' END AS label, CASE WHEN toxic = 1 THEN 'replaced_generic_label' END AS operation FROM labels JOIN documents USING (doc_id) WHERE toxic = 1 OR quality = 0")
 def label_log(read):
     f = read("labels").filter("toxic = 1 or quality = 0").join(read("documents").select("doc_id", "text"), "doc_id")
@@ -114,13 +103,6 @@ def caption_identity(read):
     return both.select("user_id", "cue", problem.alias("problem")).filter("problem <> 'pass'")
 
 
-@query("gat15_word_sequence", r"SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') = regexp_extract_all(lower(CASE WHEN doc_id % 4 = 0 THEN text || ' more' ELSE '  ' || text || '!' END), '[a-z]+') AS equal FROM documents WHERE lang = 'en'")
-def word_sequence(read):
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))
-    other = F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit(" more"))).otherwise(F.concat(F.lit("  "), "text", F.lit("!")))
-    return read("documents").filter("lang = 'en'").select("doc_id", (words(F.col("text")) == words(other)).alias("equal"))
-
-
 @query("gat19_input_drift", """SELECT doc_id, 'lang' AS name, lang AS stored, 'xx' AS current FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT doc_id, 'source', source, NULL FROM documents WHERE doc_id % 15 = 0""")
 def input_drift(read):
     d = read("documents")

@@ -36,3 +36,24 @@ UNION ALL SELECT r.user_id, r.n, r.event_id, e = v, CASE WHEN e = v THEN p ELSE
 def compare_and_set(events):
     want = F.when(F.col("event_id") % 3 == 0, 1).when(F.col("event_id") % 3 == 1, -1).otherwise(F.col("event_id") % 2).cast("long")
     return intake.compare_and_set(events.withColumns({"want": want, "payload": F.col("event_id") % 2}), "user_id", "event_id", "want", "payload")
+
+
+@_stream("str2_settled_ledger", """WITH RECURSIVE r AS MATERIALIZED (SELECT user_id, event_id, CASE event_id % 5 WHEN 3 THEN 'settle' WHEN 4 THEN 'release' ELSE 'reserve' END AS w, CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_id % 29 = 0 THEN -1 ELSE event_id % 97 END AS a, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+f AS (SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS event_id, NULL::VARCHAR AS status, 0::BIGINT AS spent, 0::BIGINT AS held FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT user_id, n, event_id, s, CASE WHEN s = 'accepted' AND w = 'settle' THEN spent + a ELSE spent END, CASE WHEN s <> 'accepted' THEN held WHEN w = 'reserve' THEN held + a ELSE held - a END FROM (SELECT r.user_id, r.n, r.event_id, w, a, spent, held, CASE WHEN a IS NULL OR a < 0 THEN 'invalid' WHEN w = 'reserve' THEN CASE WHEN spent + held + a <= 900 THEN 'accepted' ELSE 'over_ceiling' END WHEN a > held THEN 'not_held' ELSE 'accepted' END AS s FROM f JOIN r ON r.user_id = f.user_id AND r.n = f.n + 1))
+SELECT event_id, status, spent, held FROM f WHERE n > 0""")
+def settled(events):
+    k = F.col("event_id")
+    action = F.when(k % 5 == 3, "settle").when(k % 5 == 4, "release").otherwise("reserve")
+    amount = F.when(k % 31 == 0, None).when(k % 29 == 0, -1.0).otherwise((k % 97).cast("double"))
+    return intake.settled_ledger(events.withColumns({"action": action, "amount": amount}), "user_id", "event_id", "action", "amount", 900)
+
+
+@_stream("str3_snapshot_history", """WITH RECURSIVE r AS MATERIALIZED (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, md5('p' || event_id % 3) AS c, CASE WHEN event_id % 4 = 0 THEN NULL ELSE md5('p' || event_id % 2) END AS e FROM events),
+f AS (SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS event_id, NULL::VARCHAR AS status, NULL::VARCHAR AS previous, NULL::VARCHAR AS current FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT r.user_id, r.n, r.event_id, CASE WHEN e IS DISTINCT FROM current THEN 'stale' WHEN c IS NOT DISTINCT FROM current THEN 'unchanged' ELSE 'updated' END, current, CASE WHEN e IS DISTINCT FROM current THEN current ELSE c END FROM f JOIN r ON r.user_id = f.user_id AND r.n = f.n + 1)
+SELECT event_id, status, previous, current FROM f WHERE n > 0""")
+def history(events):
+    k = F.col("event_id")
+    expected = F.when(k % 4 != 0, F.md5(F.concat(F.lit("p"), (k % 2).cast("string"))))
+    return intake.snapshot_history(events.withColumns({"want": expected, "content": F.md5(F.concat(F.lit("p"), (k % 3).cast("string")))}), "user_id", "event_id", "want", "content")

@@ -11,11 +11,6 @@ from corpusloom.plans.base import ITEMS, items, query
 TERMS = ["idiot", "moron", "scum", "trash"]
 
 
-@query("prj5_banned_terms", r"""SELECT doc_id, coalesce(list_aggregate(list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i)\b(idiot|moron|scum|trash)\b', 1), lambda x: lower(x)))), 'string_agg', ','), '') AS terms FROM documents WHERE lang = 'en'""")
-def banned(read):
-    return read("documents").filter("lang = 'en'").select("doc_id", R.banned_terms(F.col("text"), TERMS).alias("terms"))
-
-
 @query("prj6_rule_issues", r"""SELECT doc_id, 'pipe' AS code, 'warning' AS severity FROM documents WHERE contains(text, ' | ') UNION ALL SELECT doc_id, 'shout', 'error' FROM documents WHERE regexp_matches(text, '[A-Z]{4,}!!')
 UNION ALL SELECT doc_id, 'paren', 'warning' FROM documents WHERE regexp_matches(text, '\([^)]*\)')""")
 def rule_issues(read):
@@ -37,18 +32,6 @@ def formulas(read):
     return read("documents").select("doc_id", F.regexp_extract(t, r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", 0).alias("address"), F.regexp_extract(t, r"([0-9]{4}) [0-9]{4}", 1).alias("number"))
 
 
-@query("prj9_phrase_leads", """SELECT doc_id, phrase, substr(text, strpos(lower(text), phrase), length(phrase)) AS found FROM documents, (VALUES ('is the'), ('of that'), ('and with')) p(phrase) WHERE lang = 'en' AND contains(lower(text), phrase)""")
-def leads(read):
-    return R.phrase_leads(read("documents").filter("lang = 'en'"), "doc_id", "text", ["is the", "of that", "and with"])
-
-
-@query("prj10_case_preserving_rewrite", r"""WITH d AS (SELECT doc_id, text, len(regexp_extract_all(text, '(?i)\bwith\b')) AS n FROM documents WHERE lang = 'en')
-SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\bWITH\b', 'BESIDE', 'g'), '\bWith\b', 'Beside', 'g'), '(?i)\bwith\b', 'beside', 'g') AS text, CASE WHEN n > 0 THEN 'with: ' || n ELSE '' END AS edits FROM d""")
-def rewritten(read):
-    text, edits = R.rewrite(F.col("text"), [("with", "with", "beside")])
-    return read("documents").filter("lang = 'en'").select("doc_id", text.alias("text"), F.array_join(edits, ",").alias("edits"))
-
-
 @query("prj12_script_check", "SELECT doc_id, CASE WHEN NOT regexp_matches(text, '[A-Za-z]') THEN 'missing_script' WHEN regexp_matches(text, '[ßäöü]') THEN 'forbidden_script' ELSE 'ok' END AS status FROM documents")
 def script(read):
     return read("documents").select("doc_id", R.script_check(F.col("text"), "[A-Za-z]", "[ßäöü]").alias("status"))
@@ -74,27 +57,9 @@ def failures(read):
     return read("events").select("event_id", R.classify(F.concat("event_type", F.lit(" failed")), rules, "other").alias("class"))
 
 
-@query("agg5_duplicate_groups", r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents WHERE lang = 'en')
-SELECT g AS group_id, doc_id, count(*) OVER (PARTITION BY g) AS size FROM h QUALIFY count(*) OVER (PARTITION BY g) > 1""")
-def duplicate_groups(read):
-    return V.duplicate_groups(read("documents").filter("lang = 'en'"), "doc_id", "text")
-
-
 RENDERED = "CASE WHEN doc_id % 7 = 0 THEN reverse(text) WHEN doc_id % 5 <> 0 THEN text END"
 
 
-def _rendered(read):
-    d = read("documents").filter("lang = 'en'")
-    return d.select("doc_id", F.when(F.col("doc_id") % 7 == 0, F.reverse("text")).when(F.col("doc_id") % 5 != 0, F.col("text")).alias("rendered"))
-
-
-@query("agg6_invariance", rf"""WITH h AS (SELECT doc_id, {RENDERED} AS r, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents WHERE lang = 'en'),
-s AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1) SELECT g AS group_id, count(r) AS present, count(DISTINCT r) AS renderings, count(DISTINCT r) = 1 AS invariant FROM h JOIN s USING (g) GROUP BY g HAVING count(r) > 1""")
-def invariance(read):
-    groups = V.duplicate_groups(read("documents").filter("lang = 'en'"), "doc_id", "text")
-    return V.invariance(groups, _rendered(read), "doc_id", "rendered")
-
-
 @query("set2_group_closure", r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents), t AS (SELECT doc_id FROM documents WHERE doc_id % 9 = 0),
 x AS (SELECT DISTINCT g FROM h JOIN t USING (doc_id)) SELECT doc_id, doc_id % 9 <> 0 AS closure_only FROM h WHERE g IN (SELECT g FROM x)""")
 def closure(read):
@@ -102,14 +67,6 @@ def closure(read):
     return V.closure(d.filter("doc_id % 9 = 0"), V.duplicate_groups(d, "doc_id", "text"), "doc_id")
 
 
-@query("res3_accept_gated_overlay", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN upper(text) ELSE text END AS final_text, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'revision' ELSE 'base' END AS layer FROM documents WHERE lang = 'en'""")
-def accept_gated(read):
-    d = read("documents").filter("lang = 'en'").select("doc_id", "text")
-    revised = d.filter("doc_id % 3 = 0").select("doc_id", F.upper("text").alias("revision"))
-    verdicts = d.select("doc_id", (F.col("doc_id") % 2 == 0).alias("accept"))
-    return V.accept_gated(d, revised, verdicts, "doc_id").select("doc_id", "final_text", "layer")
-
-
 @query("res2_staged_overlay", """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '2:' || text WHEN doc_id % 7 = 0 THEN '1:' || text ELSE text END AS final_text, CASE WHEN doc_id % 11 = 0 THEN 'repair' WHEN doc_id % 7 = 0 THEN 'revision' ELSE 'draft' END AS layer FROM documents""")
 def staged(read):
     d = read("documents").select("doc_id", "text")
@@ -215,22 +172,6 @@ def gate_verdict(read):
     return V.verdict(lab.filter("toxic = 1").select(F.lit("error").alias("severity")).unionByName(lab.filter("quality = 0").select(F.lit("warning").alias("severity"))))
 
 
-@query("agg9_lemma_document_frequency", r"SELECT lemma, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS lemma FROM documents WHERE lang = 'en') GROUP BY lemma")
-def lemma_df(read):
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    return read("documents").filter("lang = 'en'").select("doc_id", F.explode(words).alias("lemma")).groupBy("lemma").agg(F.count(F.lit(1)).alias("df"))
-
-
-@query("res10_concordance", r"""WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS lemma FROM documents WHERE lang = 'en'), d AS (SELECT lemma, count(*) AS df FROM w GROUP BY lemma HAVING count(*) BETWEEN 2 AND 29),
-r AS (SELECT lemma, doc_id, df, row_number() OVER (PARTITION BY lemma ORDER BY doc_id) AS k FROM w JOIN d USING (lemma)) SELECT lemma, df, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS first_refs FROM r WHERE k <= 3 GROUP BY lemma, df""")
-def concordance(read):
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    w = read("documents").filter("lang = 'en'").select("doc_id", F.explode(words).alias("lemma"))
-    df = w.groupBy("lemma").agg(F.count(F.lit(1)).alias("df")).filter("df between 2 and 29")  # cut before the join: frequent words never meet
-    few = w.join(df, "lemma").groupBy("lemma", "df").agg(F.sort_array(F.collect_list("doc_id")).alias("refs"))
-    return few.select("lemma", "df", F.array_join(F.slice("refs", 1, 3).cast("array<string>"), ",").alias("first_refs"))
-
-
 @query("agg21_prompt_sizes", r"SELECT source, count(*) AS n, min(length(text)) AS lo, max(length(text)) AS hi, sum(length(text))::BIGINT AS total, sum(len(regexp_extract_all(text, '[A-Za-z0-9'']+')))::BIGINT AS words FROM documents GROUP BY source")
 def prompt_sizes(read):
     from corpusloom.operators.evals import word_count

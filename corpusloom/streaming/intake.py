@@ -1,71 +1,110 @@
-"""Structured Streaming jobs with keyed state: observation intake and a reservation ledger.
+"""Structured Streaming jobs with keyed state: observation intake, a ledger of reservations and guarded snapshots.
 
-Each handler sorts the rows of its key that arrived together by an explicit
-sequence column, so that outcomes do not depend on the order of arrival within
-a micro-batch; state per key is a few scalars.
+Each handler takes the rows of its key that arrived together in the order of an
+explicit sequence column, so that outcomes do not depend on the order of arrival within
+a micro-batch; state per key is a few scalars.  With ``idle_hours`` the state of
+a key that nothing reached for so long is given up, and the key begins anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def intake(stream: DataFrame, keys: list[str], sequence: str, payload: str) -> DataFrame:
-    """(sequence, outcome): the first row of an identity is 'stored', an equal payload later is 'noop', another is 'conflict'."""
-
-    def handle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(sequence)
-        first = state.get[0] if state.exists else None
-        outcomes = []
-        for value in rows[payload].tolist():
-            if first is None:
-                first = value
-                outcomes.append("stored")
-            else:
-                outcomes.append("noop" if value == first else "conflict")
-        state.update((first,))
-        yield pd.DataFrame({sequence: rows[sequence].to_numpy(), "outcome": outcomes})
-
-    grouped = stream.select(*keys, sequence, payload).groupBy(*keys)
-    return grouped.applyInPandasWithState(handle, f"{sequence} long, outcome string", "first long", "append", GroupStateTimeout.NoTimeout)
-
-
-def ledger(stream: DataFrame, account: str, sequence: str, amount: str, ceiling: int) -> DataFrame:
-    """(sequence, accepted, held): a reservation is accepted if it keeps the account at or under the ceiling."""
-
-    def handle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(sequence)
-        held = state.get[0] if state.exists else 0
-        accepted, totals = [], []
-        for value in rows[amount].tolist():
-            ok = 0 <= value <= ceiling - held
-            held += value if ok else 0
-            accepted.append(ok)
-            totals.append(held)
-        state.update((held,))
-        yield pd.DataFrame({sequence: rows[sequence].to_numpy(), "accepted": accepted, "held": totals})
-
-    grouped = stream.select(account, sequence, amount).groupBy(account)
-    return grouped.applyInPandasWithState(handle, f"{sequence} long, accepted boolean, held long", "held long", "append", GroupStateTimeout.NoTimeout)
-
-
-def compare_and_set(stream: DataFrame, account: str, sequence: str, expected: str, payload: str) -> DataFrame:
-    """(sequence, status): a row replaces the stored payload only if ``expected`` equals it (null for the first); otherwise 'stale'."""
-
-    def handle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(sequence)
-        now = state.get[0] if state.exists else -1
-        status = []
-        for want, value in zip(rows[expected].tolist(), rows[payload].tolist()):
-            ok = want == now
-            now = value if ok else now
-            status.append("updated" if ok else "stale")
-        state.update((now,))
-        yield pd.DataFrame({sequence: rows[sequence].to_numpy(), "status": status})
-
-    grouped = stream.select(account, sequence, expected, payload).groupBy(account)
-    return grouped.applyInPandasWithState(handle, f"{sequence} long, status string", "now long", "append", GroupStateTimeout.NoTimeout)
+def _keyed(stream: DataFrame, keys: list[str], columns: list[str], sequence: str, step: Callable[..., tuple[tuple, tuple]], output: str, state: str, idle_hours: float | None) -> DataFrame:
+    """Rows (sequence, output) of step(state or None, *values of columns), which returns the next state and the row's output."""
+    names = [sequence, *(c.split()[0] for c in output.split(", "))]
+
+    def handle(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values(sequence, kind="stable")
+        now, out = held.get if held.exists else None, []
+        for seq, *values in zip(rows[sequence].tolist(), *(rows[c].tolist() for c in columns)):
+            now, told = step(now, *(None if isinstance(v, float) and math.isnan(v) else v for v in values))
+            out.append((seq, *told))
+        held.update(now)
+        if idle_hours:
+            held.setTimeoutDuration(int(idle_hours * 3_600_000))
+        yield pd.DataFrame(out, columns=names)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_hours else GroupStateTimeout.NoTimeout
+    grouped = stream.select(*keys, sequence, *columns).groupBy(*keys)
+    return grouped.applyInPandasWithState(handle, f"{sequence} long, {output}", state, "append", timeout)
+
+
+def intake(stream: DataFrame, keys: list[str], sequence: str, payload: str, idle_hours: float | None = None) -> DataFrame:
+    """(sequence, outcome): the first row of an identity is 'stored', an equal payload later is 'noop', another is 'conflict'; null is a payload too."""
+
+    def step(now: tuple | None, value: object) -> tuple[tuple, tuple]:
+        return ((value,), ("stored",)) if now is None else (now, ("noop" if value == now[0] else "conflict",))
+
+    return _keyed(stream, keys, [payload], sequence, step, "outcome string", "first long", idle_hours)
+
+
+def ledger(stream: DataFrame, account: str, sequence: str, amount: str, ceiling: int, idle_hours: float | None = None) -> DataFrame:
+    """(sequence, accepted, held): a reservation is accepted if it keeps the account at or under the ceiling; null and negative ones never are."""
+
+    def step(now: tuple | None, value: int | None) -> tuple[tuple, tuple]:
+        held = now[0] if now else 0
+        ok = value is not None and 0 <= value <= ceiling - held
+        held += int(value) if ok else 0
+        return (held,), (ok, held)
+
+    return _keyed(stream, [account], [amount], sequence, step, "accepted boolean, held long", "held long", idle_hours)
+
+
+def settled_ledger(stream: DataFrame, account: str, sequence: str, action: str, amount: str, ceiling: int, idle_hours: float | None = None) -> DataFrame:
+    """(sequence, status, spent, held): 'reserve' holds an amount if spent and held stay at or under the ceiling, 'settle' spends
+    and 'release' gives back what is held.
+
+    status: 'accepted', 'invalid' (null, negative or not finite, or an unknown action), 'over_ceiling', 'not_held'.
+    """
+
+    def step(now: tuple | None, what: str, value: float | None) -> tuple[tuple, tuple]:
+        spent, held = now or (0, 0)
+        if value is None or not 0 <= value < math.inf or what not in ("reserve", "settle", "release"):
+            status = "invalid"
+        elif what == "reserve":
+            status = "accepted" if spent + held + value <= ceiling else "over_ceiling"
+            held += int(value) if status == "accepted" else 0
+        elif value > held:
+            status = "not_held"
+        else:
+            status, held = "accepted", held - int(value)
+            spent += int(value) if what == "settle" else 0
+        return (spent, held), (status, spent, held)
+
+    return _keyed(stream, [account], [action, amount], sequence, step, "status string, spent long, held long", "spent long, held long", idle_hours)
+
+
+def compare_and_set(stream: DataFrame, account: str, sequence: str, expected: str, payload: str, idle_hours: float | None = None) -> DataFrame:
+    """(sequence, status): a row replaces the stored payload only if ``expected`` equals it (-1 for the first); otherwise 'stale'."""
+
+    def step(now: tuple | None, want: int, value: int) -> tuple[tuple, tuple]:
+        here = now[0] if now else -1
+        return ((value if want == here else here,), ("updated" if want == here else "stale",))
+
+    return _keyed(stream, [account], [expected, payload], sequence, step, "status string", "now long", idle_hours)
+
+
+def snapshot_history(stream: DataFrame, account: str, sequence: str, expected: str, content: str, idle_hours: float | None = None) -> DataFrame:
+    """(sequence, status, previous, current): history rows of guarded updates; expected and content are hashes.
+
+    'updated' appends ``current`` after ``previous`` (null for the first, whose ``expected`` is null too), 'unchanged' repeats what
+    is stored, 'stale' expected something else; the stored hash is then the current one.
+    """
+
+    def step(now: tuple | None, want: str | None, value: str) -> tuple[tuple, tuple]:
+        here = now[0] if now else None
+        if want != here:
+            return (here,), ("stale", here, here)
+        return (value,), ("unchanged" if value == here else "updated", here, value)
+
+    return _keyed(stream, [account], [expected, content], sequence, step, "status string, previous string, current string", "now string", idle_hours)

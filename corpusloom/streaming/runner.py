@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.functions.storage import fresh_path
+
 
 def drain(spark: SparkSession, path: str, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Stream the Parquet files under ``path`` (a folder or file) through ``job`` until nothing is left, and return the sink's rows.
 
     Sink and stream checkpoint lie in the folder of ``spark.checkpoint.dir``; a local one only where none is set.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    base = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = fresh_path(spark, "stream")
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
     source = spark.readStream.schema(schema).parquet(f"{folder}/[{name[0]}]{name[1:]}")

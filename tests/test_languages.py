@@ -24,30 +24,30 @@ def folder(spark, tmp_path_factory):
 
 
 def test_groups_cross_languages_and_hold_rows_without_one(spark, folder):
-    rows = plans.QUERIES["agg5_duplicate_groups_all"](spark, folder).collect()
+    rows = plans.QUERIES["agg5_duplicate_groups"](spark, folder).collect()
     groups = {}
     for r in rows:
         groups.setdefault(r["group_id"], set()).add(r["doc_id"])
     assert sorted(map(sorted, groups.values())) == [[1, 2, 3], [4, 5]]
-    assert plans.QUERIES["con9_group_choice_all"](spark, folder).count() == 2
-    assert plans.QUERIES["agg6_invariance_all"](spark, folder).first()["present"] == 3  # the rendering of document 5 is absent
+    assert plans.QUERIES["con9_group_choice"](spark, folder).count() == 2
+    assert plans.QUERIES["agg6_invariance"](spark, folder).first()["present"] == 3  # the rendering of document 5 is absent
 
 
 def test_terms_and_rewrites_know_letters_of_other_languages(spark, folder):
-    terms = dict(map(tuple, plans.QUERIES["prj5_banned_terms_all"](spark, folder).collect()))
+    terms = dict(map(tuple, plans.QUERIES["prj5_banned_terms"](spark, folder).collect()))
     assert {k for k, v in terms.items() if v} == {4, 5} and len(terms) == len(TEXTS)
-    new = {r["doc_id"]: r for r in plans.QUERIES["prj10_case_preserving_rewrite_all"](spark, folder).collect()}
+    new = {r["doc_id"]: r for r in plans.QUERIES["prj10_case_preserving_rewrite"](spark, folder).collect()}
     assert new[6]["text"] == "idioté idiot_ beside withé Beside, BESIDE beside" and new[6]["edits"] == "with: 4"
-    assert [tuple(r) for r in plans.QUERIES["prj9_phrase_leads_all"](spark, folder).collect()] == [(7, "is the", "IS THE")]
-    assert [tuple(r) for r in plans.QUERIES["agg10_edit_histogram_all"](spark, folder).collect()] == [("with", 1)]
+    assert [tuple(r) for r in plans.QUERIES["prj9_phrase_leads"](spark, folder).collect()] == [(7, "is the", "IS THE")]
+    assert [tuple(r) for r in plans.QUERIES["agg10_edit_histogram"](spark, folder).collect()] == [("with", 1)]
 
 
 def test_words_are_not_cut_at_accents(spark, folder):
-    df = dict(map(tuple, plans.QUERIES["agg9_lemma_document_frequency_all"](spark, folder).collect()))
+    df = dict(map(tuple, plans.QUERIES["agg9_lemma_document_frequency"](spark, folder).collect()))
     assert df["été"] == 2 and df["same"] == 3 and "t" not in df
-    assert {r["term"]: r["first_refs"] for r in plans.QUERIES["agg7_glossary_all"](spark, folder).collect()}["été"] == "4, 5"
-    assert ("plage", 2, "4,5") in {(r["lemma"], r["df"], r["first_refs"]) for r in plans.QUERIES["res10_concordance_all"](spark, folder).collect()}
-    for name in ("gat15_word_sequence_all", "res3_accept_gated_overlay_all"):
+    assert {r["term"]: r["first_refs"] for r in plans.QUERIES["agg7_glossary"](spark, folder).collect()}["été"] == "4, 5"
+    assert ("plage", 2, "4,5") in {(r["lemma"], r["df"], r["first_refs"]) for r in plans.QUERIES["res10_concordance"](spark, folder).collect()}
+    for name in ("gat15_word_sequence", "res3_accept_gated_overlay"):
         assert plans.QUERIES[name](spark, folder).count() == len(TEXTS)
 
 
