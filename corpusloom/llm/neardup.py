@@ -50,7 +50,7 @@ HASHES = TREES * DEPTH
 LANES = 4  # further hashes of a tree's order, 16 bits of each
 PROBES = 6
 FIRST_TRIES = 2
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 512
 SLACK = 0.12  # signatures of HASHES values are off by more than this in 1 of 7000 cases
 MASK = (1 << 64) - 1
 _rng = np.random.RandomState(97)
