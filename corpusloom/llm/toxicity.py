@@ -52,7 +52,7 @@ HOMOGLYPHS, SEEN = str.maketrans(LOOKS), re.compile(f"[{''.join(LOOKS)}]")
 DIGITS = str.maketrans("013457@$!", "oieastasi")
 #: A whole run of word characters and signs with a digit or sign in it; each place of a text is looked at once.
 RUN = re.compile(r"(?<![\w@$!])[^\W0-9]*+[0-9@$!][\w@$!]*+")
-INSIDE = re.compile(r"[^\W\d_][0-9@$!]+[^\W_]")
+INSIDE = re.compile(r"[^\W\d_][0-9@$!]+[^\W\d_]")
 AHEAD = re.compile(r"[0-9][0-9@$]*[^\W\d_]{2}")
 
 
