@@ -165,6 +165,46 @@ def test_warc_rejects_records_inside_payloads(spark):
     assert got[3]["record_type"] == got[4]["record_type"] == "response"
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_warc_files_are_read_in_byte_ranges(spark, tmp_path, compression):
+    """One file over many ranges, records with magic in their payloads across the ends of ranges, and magic in a url."""
+    inner = "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: {}\r\n\r\n\r\n\r\n"
+    pages = [(i, f"http://u/{i}/WARC/1.1", None if i % 11 == 0 else f"<p>{i}</p>" + "xé" * (i * 37 % 900) + (inner.format(i % 9) * (i % 7) if i % 3 == 0 else "") + "\r\n" * (i % 4)) for i in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(df, path, compression=compression)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1777")
+    try:
+        cut = warc.pieces(spark, path)
+        assert (cut.select("block").distinct().count() > 50) == (compression == "none")
+        got = {r["page_id"]: r for r in warc.read_archives(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 300
+    for i, url, html in pages:
+        body = (html or "").encode()
+        assert (got[i]["url"], got[i]["payload_bytes"], got[i]["payload_digest"], got[i]["digest_ok"]) == (url, len(body), hashlib.sha1(body).hexdigest(), True)
+
+
+def test_a_truncated_archive_loses_its_last_record_only(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", "p" * (i + 5)) for i in range(6)], "page_id long, url string, html string").coalesce(1)
+    text = warc.END.join([*(r["value"] for r in warc.records(df).collect()), ""]).encode()
+    for name, cut in (("a", 0), ("b", 1), ("c", 30)):
+        (tmp_path / f"{name}.warc").write_bytes(text[: len(text) - cut])
+    found = warc.read_archives(spark, str(tmp_path / "*.warc")).groupBy("page_id").count().collect()
+    assert {r["page_id"]: r["count"] for r in found} == {**{i: 3 for i in range(5)}, 5: 1}
+
+
+def test_warc_with_clashing_columns_and_repeated_ids(spark):
+    rows = [(1, "u", "x" * 1200, 7, "f"), (1, "u", "x" * 1200, 7, "f"), (0, "u", "x" * 1200, 8, "g")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, kept int, digest string")
+    path = new_path(spark, "warc-test")
+    warc.write_archives(df, path)
+    got = sorted(tuple(r) for r in warc.read_archives(spark, path).select("page_id", "record_type", "refers_to").collect())
+    assert got == [(0, "revisit", 1), (1, "response", None), (1, "response", None)]
+
+
 def test_warc_of_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     path = new_path(spark, "warc-test")
