@@ -189,7 +189,7 @@ def test_warc_files_are_read_in_byte_ranges(spark, tmp_path, compression):
 
 def test_a_truncated_archive_loses_its_last_record_only(spark, tmp_path):
     df = spark.createDataFrame([(i, "u", "p" * (i + 5)) for i in range(6)], "page_id long, url string, html string").coalesce(1)
-    text = warc.END.join([*(r["value"] for r in warc.records(df).collect()), ""]).encode()
+    text = warc.END.join([*sorted(r["value"] for r in warc.records(df).collect()), ""]).encode()
     for name, cut in (("a", 0), ("b", 1), ("c", 30)):
         (tmp_path / f"{name}.warc").write_bytes(text[: len(text) - cut])
     found = warc.read_archives(spark, str(tmp_path / "*.warc")).groupBy("page_id").count().collect()
