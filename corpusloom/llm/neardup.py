@@ -363,7 +363,9 @@ def _labelled(docs: DataFrame, width: int, percent: int, block: int = BLOCK_ROWS
     tries = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sets = materialize(shingle_sets(docs, classes.join(crowd, "cid", "left_semi"), width), "sets")
     links = materialize(confirm(tries, sets, percent), "links")
-    links = links.union(divided_regions(members, components(links), sets, percent, block))
+    label = components(links)
+    stars = label.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))  # they connect what the links do
+    links = stars.union(divided_regions(members, label, sets, percent, block))
 
     label = components(materialize(links, "links"))
     named = classes.select("digest", "first_id", "cid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
