@@ -368,10 +368,12 @@ def _labelled(docs: DataFrame, width: int, percent: int, block: int = BLOCK_ROWS
     links = stars.union(divided_regions(members, label, sets, percent, block))
 
     label = components(materialize(links, "links"))
-    named = classes.select("digest", "first_id", "cid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
-    named = named.withColumn("component", F.coalesce("component", "cid")).select("digest", "first_id", "component")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "component").select("digest", F.col("component").alias("group"), "component_id")
+    label = label.withColumnRenamed("node", "cid")
+    firsts = classes.select("cid", "first_id").join(label, "cid").groupBy("component").agg(F.min("first_id").alias("component_id"))
+    firsts = materialize(firsts, "firsts")  # written, so that a join may split the rows of a large component
+    named = classes.select("digest", "first_id", "cid").join(label, "cid", "left").withColumn("group", F.coalesce("component", "cid"))
+    named = named.join(firsts.withColumnRenamed("component", "group"), "group", "left")
+    named = named.select("digest", "group", F.coalesce("component_id", "first_id").alias("component_id"))
     return sketch.select("doc_id", "fp", "n", "digest").join(named, "digest", "left")
 
 
