@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import ann, decontaminate, lexical, mixing, neardup, quality, repeats, runs, sharding, toxicity, urlfilter, warc
+from corpusloom.llm import ann, decontaminate, lexical, mixing, neardup, ngramjoin, quality, repeats, runs, sharding, toxicity, urlfilter, warc
 
-MODULES = (urlfilter, quality, neardup, repeats, ann, sharding, toxicity, warc, mixing, decontaminate, lexical, runs)
+MODULES = (urlfilter, quality, neardup, repeats, ann, sharding, toxicity, warc, mixing, decontaminate, lexical, ngramjoin, runs)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
