@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,13 +12,22 @@ from pyspark.sql import functions as F
 def normal_form(text: Column, form: str = "NFC") -> Column:
     """Unicode normal form NFC, NFD, NFKC or NFKD; in Arrow batches, as there is no built-in."""
 
-    @F.pandas_udf("string")
-    def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize(form, t))
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.array([t if t is None or t.isascii() else unicodedata.normalize(form, t) for t in batch.to_pylist()], pa.string())
 
     return run(text)
 
 
+#: White space of any script, as a character class.
+SPACES = r"[\s\x0B\x{85}\p{Z}\x1C-\x1F]+"
+
+
+def even_spaces(text: Column) -> Column:
+    """Runs of white space as single blanks, none at the ends."""
+    return F.trim(F.regexp_replace(text, SPACES, " "))
+
+
 def without_marks(text: Column) -> Column:
     """Base letters only: decomposed, without combining marks and zero-width joiners."""
     return F.regexp_replace(normal_form(text, "NFD"), r"[\p{Mn}‌‍]", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.resolve import normalized
+from corpusloom.operators.resolve import folded
 
 FENCE = r"(?s)^\s*```(?:json)?\s*|\s*```\s*$"
 
@@ -39,7 +39,7 @@ def response_issues(responses: DataFrame, expected: DataFrame, key: str) -> Data
 
 def grounded(text: Column, quote: Column) -> Column:
     """Whether a quote stands in a text, case and runs of white space aside; an empty quote does not."""
-    return (F.length(F.trim(quote)) > 0) & F.contains(normalized(text), normalized(quote))
+    return (F.length(F.trim(quote)) > 0) & F.contains(folded(text), folded(quote))
 
 
 def first_passing(attempts: DataFrame, keys: list[str], attempt: str, passed: str, value: str) -> DataFrame:

@@ -5,21 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.storage import written
+from corpusloom.functions.texts import even_spaces, normal_form
 from corpusloom.operators.rules import occurrences
 
 
-def normalized(text: Column) -> Column:
+def folded(text: Column) -> Column:
+    """Lower-cased, white space evened: how quotes are compared with texts."""
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
-def group_ids(df: DataFrame, key: str, text: str) -> DataFrame:
+def normalized(text: Column, without: str = "") -> Column:
+    """Unicode form NFC and even white space; case and marks stay, as they are part of what is said. ``without``: characters that are only ornament."""
+    return even_spaces(F.translate(normal_form(text), without, ""))
+
+
+def group_ids(df: DataFrame, key: str, text: str, without: str = "") -> DataFrame:
     """(key, group_id) of every row, groups of one included: one scan, no shuffle; enough where a lone row cannot matter."""
-    return df.select(key, F.sha2(normalized(F.col(text)), 256).alias("group_id"))
+    return df.select(key, F.sha2(normalized(F.col(text), without), 256).alias("group_id"))
+
 
+def duplicate_groups(df: DataFrame, key: str, text: str, without: str = "") -> DataFrame:
+    """(group_id, key, size): members of groups of equal normalized texts.
 
-def duplicate_groups(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(group_id, key, size): members of groups of equal normalized texts; sizes are counted first, no member list is built."""
-    hashed = group_ids(df, key, text)
+    Texts are normalized once, into a written table of digests; sizes are counted first, no member list is built.
+    """
+    hashed = written(group_ids(df, key, text, without), "groups")
     sizes = hashed.groupBy("group_id").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return hashed.join(sizes, "group_id")
 

@@ -12,9 +12,19 @@ from pyspark.sql import functions as F
 WORD_EDGES = (r"(?<![\p{L}\p{M}\p{N}_])", r"(?![\p{L}\p{M}\p{N}_])")
 
 
+def quoted(literal: str) -> str:
+    """A pattern for the text as it stands, whatever signs are in it."""
+    return "".join(f"\\x{{{ord(c):x}}}" if not (c.isalnum() or c.isspace()) else c for c in literal)
+
+
+def replacement(literal: str) -> str:
+    """The text as a replacement, its signs without meaning."""
+    return literal.replace("\\", "\\\\").replace("$", "\\$")
+
+
 def banned_terms(text: Column, terms: list[str], edges: tuple[str, str] = (r"\b", r"\b")) -> Column:
     """Distinct banned whole words found, lower-cased, sorted, comma-joined; empty if none."""
-    pattern = rf"(?i){edges[0]}(" + "|".join(terms) + rf"){edges[1]}"
+    pattern = rf"(?i){edges[0]}(" + "|".join(map(quoted, sorted(terms, key=len, reverse=True))) + rf"){edges[1]}"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     return F.array_join(F.array_sort(F.array_distinct(F.transform(found, F.lower))), ",")
 
@@ -45,11 +55,11 @@ def rewrite(text: Column, steps: list[tuple[str, str, str]], edges: tuple[str, s
     """
     edits, (left, right) = [], edges
     for label, old, new in steps:
-        n = F.regexp_count(text, F.lit(rf"(?i){left}{old}{right}"))
+        n = F.regexp_count(text, F.lit(rf"(?iu){left}{quoted(old)}{right}"))
         edits.append(F.when(n > 0, F.concat(F.lit(f"{label}: "), n.cast("string"))))
         for a, b in ((old.upper(), new.upper()), (old.capitalize(), new.capitalize())):
-            text = F.regexp_replace(text, rf"{left}{a}{right}", b)
-        text = F.regexp_replace(text, rf"(?i){left}{old}{right}", new)
+            text = F.regexp_replace(text, rf"{left}{quoted(a)}{right}", replacement(b))
+        text = F.regexp_replace(text, rf"(?iu){left}{quoted(old)}{right}", replacement(new))
     return text, F.array_compact(F.array(*edits))
 
 

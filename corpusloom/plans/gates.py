@@ -19,7 +19,7 @@ FORMULA = {"formula": (r"\bthe [a-z]+ of the\b", "warning")}
 LAYER = "p AS (SELECT doc_id, lang, CASE WHEN doc_id % 11 = 0 THEN ' ' WHEN doc_id % 7 = 0 THEN text || '?' ELSE text END AS t FROM documents WHERE doc_id % 13 <> 0)"
 COVER = "SELECT doc_id, 'missing' AS code, 'error' AS severity FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM p) UNION ALL SELECT doc_id, 'empty', 'error' FROM p WHERE trim(coalesce(t, '')) = ''"
 RULED = r"SELECT doc_id, 'pipe', 'warning' FROM p WHERE contains(t, ' | ') UNION ALL SELECT doc_id, 'paren', 'error' FROM p WHERE regexp_matches(t, '\([^)]*\)')"
-GROUPS = r"h0 AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents), h AS (SELECT doc_id, g FROM h0 QUALIFY count(*) OVER (PARTITION BY g) > 1 AND g IS NOT NULL)"
+GROUPS = r"h0 AS (SELECT doc_id, sha256(trim(regexp_replace(nfc_normalize(text), '[\s\x0B\x{85}\p{Z}\x1C-\x1F]+', ' ', 'g'))) AS g FROM documents), h AS (SELECT doc_id, g FROM h0 QUALIFY count(*) OVER (PARTITION BY g) > 1 AND g IS NOT NULL)"
 SPLIT = "SELECT doc_id, 'group_divergence', 'error' FROM h JOIN p USING (doc_id) WHERE t IS NOT NULL AND g IN (SELECT g FROM h JOIN p USING (doc_id) GROUP BY g HAVING count(DISTINCT t) > 1)"
 FORMULAS = r"SELECT doc_id, 'formula', 'warning' FROM p WHERE regexp_matches(t, '\bthe [a-z]+ of the\b')"
 

@@ -10,6 +10,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions.storage import written
 from corpusloom.operators import contracts as C
 from corpusloom.operators import matching as M
 from corpusloom.operators import resolve as V
@@ -19,7 +20,7 @@ from corpusloom.plans.texts import RENDERED, TERMS
 
 LEMMA = r"[\p{L}\p{M}]+"
 RUN = r"[\p{L}\p{M}\p{N}_]+"
-GROUPS = r"h AS (SELECT doc_id, text, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents)"
+GROUPS = r"h AS (SELECT doc_id, text, sha256(trim(regexp_replace(nfc_normalize(text), '[\s\x0B\x{85}\p{Z}\x1C-\x1F]+', ' ', 'g'))) AS g FROM documents)"
 
 
 def _groups(read):
@@ -27,8 +28,16 @@ def _groups(read):
 
 
 def _lemmas(read):
-    words = F.regexp_extract_all(F.lower("text"), F.lit(LEMMA), F.lit(0))
-    return read("documents").select("doc_id", F.explode(words).alias("lemma"))
+    return read("documents").select("doc_id", F.explode(_words()).alias("lemma"))
+
+
+def _words():
+    return F.regexp_extract_all(F.lower("text"), F.lit(LEMMA), F.lit(0))
+
+
+def _distinct_lemmas(read):
+    """One row per lemma and document; repeats inside a text go before anything is exploded."""
+    return read("documents").select("doc_id", F.explode(F.array_distinct(_words())).alias("lemma"))
 
 
 @query("prj5_banned_terms", f"SELECT doc_id, coalesce(list_aggregate(list_sort(list_distinct(list_filter(regexp_extract_all(lower(text), '{RUN}'), lambda x: x IN ('idiot', 'moron', 'scum', 'trash')))), 'string_agg', ','), '') AS terms FROM documents")
@@ -63,9 +72,17 @@ def edit_histogram(read):
     return per.groupBy(F.split("e", ":")[0].alias("label")).agg(F.count(F.lit(1)).alias("items"))
 
 
-@query("agg5_duplicate_groups", f"WITH {GROUPS} SELECT g AS group_id, doc_id, count(*) OVER (PARTITION BY g) AS size FROM h WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY g) > 1")
+#: Texts of which some differ from others in white space or Unicode form only, and some in case.
+VARIED = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  ' || replace(text, ' ', chr(160) || ' ') WHEN 1 THEN replace(text, 'é', 'e' || chr(769)) WHEN 2 THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE text END AS text FROM documents"
+VARIED_GROUPS = f"v AS ({VARIED}), " + GROUPS.replace("FROM documents", "FROM v")
+
+
+@query("agg5_duplicate_groups", f"WITH {VARIED_GROUPS} SELECT g AS group_id, doc_id, count(*) OVER (PARTITION BY g) AS size FROM h WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY g) > 1")
 def duplicate_groups(read):
-    return _groups(read)
+    k, t = F.col("doc_id") % 4, F.col("text")
+    spaced = F.concat(F.lit("  "), F.replace(t, F.lit(" "), F.lit("\u00a0 ")))
+    varied = F.when(k == 0, spaced).when(k == 1, F.replace(t, F.lit("\u00e9"), F.lit("e\u0301"))).when(k == 2, F.translate(t, ascii_lowercase, ascii_uppercase)).otherwise(t)
+    return V.duplicate_groups(read("documents").select("doc_id", varied.alias("text")), "doc_id", "text")
 
 
 @query("agg6_invariance", f"""WITH {GROUPS}, x AS (SELECT g, {RENDERED} AS r FROM h), s AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1)
@@ -97,13 +114,13 @@ def glossary(read):
 
 @query("agg9_lemma_document_frequency", f"SELECT lemma, count(DISTINCT doc_id) AS df FROM {LEMMAS} GROUP BY lemma")
 def lemma_df(read):
-    return _lemmas(read).dropDuplicates(["doc_id", "lemma"]).groupBy("lemma").agg(F.count("doc_id").alias("df"))
+    return _distinct_lemmas(read).groupBy("lemma").agg(F.count("doc_id").alias("df"))  # doc_id is unique
 
 
 @query("res10_concordance", f"""WITH w AS (SELECT DISTINCT doc_id, lemma FROM {LEMMAS}), d AS (SELECT lemma, count(*) AS df FROM w GROUP BY lemma HAVING count(*) BETWEEN 2 AND 29),
 r AS (SELECT lemma, doc_id, df, row_number() OVER (PARTITION BY lemma ORDER BY doc_id) AS k FROM w JOIN d USING (lemma)) SELECT lemma, df, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS first_refs FROM r WHERE k <= 3 GROUP BY lemma, df""")
 def concordance(read):
-    w = _lemmas(read).dropDuplicates(["doc_id", "lemma"])
+    w = written(_distinct_lemmas(read), "lemmas")  # texts are cut into words once
     df = w.groupBy("lemma").agg(F.count(F.lit(1)).alias("df")).filter("df between 2 and 29")  # cut before the join: frequent words never meet
     few = w.join(df, "lemma").groupBy("lemma", "df").agg(F.sort_array(F.collect_list("doc_id")).alias("refs"))
     return few.select("lemma", "df", F.array_join(F.slice("refs", 1, 3).cast("array<string>"), ",").alias("first_refs"))

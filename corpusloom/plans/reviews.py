@@ -17,7 +17,8 @@ from corpusloom.plans.gates import GROUPS
 from corpusloom.plans.languages import RUN, _twice
 from corpusloom.sources import files
 
-PRINT = "count(*) || ':' || bit_xor(('0x' || substr(sha256(concat_ws('|', doc_id, coalesce({0}, '<null>'))), 1, 15))::BIGINT)"
+DIGEST = "sha256(coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce('=' || {0}, '~'))"
+PRINT = "count(*) || ':' || " + " || ':' || ".join(f"sum(('0x' || substr({DIGEST}, {15 * i + 1}, 15))::BIGINT::HUGEINT)" for i in range(4))
 FINDINGS = "f AS (SELECT labels.doc_id, toxic, quality, text, source FROM labels JOIN documents USING (doc_id) WHERE toxic = 1 OR quality = 0)"
 BAD = "(idiot|moron|scum|trash)"
 

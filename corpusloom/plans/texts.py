@@ -60,7 +60,7 @@ def failures(read):
 RENDERED = "CASE WHEN doc_id % 7 = 0 THEN reverse(text) WHEN doc_id % 5 <> 0 THEN text END"
 
 
-@query("set2_group_closure", r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents), t AS (SELECT doc_id FROM documents WHERE doc_id % 9 = 0),
+@query("set2_group_closure", r"""WITH h AS (SELECT doc_id, sha256(trim(regexp_replace(nfc_normalize(text), '[\s\x0B\x{85}\p{Z}\x1C-\x1F]+', ' ', 'g'))) AS g FROM documents), t AS (SELECT doc_id FROM documents WHERE doc_id % 9 = 0),
 x AS (SELECT DISTINCT g FROM h JOIN t USING (doc_id)) SELECT doc_id, doc_id % 9 <> 0 AS closure_only FROM h WHERE g IN (SELECT g FROM x)""")
 def closure(read):
     d = read("documents")
@@ -74,7 +74,7 @@ def staged(read):
     return V.staged_overlay(d, layers, "doc_id")
 
 
-@query("res6_group_override", r"""WITH h AS (SELECT doc_id, text, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS g FROM documents), s AS (SELECT g, min(doc_id) AS chosen FROM h GROUP BY g HAVING count(*) > 1)
+@query("res6_group_override", r"""WITH h AS (SELECT doc_id, text, sha256(trim(regexp_replace(nfc_normalize(text), '[\s\x0B\x{85}\p{Z}\x1C-\x1F]+', ' ', 'g'))) AS g FROM documents), s AS (SELECT g, min(doc_id) AS chosen FROM h GROUP BY g HAVING count(*) > 1)
 SELECT h.doc_id, CASE WHEN s.g IS NULL THEN text ELSE 'group ' || chosen END AS final_text FROM h LEFT JOIN s USING (g)""")
 def group_override(read):
     d = read("documents").select("doc_id", "text")
