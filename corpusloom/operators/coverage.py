@@ -38,7 +38,7 @@ def word_wrap(words: Column, limit: int) -> Column:
 def clause_lines(text: Column, clause: str, merged: int, long: int, wrapped: int) -> Column:
     """Pieces that match ``clause``, joined again while they fit into ``merged`` characters; one that is left of a text
     over ``long`` characters is wrapped by words at ``wrapped``."""
-    pieces = F.filter(F.transform(F.regexp_extract_all(text, F.lit(clause), F.lit(0)), F.trim), lambda p: p != "")
+    pieces = F.filter(F.transform(F.regexp_extract_all(text, F.lit(clause), F.lit(0)), lambda p: F.trim(p)), lambda p: p != "")
     lines = word_wrap(pieces, merged)
     return F.when((F.size(lines) == 1) & (F.length(text) > long), word_wrap(words_of(text), wrapped)).otherwise(lines)
 

@@ -54,10 +54,10 @@ def items_xml(spark, read, path):
     text = F.col("text")
     for plain, safe in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#9;")):
         text = F.replace(text, F.lit(plain), F.lit(safe))
-    marker = F.when(F.col("seq") == 1, ' bismillah="first"').otherwise("")
-    line = F.concat(F.lit('<aya index="'), F.col("seq").cast("string"), F.lit('" text="'), text, F.lit('"'), marker, F.lit("/>"))
+    marker = F.when(F.col("seq") == 1, ' marker="first"').otherwise("")
+    line = F.concat(F.lit('<item index="'), F.col("seq").cast("string"), F.lit('" text="'), text, F.lit('"'), marker, F.lit("/>"))
     per = items(read).groupBy("coll").agg(F.array_join(F.collect_list(line), "").alias("b"))  # the items of one collection
-    per.select(F.concat(F.lit('<sura index="'), "coll", F.lit('" name="c'), "coll", F.lit('">'), "b", F.lit("</sura>")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)  # a file has one root
+    per.select(F.concat(F.lit('<collection index="'), "coll", F.lit('" name="c'), "coll", F.lit('">'), "b", F.lit("</collection>")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)  # a file has one root
     return files.read_items_xml(spark, path)
 
 

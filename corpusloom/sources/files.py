@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.ordinals import global_ordinal
 
-SURA = "_index long, _name string, aya array<struct<_index:long,_text:string,_bismillah:string>>"
+def read_items_xml(spark: SparkSession, path: str, row_tag: str = "collection", item_tag: str = "item", number: str = "index", name: str = "name", text: str = "text", marker: str = "marker") -> DataFrame:
+    """(global_no, coll, coll_name, seq, ref, text, marker): items of collections, numbered from 1 in canonical order.
 
-
-def read_items_xml(spark: SparkSession, path: str, row_tag: str = "sura") -> DataFrame:
-    """(global_no, coll, coll_name, seq, ref, text, marker): items of collections, numbered from 1 in canonical order."""
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(SURA).load(path)
-    each = rows.select(F.col("_index").alias("coll"), F.col("_name").alias("coll_name"), F.explode("aya").alias("a"))
-    items = each.select("coll", "coll_name", F.col("a._index").alias("seq"), F.concat("coll", F.lit(":"), F.col("a._index")).alias("ref"), F.col("a._text").alias("text"), F.col("a._bismillah").alias("marker"))
+    Collections are elements ``row_tag`` with the attributes ``number`` and ``name``, items are elements ``item_tag`` in them
+    with the attributes ``number``, ``text`` and ``marker``.
+    """
+    schema = f"`_{number}` long, `_{name}` string, `{item_tag}` array<struct<`_{number}`:long,`_{text}`:string,`_{marker}`:string>>"
+    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    each = rows.select(F.col(f"_{number}").alias("coll"), F.col(f"_{name}").alias("coll_name"), F.explode(item_tag).alias("a"))
+    seq = F.col("a")[f"_{number}"]
+    items = each.select("coll", "coll_name", seq.alias("seq"), F.concat("coll", F.lit(":"), seq).alias("ref"), F.col("a")[f"_{text}"].alias("text"), F.col("a")[f"_{marker}"].alias("marker"))
     return global_ordinal(items, ["coll", "seq"], "global_no")
 
 
@@ -44,3 +47,21 @@ def read_artifacts(spark: SparkSession, path: str, schema: str, failed: str = "F
     rows = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path, multiLine=True)
     named = rows.withColumn("file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     return named.filter(F.col("_corrupt").isNull() & ~F.contains("file", F.lit(failed))).drop("_corrupt")
+
+
+def artifact_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(name, bytes, digest) of every file under ``path``: its name below it, its size and the SHA-256 of what is in it.
+
+    Each file is one row of the binary source, so an artifact must fit into one (2 GB); order by name where an order is wanted.
+    """
+    found = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{pattern}")
+    inside = F.split("path", F.lit(path.rstrip("/").rsplit("/", 1)[-1] + "/"), 2)[1]
+    return found.select(inside.alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("digest"))
+
+
+def manifest_differences(recorded: DataFrame, actual: DataFrame) -> DataFrame:
+    """(name, status): 'missing', 'unexpected', 'changed' or 'ok', of a recorded manifest against the files as they are."""
+    now = actual.select("name", F.struct("bytes", "digest").alias("_now"))
+    both = recorded.select("name", F.struct("bytes", "digest").alias("_was")).join(now, "name", "full")
+    status = F.when(F.col("_now").isNull(), "missing").when(F.col("_was").isNull(), "unexpected").when(F.col("_now") != F.col("_was"), "changed").otherwise("ok")
+    return both.select("name", status.alias("status"))

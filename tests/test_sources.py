@@ -4,7 +4,7 @@ from corpusloom.sources import files
 
 
 def test_items_from_xml(spark, tmp_path):
-    (tmp_path / "s.xml").write_text('<quran><sura index="2" name="b"><aya index="1" text="x" bismillah="m"/><aya index="3" text=" "/></sura><sura index="1" name="a"><aya index="1" text="y"/></sura></quran>')
+    (tmp_path / "s.xml").write_text('<corpus><collection index="2" name="b"><item index="1" text="x" marker="m"/><item index="3" text=" "/></collection><collection index="1" name="a"><item index="1" text="y"/></collection></corpus>')
     got = files.read_items_xml(spark, str(tmp_path / "s.xml"))
     assert sorted((r["global_no"], r["ref"], r["coll_name"], r["text"].strip(), r["marker"]) for r in got.collect()) == [(1, "1:1", "a", "y", None), (2, "2:1", "b", "x", "m"), (3, "2:3", "b", "", None)]
     assert sorted(map(tuple, files.import_problems(got).collect())) == [("2:3", "blank_text"), ("2:3", "order")]
