@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, DataType, LongType, StructType
@@ -120,5 +120,39 @@ def alone_if(limit: float, max_items: int, max_cost: float) -> Rule:
     return rule
 
 
+def titled(first: Column, title: Column, text: Column) -> Column:
+    """The part that a row puts into its unit: its text, after the title where it is the first of its collection."""
+    return F.concat(F.when(first, title).otherwise(F.lit("")), F.trim(text))
+
+
+def pack_bounded(df: DataFrame, keys: list[str], boundaries: list[str], order: list[Column], cost: str, target: float, hard: float, separator: float = 1, max_items: int = 1 << 31) -> tuple[DataFrame, DataFrame]:
+    """(units, refused): ``df`` with the number of each row's unit inside its key; rows whose own cost is over ``hard``.
+
+    A unit ends where a boundary column changes or ``target`` would be passed, one ``separator`` between rows counted.  Boundaries are
+    part of the key of the fold, so a key is no single stream where its sections are many; numbers go on over them in their order.
+    Nothing is packed around a row that no unit may hold: as long as ``refused`` has rows of a key, that key has no unit.
+    """
+    refused = df.filter(F.col(cost) > hard)
+    able = df.join(refused.select(*keys).distinct(), keys, "left_anti")
+    inner = fold_units(able, [*keys, *boundaries], order, cost, greedy(max_items, target, separator), "_u")
+    counts = inner.groupBy(*keys, *boundaries).agg((F.max("_u") + 1).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(*boundaries).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, *boundaries, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return inner.join(offsets, [*keys, *boundaries]).withColumn("unit", F.col("_o") + F.col("_u")).drop("_o", "_u"), refused
+
+
+def short_spans(df: DataFrame, keys: list[str], order: list[Column], text: str, duration: str, letters: int = 95, seconds: float = 10, max_items: int = 4, max_letters: int = 250) -> DataFrame:
+    """``df`` with ``unit``: spans of at most ``letters`` characters and ``seconds`` stand together, up to ``max_items`` of ``max_letters`` in all; any other stands alone."""
+
+    def step(state: tuple | None, size: int, short: bool) -> tuple[tuple, int]:
+        unit, count, total, closed = state or (0, 0, 0, False)
+        new = count and (closed or not short or count >= max_items or total + size > max_letters)
+        unit, count, total = (unit + 1, 0, 0) if new else (unit, count, total)
+        return (unit, count + 1, total + size, not short), unit
+
+    sized = df.withColumns({"_size": F.length(text), "_short": (F.length(text) <= letters) & (F.col(duration) <= seconds)})
+    return fold_rows(sized, keys, order, ["_size", "_short"], step, "unit", LongType()).drop("_size", "_short")
+
+
 def unit_table(df: DataFrame, keys: list[str], cost: str, name: str = "unit") -> DataFrame:
     return df.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n_items"), F.sum(cost).alias("total"))

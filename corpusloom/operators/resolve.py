@@ -90,3 +90,61 @@ def decision_contract(findings: DataFrame, decisions: DataFrame, key: str) -> Da
 def verdict(issues: DataFrame) -> DataFrame:
     """One row: errors, warnings, passed."""
     return issues.agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings")).withColumn("passed", F.col("errors") == 0)
+
+
+def adjudicate(texts: DataFrame, edits: DataFrame, key: str, stamp: str) -> DataFrame:
+    """(key, status, text, provenance) of guarded edits that may be applied again.
+
+    texts: key, text, provenance (struct, see below; null before the first edit).  edits: key, action ('change' or 'retain'), before, after,
+    expected, category, rationale; one a key.  ``stamp``: digest of the table of edits.
+    A change applies where ``before`` stands once ('changed'); where it stands nowhere and ``after`` does, the text
+    must be what this very table of edits left ('already_applied'), else 'after_without_provenance'; any other count is 'before_guard'.
+    'retained' where ``expected`` stands, else 'retain_guard'; 'missing_text' without a text, 'unknown_action' for any other action.
+    provenance: action, category, source (the text before the first change), text, rationale, stamp; kept as it was where the edit fails.
+    """
+    joined = edits.join(texts.select(key, "text", "provenance"), key, "left")
+    t, was = F.col("text"), F.col("provenance")
+    n = occurrences(t, F.col("before"))
+    traced = (was["stamp"] == stamp) & (was["text"] == t)
+    change = (
+        F.when(n == 1, "changed")
+        .when((n == 0) & F.contains(t, F.col("after")), F.when(F.coalesce(traced, F.lit(False)), "already_applied").otherwise("after_without_provenance"))
+        .otherwise("before_guard")
+    )
+    retain = F.when(F.contains(t, F.col("expected")), "retained").otherwise("retain_guard")
+    status = F.when(t.isNull(), "missing_text").when(F.col("action") == "change", change).when(F.col("action") == "retain", retain).otherwise("unknown_action")
+    judged = joined.withColumn("status", status)
+    new = F.when(F.col("status") == "changed", F.replace(t, F.col("before"), F.col("after"))).otherwise(t)
+    good = F.col("status").isin("changed", "already_applied", "retained")
+    source = F.when(F.col("status") == "changed", t).otherwise(F.coalesce(was["source"], t))
+    trace = F.struct("action", "category", source.alias("source"), new.alias("text"), "rationale", F.lit(stamp).alias("stamp"))
+    return judged.select(key, "status", new.alias("text"), F.when(good, trace).otherwise(was.cast(PROVENANCE)).alias("provenance"))
+
+
+PROVENANCE = "struct<action:string,category:string,source:string,text:string,rationale:string,stamp:string>"
+
+
+def unresolved(revised: DataFrame, verdicts: DataFrame, findings: DataFrame, decisions: DataFrame, key: str, severe: list[str]) -> DataFrame:
+    """(key, kind, finding_id, reason): what an accept-gated layer leaves open.
+
+    'rejected_revision': a revision whose verification does not accept, with its reason (revised: key; verdicts: key, accept, reason).
+    'open_finding': a severe finding (findings: finding_id, key, severity) whose decision (decisions: finding_id, decision) is
+    'escalated' or missing, or whose text has no accepting verification, with the first of these as reason.
+    """
+    judged = revised.select(key).distinct().join(verdicts, key).filter(~F.coalesce("accept", F.lit(False)))
+    rejected = judged.select(key, F.lit("rejected_revision").alias("kind"), F.lit(None).cast("string").alias("finding_id"), "reason")
+    grave = findings.filter(F.col("severity").isin(severe)).join(decisions, "finding_id", "left").join(verdicts.select(key, "accept"), key, "left")
+    why = F.when(F.col("decision").isNull(), "undecided").when(F.col("decision") == "escalated", "escalated").when(F.col("accept").isNull(), "unverified").when(~F.col("accept"), "not_accepted")
+    left = grave.withColumn("reason", why).filter("reason is not null").select(key, F.lit("open_finding").alias("kind"), F.col("finding_id").cast("string").alias("finding_id"), "reason")
+    return rejected.unionByName(left)
+
+
+def accept_status(severe: Column, accept: Column) -> Column:
+    """'accepted_with_severe', 'rejected_without_severe' or 'ok'."""
+    return F.when(accept & severe, "accepted_with_severe").when(~accept & ~severe, "rejected_without_severe").otherwise("ok")
+
+
+def disposition(severity: Column, severe: list[str], decision: Column, accept: Column) -> Column:
+    """'advisory' for what is not severe, else 'repaired_and_verified', 'rejected_base_verified' or 'unresolved_fallback'."""
+    ok = F.coalesce(accept, F.lit(False))
+    return F.when(~severity.isin(severe), "advisory").when((decision == "applied") & ok, "repaired_and_verified").when((decision == "rejected") & ok, "rejected_base_verified").otherwise("unresolved_fallback")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.ordinals import rows_at
 from corpusloom.operators import contracts as C
 from corpusloom.operators import rules as R
 
@@ -95,14 +96,18 @@ def scorecard(results: DataFrame, recall: float, false_positives: float) -> Data
 
 def cohort_metrics(df: DataFrame, keys: list[str], metric: str, paired: str, minimum: int) -> DataFrame:
     """Per cohort: known, unknown, the two middle values and their mean, ratio of the sums over rows that have both values, and whether the evidence is enough."""
-    w = Window.partitionBy(*keys)
-    ranked = df.withColumn("_k", F.row_number().over(w.orderBy(F.col(metric).asc_nulls_last()))).withColumn("_n", F.count(metric).over(w))
-    at = lambda place: F.max(F.when(F.col("_k") == place, F.col(metric)))
     both = F.col(metric).isNotNull() & F.col(paired).isNotNull()
-    known, lower, upper = F.count(metric), at(F.floor((F.col("_n") + 1) / 2)), at(F.floor(F.col("_n") / 2) + 1)
+    known = F.count(metric)
     ratio = F.try_divide(F.sum(F.when(both, F.col(metric))), F.sum(F.when(both, F.col(paired))))
-    lower, upper = F.when(known > 0, lower), F.when(known > 0, upper)
-    return ranked.groupBy(*keys).agg(known.alias("known"), (F.count(F.lit(1)) - known).alias("unknown"), lower.alias("lower"), upper.alias("upper"), F.round((lower + upper) / 2, 6).alias("median"), F.round(ratio, 6).alias("paired_rate"), (known >= minimum).alias("enough"))
+    sums = df.groupBy(*keys).agg(known.alias("known"), (F.count(F.lit(1)) - known).alias("unknown"), F.round(ratio, 6).alias("paired_rate"), (known >= minimum).alias("enough"))
+    middles = sums.select(*keys, F.explode(F.array(F.floor((F.col("known") + 1) / 2), F.floor(F.col("known") / 2) + 1)).alias("_at"))
+    found = rows_at(df.filter(F.col(metric).isNotNull()).select(*keys, metric), keys, [metric], middles, "_at")  # in range partitions, not one sort a cohort
+    ends = found.groupBy(*keys).agg(F.min(metric).alias("lower"), F.max(metric).alias("upper"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & sums[k].eqNullSafe(ends[k])
+    joined = sums.join(ends, same, "left").select(*[sums[k] for k in keys], "known", "unknown", "lower", "upper", "paired_rate", "enough")
+    return joined.withColumn("median", F.round((F.col("lower") + F.col("upper")) / 2, 6))
 
 
 def response_entries(responses: DataFrame, key: str) -> DataFrame:

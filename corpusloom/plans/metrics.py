@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evals as E
@@ -235,9 +234,4 @@ def review_queue(read):
 
 @query("win21_even_sample", "WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events), s AS (SELECT DISTINCT event_type, round_even(k * (n - 1) / 9.0, 0)::BIGINT AS i FROM r, range(0, 10) t(k)) SELECT event_type, event_id FROM r JOIN s USING (event_type, i)")
 def even_sample(read):
-    ev = read("events").select("event_type", "event_id")
-    w = Window.partitionBy("event_type")
-    ranked = ev.withColumns({"i": (F.row_number().over(w.orderBy("event_id")) - 1).cast("long"), "n": F.count(F.lit(1)).over(w)})
-    sizes = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("m"))
-    wanted = sizes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).select("event_type", F.bround(F.col("k") * (F.col("m") - 1) / 9.0).cast("long").alias("i")).distinct()
-    return ranked.join(wanted, ["event_type", "i"]).select("event_type", "event_id")
+    return E.even_sample(read("events").select("event_type", "event_id"), ["event_type"], ["event_id"], 10)
