@@ -11,8 +11,8 @@ order.  Two sets that are similar enough share an n-gram among the first
 2. ``class_links``: all links between classes.  Lists are joined with
    themselves in pieces of at most ``piece`` rows a side, under the length
    filter (sizes too unlike), the positional filter (what follows the shared
-   n-gram on either side is too little) and, once per pair, the suffix filter
-   (counts of both sets in PARTS fixed parts of the n-gram space bound what they share).
+   n-gram on either side is too little) and the suffix filter (how much of what
+   follows on both sides is in each of PARTS fixed parts of the n-gram space bounds what they share).
    What is left is verified once per pair on the full sets.
 3. ``ngram_components`` needs no table of all pairs.  Each class first tries
    the class before it and the first one in its lists; those it shares most
@@ -48,6 +48,7 @@ CHUNK = 1 << 12
 PARTS = 64
 FULL = (1 << 16) - 1
 PIECE = 2048
+PAIRS = 200_000  # looked at together
 HEADS = 256  # partners of one class that are verified in one place
 FAR = (1 << 63) - 1
 
@@ -187,10 +188,11 @@ def first_tries(lists: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def pairs_between(lists: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE) -> DataFrame:
-    """(a, b): classes of different components (``label``: node, component; without it each class is its own) that length and place allow to link.
+def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE) -> DataFrame:
+    """(a, b): classes of different components (``label``: node, component; without it each class is its own) that all three filters allow to link.
 
-    In each list the members outside its largest component ask all others; both sides are cut into pieces, so a long list is many tasks' work.
+    In each list the members outside its largest component ask all others.  Both sides are cut into pieces of about ``piece`` rows,
+    so a long list is many tasks' work; a task holds one piece of each side, and what it tells are the pairs that are left.
     """
     known = lists.select("gram", "cid", "n", "place")
     if label is None:
@@ -201,29 +203,76 @@ def pairs_between(lists: DataFrame, label: DataFrame | None, percent: int, piece
     split = counts.groupBy("gram").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("members"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     rooms = lambda x: F.ceil(x / F.lit(piece)).cast("int")
     split = split.select("gram", F.col("m.component").alias("largest"), rooms(F.col("members") - F.col("m.c")).alias("asking"), rooms(F.col("members")).alias("rooms"))
-    placed = known.join(split, "gram").withColumn("asks", F.col("component") != F.col("largest"))
+    placed = known.join(split, "gram").withColumn("asks", F.col("component") != F.col("largest")).drop("largest")
+    rest = suffixes(placed.join(classes.select("cid", "prefix", "parts"), "cid"))
     dealt = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = placed.filter("asks").withColumn("i", dealt("asking", 1)).withColumn("j", every("rooms")).select("gram", "i", "j", *[F.col(c).alias(f"l_{c}") for c in ("cid", "n", "place", "component")])
-    right = placed.withColumn("j", dealt("rooms", 2)).withColumn("i", every("asking")).select("gram", "i", "j", *[F.col(c).alias(f"r_{c}") for c in ("cid", "n", "place", "component", "asks")])
-    once = F.expr("l_component <> r_component and (not r_asks or l_cid < r_cid)")
-    met = left.join(right, ["gram", "i", "j"]).filter(once & may_link("l_n", "l_place", "r_n", "r_place", percent))
-    return met.select(F.least("l_cid", "r_cid").alias("a"), F.greatest("l_cid", "r_cid").alias("b")).distinct()
+    columns = ["gram", "i", "j", "answers", "cid", "n", "place", "component", "asks", "rest"]
+    left = rest.filter("asks").withColumn("i", dealt("asking", 1)).withColumn("j", every("rooms")).withColumn("answers", F.lit(False))
+    right = rest.withColumn("j", dealt("rooms", 2)).withColumn("i", every("asking")).withColumn("answers", F.lit(True))
+    met = left.select(*columns).unionByName(right.select(*columns))
+    ordered = met.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "answers")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            table_ = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            room = [table_[c].to_numpy() for c in ("gram", "i", "j")]
+            new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in room], axis=0)) + 1
+            if len(new):  # all groups but the last are whole
+                yield from allowed_pairs(table_.slice(0, int(new[-1])), percent)
+                table_ = table_.slice(int(new[-1]))
+            held = table_
+        if held is not None:
+            yield from allowed_pairs(held, percent)
+
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
-def suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose counts by part leave room for the overlap they need."""
+
+def suffixes(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``rest`` instead of prefix and parts: the counts by part of what stands from ``place`` on in the order of a class."""
+    kept = [c for c in rows.columns if c not in ("prefix", "parts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), np.uint16).reshape(-1, PARTS).astype(np.int64) for c in ("xp", "yp"))
-                sizes = b.column("xn").to_numpy() + b.column("yn").to_numpy()
-                shared = np.where((x == FULL) & (y == FULL), sizes[:, None], np.minimum(x, y)).sum(axis=1)
-                yield b.select(["a", "b"]).filter(pa.array((100 + percent) * shared >= percent * sizes))
-
-    side = lambda key, s: classes.select(F.col("cid").alias(key), F.col("n").alias(f"{s}n"), F.col("parts").alias(f"{s}p"))
-    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "xn", "yn", "xp", "yp").mapInArrow(run, "a long, b long")
+            rest = []
+            for prefix, parts, place in zip(b.column("prefix"), b.column("parts"), b.column("place").to_pylist()):
+                whole = np.frombuffer(parts.as_buffer(), np.uint16)
+                gone = np.bincount((np.frombuffer(prefix.as_buffer(), np.uint64)[:place] & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
+                rest.append(np.where(whole == FULL, FULL, whole - gone).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rest, pa.binary())], names=[*kept, "rest"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
+    return rows.mapInArrow(run, f"{fields}, rest binary")
+
+
+def allowed_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b) of whole groups, askers before those that answer: each asker with each other one that the filters allow."""
+    gram, i, j, cid, n, place, component = (rows[c].to_numpy() for c in ("gram", "i", "j", "cid", "n", "place", "component"))
+    answers, asks = (rows[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("answers", "asks"))
+    rest = np.frombuffer(b"".join(rows["rest"].to_pylist()), np.uint16).reshape(-1, PARTS)
+    begun = np.concatenate([[True], (gram[1:] != gram[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    group = np.cumsum(begun) - 1
+    ends = np.append(np.flatnonzero(begun)[1:], len(gram))[group]
+    first = np.minimum.reduceat(np.where(answers, np.arange(len(gram)), len(gram)), np.flatnonzero(begun))[group]
+    asker = np.flatnonzero(~answers & (first < ends))
+    many = (ends - first)[asker]
+    stops = np.searchsorted(np.cumsum(many), np.arange(PAIRS, many.sum() + PAIRS, PAIRS), "right") if len(asker) else []
+    for lo, hi in zip([0, *stops[:-1]], stops):
+        hi = max(hi, lo + 1) if hi < len(asker) else len(asker)
+        if lo >= hi:
+            continue
+        x = np.repeat(asker[lo:hi], many[lo:hi])
+        y = np.arange(len(x)) - np.repeat(np.cumsum(many[lo:hi]) - many[lo:hi], many[lo:hi]) + np.repeat(first[asker[lo:hi]], many[lo:hi])
+        sizes = n[x] + n[y]
+        needed = (percent * sizes + 99 + percent) // (100 + percent)
+        ok = (component[x] != component[y]) & (~asks[y] | (cid[x] < cid[y])) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        ok &= np.minimum(n[x] - place[x], n[y] - place[y]) >= needed
+        x, y, needed, sizes = x[ok], y[ok], needed[ok], sizes[ok]
+        both = np.minimum(rest[x], rest[y])
+        shared = both.sum(axis=1, dtype=np.int64) + np.where((both == FULL).any(axis=1), sizes, 0)
+        x, y = x[shared >= needed], y[shared >= needed]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[x], cid[y])), pa.array(np.maximum(cid[x], cid[y]))], names=["a", "b"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -273,8 +322,8 @@ class Prepared:
         self.texts = materialize(named.join(wanted, ["id", "_fp"]).groupBy("cid").agg(F.first("text").alias("text")), "texts")
 
     def links(self, label: DataFrame | None, piece: int) -> DataFrame:
-        pairs = materialize(pairs_between(self.lists, label, self.percent, piece), "pairs")
-        return verified(materialize(suffix_filter(pairs, self.classes, self.percent), "pairs", pairs), self.texts, self.width, self.percent)
+        pairs = materialize(pairs_between(self.lists, self.classes, label, self.percent, piece), "pairs")
+        return verified(pairs, self.texts, self.width, self.percent)
 
 
 def class_links(docs: DataFrame, width: int, percent: int, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
