@@ -166,3 +166,108 @@ def resplit(rows: DataFrame, keys: list[str], order: list[Column], cost: str, ma
     at = packed.withColumns({"_i": F.row_number().over(w.orderBy(*order)), "_n": F.count(F.lit(1)).over(w), "_m": F.max("_u").over(w)})
     half = (F.col("_i") > F.ceil(F.col("_n") / 2)).cast("long")
     return at.withColumn("piece", F.when((F.col("_m") == 0) & (F.col("_n") > 1), half).otherwise(F.col("_u"))).drop("_u", "_i", "_n", "_m")
+
+
+def cover_issues(items: DataFrame, ranges: DataFrame, coll: str, seq: str) -> DataFrame:
+    """(coll, seq, problem) of units (coll, first, last) against the items: 'uncovered', 'covered_twice', or 'no_item' for a place in a unit that no item has.
+
+    Units are packed under limits, so a range is expanded to few places.
+    """
+    spread = ranges.filter("first <= last").select(coll, F.explode(F.sequence("first", "last")).alias(seq)).groupBy(coll, seq).agg(F.count(F.lit(1)).alias("_c"))
+    both = items.select(coll, seq, F.lit(True).alias("_i")).distinct().join(spread, [coll, seq], "full")
+    problem = F.when(F.col("_i").isNull(), "no_item").when(F.col("_c").isNull(), "uncovered").when(F.col("_c") > 1, "covered_twice")
+    return both.withColumn("problem", problem).filter("problem is not null").select(coll, seq, "problem")
+
+
+def roll_issues(clips: DataFrame, words: DataFrame, key: str, most: float = 0.5, least: float = 0.2, margin: float = 0.1, tail: str = "render_seconds") -> DataFrame:
+    """(key, problem) of clips (key, unit, start, end, pre_roll, post_roll, ``tail``) against the words (unit, start, end) of their unit.
+
+    'pre_roll' (not in 0..``most``, or before the unit begins), 'crosses_previous' (it reaches a word that ended before the clip, or the
+    ``margin`` after it), 'post_roll' (under ``least``), 'crosses_next', 'no_closing' (no time left for the last frame).  Of the words of a
+    unit only the last end before a clip and the first start after it are kept.
+    """
+    near = clips.select(key, "unit", F.col("start").alias("_s"), F.col("end").alias("_e")).join(words.select("unit", F.col("start").alias("_ws"), F.col("end").alias("_we")), "unit", "left")
+    slack = 0.001
+    per = near.groupBy(key).agg(F.max(F.when(F.col("_we") < F.col("_s") - slack, F.col("_we"))).alias("_before"), F.min(F.when(F.col("_ws") > F.col("_e") + slack, F.col("_ws"))).alias("_after"))
+    c = clips.join(per, key)
+    pre, post, start, end = (F.col(x) for x in ("pre_roll", "post_roll", "start", "end"))
+    checks = [
+        ("pre_roll", (pre >= 0) & (pre <= most) & (start >= pre)),
+        ("crosses_previous", (pre == 0) | F.col("_before").isNull() | (start - pre > F.col("_before") + margin)),
+        ("post_roll", post >= least),
+        ("crosses_next", F.col("_after").isNull() | (end + post < F.col("_after") - margin)),
+        ("no_closing", end - start + pre + post < F.col(tail)),
+    ]
+    return C.failures(c, [key], checks)
+
+
+def aligned_words_gate(words: DataFrame, expected: DataFrame, unit: str, whole: float = 0.95, slack: float = 0.002, gap_words: int = 2, gap_seconds: float = 1.0) -> DataFrame:
+    """(unit, problem) of timed words (unit, place, text, start_char, end_char, start, end, source, duration) against the expected ones (unit, place, text, start_char, end_char).
+
+    'inventory' (other places), 'offsets' (text or characters differ), 'order' (a word begins before the one before ends), 'bounds',
+    'evidence' (a source other than exact, mapped or interpolated), 'interpolation' (times other than the slots between measured words allow)
+    and 'coverage' (fewer than ``whole`` measured).
+    """
+    from corpusloom.operators import timeline
+
+    told = expected.select(unit, "place", F.struct("text", "start_char", "end_char").alias("_x"))
+    got = words.withColumn("_w", F.struct("text", "start_char", "end_char"))
+    got = got.withColumn("_prev", F.lag("end").over(Window.partitionBy(unit).orderBy("place")))
+    measured = F.col("source").isin("exact", "mapped")
+    anchors = got.withColumn("_a", F.when(measured, F.col("start"))).withColumn("_b", F.when(measured, F.col("end")))
+    slots = timeline.word_slots(anchors.withColumnRenamed("source", "_source"), [unit], "place", "_a", "_b", gap_words, gap_seconds)
+    slots = slots.withColumn("_off", ~F.coalesce((F.abs(F.col("start") - F.col("slot_start")) <= slack) & (F.abs(F.col("end") - F.col("slot_end")) <= slack), F.lit(False)))
+    both = slots.join(told, [unit, "place"], "full")
+    s, e = F.col("start"), F.col("end")
+    any_ = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    here = F.col("_w").isNotNull()
+    per = both.groupBy(unit).agg(
+        any_(~here | F.col("_x").isNull()).alias("inventory"), any_(here & F.col("_x").isNotNull() & (F.col("_w") != F.col("_x"))).alias("offsets"),
+        any_(s < F.coalesce("_prev", F.lit(0.0)) - slack).alias("order"), any_((e <= s) | (e > F.col("duration") + slack)).alias("bounds"),
+        any_(~F.col("_source").isin("exact", "mapped", "interpolated")).alias("evidence"), any_(here & F.col("_off")).alias("interpolation"),
+        F.coalesce(F.try_divide(F.count_if(F.col("_source").isin("exact", "mapped")), F.count_if(here)) >= whole, F.lit(False)).alias("covered"),
+    )
+    return C.failures(per, [unit], [(n, ~F.col(n)) for n in ("inventory", "offsets", "order", "bounds", "evidence", "interpolation")] + [("coverage", F.col("covered"))])
+
+
+#: Pairs of quotation marks.
+QUOTE_PAIRS = r'(?s)^\s*(?:"(.*)"|\x{27}(.*)\x{27}|\x{201C}(.*)\x{201D}|\x{2018}(.*)\x{2019}|\x{AB}(.*)\x{BB})\s*$'
+
+
+def folded_ground(text: Column, alike: dict[str, str]) -> Column:
+    """Decomposed, letters of ``alike`` as what they stand for (one character each, or nothing), without marks, white space even."""
+    from corpusloom.functions.texts import even_spaces, normal_form
+
+    kept = {a: b for a, b in alike.items() if b}
+    swapped = F.translate(normal_form(text, "NFD"), "".join(kept) + "".join(a for a, b in alike.items() if not b), "".join(kept.values()))
+    return even_spaces(F.regexp_replace(swapped, r"\p{Mn}", ""))
+
+
+def grounded_in_order(text: Column, ground: Column, alike: dict[str, str]) -> Column:
+    """Whether the parts of a ground, parted by three dots or an ellipsis and freed of one pair of quotes around all, stand in a text in their order, both folded; without a part it does not."""
+    bare = F.regexp_replace(ground, QUOTE_PAIRS, "$1$2$3$4$5")
+    whole, parts = folded_ground(text, alike), F.split(F.replace(folded_ground(bare, alike), F.lit("\u2026"), F.lit("...")), r"\.\.\.")
+    some = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
+
+    start = F.struct(F.lit(True).alias("ok"), whole.alias("rest"))
+
+    def step(s: Column, part: Column) -> Column:
+        found = F.position(part, s["rest"])
+        return F.struct((s["ok"] & (found > 0)).alias("ok"), F.substring(s["rest"], found + F.length(part), F.length(s["rest"])).alias("rest"))
+
+    return F.coalesce((F.size(some) > 0) & F.aggregate(some, start, step, lambda s: s["ok"]), F.lit(False))
+
+
+def severe_verdict(findings: DataFrame, key: str, severe: list[str]) -> DataFrame:
+    """(key, problem) of verdicts tied to severe findings only (findings: key, severity, verdict; a null severity is an entry without finding): 'pass_with_severe', 'revise_without_severe', 'unknown_verdict'."""
+    per = findings.groupBy(key).agg(F.coalesce(F.bool_or(F.col("severity").isin(severe)), F.lit(False)).alias("_s"), F.max("verdict").alias("_v"))
+    problem = F.when(~F.coalesce(F.col("_v").isin("pass", "revise"), F.lit(False)), "unknown_verdict").when((F.col("_v") == "pass") & F.col("_s"), "pass_with_severe").when((F.col("_v") == "revise") & ~F.col("_s"), "revise_without_severe")
+    return per.withColumn("problem", problem).filter("problem is not null").select(key, "problem")
+
+
+def decision_order(targets: DataFrame, decisions: DataFrame, scope: str, key: str) -> DataFrame:
+    """(scope, key, problem): decisions (scope, key, place) that are not in the order of their targets (scope, key, place) inside the scope: 'order'."""
+    w = lambda c: F.row_number().over(Window.partitionBy(scope).orderBy(c))  # noqa: E731  the targets of one batch
+    both = decisions.select(scope, key, F.col("place").alias("_d")).join(targets.select(scope, key, F.col("place").alias("_t")), [scope, key])
+    ranked = both.withColumns({"_a": w("_d"), "_b": w("_t")})
+    return ranked.filter("_a <> _b").select(scope, key, F.lit("order").alias("problem"))

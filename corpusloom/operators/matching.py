@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,3 +125,102 @@ def token_match(df: DataFrame, key: str, expected: str, observed: str, run: int
     close = paired.filter((longest > 0) & (F.levenshtein("x", "y") <= (1 - near) * longest)).select(key, "i", "j", (F.col("x") == F.col("y")).alias("exact"))
     out = exact.withColumn("exact", F.lit(True)).unionByName(close)
     return out.select(key, F.col("i").cast("long").alias("expected_index"), F.col("j").cast("long").alias("observed_index"), "exact")
+
+
+def longest_block(a: list, b: list, alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """(i, j, size) of the longest run that a[alo:ahi] and b[blo:bhi] share, the first in ``a`` of equal ones, then the first in ``b``; in linear time.
+
+    A suffix automaton of the part of ``b`` is walked along the part of ``a``.
+    """
+    step: list[dict] = [{}]
+    link, size, first = [-1], [0], [0]  # suffix link, longest run of a state, and where that run first ends
+    last = 0
+    for at in range(blo, bhi):
+        item, new = b[at], len(step)
+        step.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        first.append(at)
+        p, last = last, new
+        while p >= 0 and item not in step[p]:
+            step[p][item] = new
+            p = link[p]
+        if p < 0:
+            continue
+        q = step[p][item]
+        if size[q] == size[p] + 1:
+            link[new] = q
+            continue
+        copy = len(step)
+        step.append(dict(step[q]))
+        link.append(link[q])
+        size.append(size[p] + 1)
+        first.append(first[q])
+        while p >= 0 and step[p].get(item) == q:
+            step[p][item] = copy
+            p = link[p]
+        link[q] = link[new] = copy
+    state = run = 0
+    best = (alo, blo, 0)
+    for at in range(alo, ahi):
+        while state and a[at] not in step[state]:
+            state = link[state]
+            run = size[state]
+        if a[at] in step[state]:
+            state, run = step[state][a[at]], run + 1
+            if run > best[2]:
+                best = (at - run + 1, first[state] - run + 1, run)
+    return best
+
+
+def matching_blocks(a: list, b: list) -> list[tuple[int, int, int]]:
+    """The longest shared run, and those of what lies left and right of it, in order; neighbours joined."""
+    open_, found = [(0, len(a), 0, len(b))], []
+    while open_:
+        alo, ahi, blo, bhi = open_.pop()
+        if alo < ahi and blo < bhi:
+            i, j, n = longest_block(a, b, alo, ahi, blo, bhi)
+            if n:
+                found.append((i, j, n))
+                open_ += [(alo, i, blo, j), (i + n, ahi, j + n, bhi)]
+    out: list[tuple[int, int, int]] = []
+    for i, j, n in sorted(found):
+        if out and out[-1][0] + out[-1][2] == i and out[-1][1] + out[-1][2] == j:
+            i, j, n = out[-1][0], out[-1][1], out.pop()[2] + n
+        out.append((i, j, n))
+    return out
+
+
+def alike(x: str, y: str, near: float) -> bool:
+    """Whether the shared runs of two words have ``near`` of the characters of both."""
+    both = len(x) + len(y)
+    if not both or 2 * min(len(x), len(y)) < near * both:
+        return not both
+    return 2 * sum(n for *_, n in matching_blocks(list(x), list(y))) >= near * both
+
+
+def block_match(df: DataFrame, key: str, expected: str, observed: str, near: float = 0.60) -> DataFrame:
+    """(key, expected_index, observed_index, exact) of two word lists, by longest shared runs first, single equal words included.
+
+    Between two runs, stretches of equal length on both sides are paired word by
+    word where the words are alike.  A row's lists are matched in its task, so lists are those of packed units, not of whole
+    collections; nothing is shuffled.  Null lists match nothing; null words match nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for k, x, y in zip(*(b.column(c).to_pylist() for c in (key, expected, observed))):
+                a = [w if w is not None else (0, i) for i, w in enumerate(x or [])]  # a null equals nothing
+                o = [w if w is not None else (1, i) for i, w in enumerate(y or [])]
+                i0 = j0 = 0
+                for i, j, n in [*matching_blocks(a, o), (len(a), len(o), 0)]:
+                    if i - i0 == j - j0:
+                        rows += [(k, i0 + d, j0 + d, False) for d in range(i - i0) if isinstance(a[i0 + d], str) and isinstance(o[j0 + d], str) and alike(a[i0 + d], o[j0 + d], near)]
+                    rows += [(k, i + d, j + d, True) for d in range(n)]
+                    i0, j0 = i + n, j + n
+            cols = list(zip(*rows)) if rows else [()] * 4
+            kinds = (b.schema.field(key).type, pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[key, "expected_index", "observed_index", "exact"])
+
+    return df.select(key, expected, observed).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, expected_index long, observed_index long, exact boolean")

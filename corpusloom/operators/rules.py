@@ -101,3 +101,57 @@ def per_mille(a: Column, b: Column) -> Column:
 def occurrences(text: Column, piece: Column) -> Column:
     """How often ``piece`` occurs in ``text`` without overlap."""
     return F.when(F.length(piece) > 0, ((F.length(text) - F.length(F.replace(text, piece, F.lit("")))) / F.length(piece)).cast("long"))
+
+
+#: Rows of a rule table: kind 'term' (a whole word or words, any case), 'literal' (as it stands), 'pattern' (a regular
+#: expression), each banned or, with ``required``, missed; a null ``key`` is for every text, another for the text of that key.
+RULE_TABLE = "code string, kind string, what string, severity string, key string, required boolean"
+TERM_WORD = r"[\p{L}\p{M}\p{N}_]+"
+MOST_PATTERNS = 1000
+
+
+def table_issues(texts: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, code, severity, what): rules of a table (RULE_TABLE) that the texts break.
+
+    Terms and literals for every text are found through their first word: texts are cut into distinct words once, those that start some
+    rule's words are joined with the rules, and the rule is then confirmed on the text, so the number of terms does not matter and no pattern is made of them.
+    A literal that does not begin at a word is looked for like a pattern.  Patterns for every text are applied in one projection and so
+    are few (MOST_PATTERNS at most, else an error).  Rules of one text are joined with it.
+    Null texts break required rules only.
+    """
+    rows = texts.select(F.col(key).cast("string").alias("_key"), F.col(key), F.col(text).alias("_t"))
+    parts = rules.withColumn("_id", F.xxhash64(*rules.columns)).withColumn("_w", F.regexp_extract_all(F.lower("what"), F.lit(TERM_WORD), F.lit(0)))
+    starts = F.col("what").rlike(r"^[\p{L}\p{M}\p{N}_]")
+    wide = F.col("key").isNull()
+    worded = wide & (F.size("_w") > 0) & ((F.col("kind") == "term") | ((F.col("kind") == "literal") & starts))
+    own = parts.filter(~wide).select("code", "kind", "what", "severity", F.col("key").alias("_key"), "required")
+    out = rows.join(own, "_key").filter(_broken()).select(key, "code", "severity", "what")
+
+    indexed = parts.filter(worded & ~F.coalesce("required", F.lit(False))).select("code", "kind", "what", "severity", "required", F.col("_w")[0].alias("_first"))
+    words = rows.select("_key", key, "_t", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(TERM_WORD), F.lit(0)))).alias("_first"))
+    hit = words.select("_key", key, "_first").join(indexed, "_first").join(rows.select("_key", "_t"), "_key").filter(_broken())
+    out = out.unionByName(hit.select(key, "code", "severity", "what").distinct())
+
+    few = parts.filter(wide & ~(worded & ~F.coalesce("required", F.lit(False)))).select("code", "kind", "what", "severity", F.coalesce("required", F.lit(False)).alias("required")).limit(MOST_PATTERNS + 1).collect()
+    if len(few) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns for every text")
+    told = [F.when(_breaks(F.col("_t"), r["kind"], r["what"], r["required"]), F.struct(F.lit(r["code"]).alias("code"), F.lit(r["severity"]).alias("severity"), F.lit(r["what"]).alias("what"))) for r in few]
+    if told:
+        found = rows.select(key, F.explode(F.array_compact(F.array(*told))).alias("i")).select(key, "i.code", "i.severity", "i.what")
+        out = out.unionByName(found)
+    return out
+
+
+def _breaks(text: Column, kind: str, what: str, required: bool) -> Column:
+    pattern = {"term": rf"(?iu){WORD_EDGES[0]}{quoted(what)}{WORD_EDGES[1]}", "pattern": what}.get(kind)
+    there = F.coalesce(F.contains(text, F.lit(what)) if pattern is None else text.rlike(pattern), F.lit(False))
+    return ~there if required else there
+
+
+def _broken() -> Column:
+    """Whether the rule of a joined row (kind, what, required) is broken by its text ``_t``."""
+    sign = F.regexp_replace("what", r"([^\p{L}\p{M}\p{N}_\s])", r"\\$1")
+    term = F.rlike("_t", F.concat(F.lit(f"(?iu){WORD_EDGES[0]}"), sign, F.lit(WORD_EDGES[1])))
+    there = F.when(F.col("kind") == "term", term).when(F.col("kind") == "literal", F.contains("_t", F.col("what"))).otherwise(F.rlike("_t", F.col("what")))
+    there = F.coalesce(there, F.lit(False))
+    return F.when(F.coalesce("required", F.lit(False)), ~there).otherwise(there)

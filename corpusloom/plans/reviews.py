@@ -441,3 +441,11 @@ def token_match(read):
     words = F.split("text", " ")
     heard = F.filter(F.transform(words, lambda w, i: F.when(i % 7 == 6, None).when(i % 5 == 4, F.concat(w, F.lit("x"))).otherwise(w)), lambda w: w.isNotNull())
     return M.token_match(items(read).select("ref", words.alias("expected"), heard.alias("observed")), "ref", "expected", "observed")
+
+
+@query("evl7_longest_blocks")
+def longest_blocks(read):
+    """The same hearing, single equal words matched too; no SQL form, tested against a plain search."""
+    words = F.split("text", " ")
+    heard = F.filter(F.transform(words, lambda w, i: F.when(i % 7 == 6, None).when(i % 5 == 4, F.concat(w, F.lit("x"))).otherwise(w)), lambda w: w.isNotNull())
+    return M.block_match(items(read).select("ref", words.alias("expected"), heard.alias("observed")), "ref", "expected", "observed")

@@ -52,7 +52,7 @@ def read_artifacts(spark: SparkSession, path: str, schema: str, failed: str = "F
 def artifact_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(name, bytes, digest) of every file under ``path``: its name below it, its size and the SHA-256 of what is in it.
 
-    Each file is one row of the binary source, so an artifact must fit into one (2 GB); order by name where an order is wanted.
+    Each file is one row of the binary source, so an artifact must fit into one (2 GB); the source leaves out files without content; order by name where an order is wanted.
     """
     found = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{pattern}")
     inside = F.split("path", F.lit(path.rstrip("/").rsplit("/", 1)[-1] + "/"), 2)[1]
