@@ -9,7 +9,8 @@ normalised by the length in words, becomes a probability by a logistic curve.
 Lexicon, exceptions and curve are learnt on the driver from the whole texts of
 at most TRAIN_ROWS labelled rows, 48 MB together (the documented bound of the
 sample).  Near copies among them count once, so that the words of one
-much-copied text are not taken for toxic ones.
+much-copied text are not taken for toxic ones.  The least number of texts of a
+pattern is chosen over folds of these rows; held-out rows are never looked at.
 
 Defined edge cases: null and empty texts have no match and get the curve's
 value at 0; without labels of both kinds all scores are close to 0; an empty
@@ -25,6 +26,7 @@ import functools
 import itertools
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -41,12 +43,17 @@ from corpusloom.llm.learning import TRAIN_BYTES, split_of, training_texts
 
 TRAIN_ROWS = 6000
 STEM, LONGEST_STEM = 4, 9  # in characters
-MIN_DOCS = 4
+MIN_DOCS = (3, 4, 6)  # least number of toxic texts with a pattern: the settings to choose from
+FOLDS = 3
+NEAR = 0.8
 MIN_PURITY = 0.9
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
 #: Letters of other scripts that look like Latin ones.
-LOOKS = dict(zip("асеорхуіјѕһԁԛԝκοανρτυιɡ", "aceopxyijshdqwkoavptuig"))
+LOOKS = dict(zip("асеорхуіјѕһԁԛԝгмткњвнѵӏɑɡıոսօհցκοανρτυιηχε", "aceopxyijshdqwrmtkhbhvlagiuuohgkoavptuinxe"))
+#: Characters without width, and combining marks that no composed letter has taken in.
+UNSEEN = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u206a-\u206f\ufe00-\ufe0f\ufeff]")
+LOOSE = re.compile("[\u0300-\u036f]")
 HOMOGLYPHS, SEEN = str.maketrans(LOOKS), re.compile(f"[{''.join(LOOKS)}]")
 #: Digits and signs that stand for letters inside words.
 DIGITS = str.maketrans("013457@$!", "oieastasi")
@@ -66,10 +73,19 @@ def _spelled(run: re.Match) -> str:
 
 
 def fold(text: str | None) -> str:
-    """Words in folded form between single spaces, with a space at both ends."""
+    """Words in folded form between single spaces, with a space at both ends.
+
+    Fullwidth, mathematical and other compatibility forms become plain letters (NFKC), marks that stand on look-alikes or
+    on nothing a composed letter has, and characters without width, are left out.
+    """
     t = (text or "").lower()
-    if not t.isascii() and SEEN.search(t):
-        t = t.translate(HOMOGLYPHS)
+    if not t.isascii():
+        t = unicodedata.normalize("NFKC", UNSEEN.sub("", t)).lower()
+        if SEEN.search(t):
+            t = t.translate(HOMOGLYPHS)
+        t = unicodedata.normalize("NFC", t)
+        if LOOSE.search(t):
+            t = LOOSE.sub("", t)
     return " " + " ".join(WORD.findall(RUN.sub(_spelled, t))) + " "
 
 
@@ -118,75 +134,120 @@ class Lexicon:
         return min(1.0, total), math.log1p(100 * total / (folded.count(" ") + 20))
 
     def score(self, text: str | None) -> float:
-        a, b = self.features(fold(text))
+        return self.probability(fold(text))
+
+    def probability(self, folded: str) -> float:
+        a, b = self.features(folded)
         c0, c1, c2 = self.curve
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, c0 + c1 * a + c2 * b))))
 
 
-_SKETCH = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
+_SKETCH = np.random.RandomState(31).randint(0, 1 << 62, 8, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _sketch(words: list[str]) -> list[int]:
-    """Four minimum hashes of the three-word shingles."""
+def _shingles(words: list[str]) -> np.ndarray:
+    """Sorted hashes of the distinct three-word shingles."""
     grams = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64, len(grams))
-    return [int((h * f ^ (h * f >> np.uint64(32))).min()) for f in _SKETCH]
+    return np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64, len(grams)))
 
 
-def learn(texts: list[str], labels: list[int]) -> Lexicon:
-    """Lexicon from labelled texts."""
-    seen: list[set[int]] = [set() for _ in range(4)]
-    docs: list[tuple[list[str], int, str]] = []
-    for t, y in zip(texts, labels):
-        f = fold(t)
-        words = f.split()
+def without_near_copies(rows: list[tuple[str, int]]) -> list[tuple[list[str], int, str]]:
+    """(words, label, folded text) of the texts with words that are no near copy of an earlier one that stayed.
+
+    A near copy has NEAR of all three-word shingles of both in common; the sets
+    are compared wherever one of eight minimum hashes is equal.
+    """
+    met: list[dict[int, list[int]]] = [defaultdict(list) for _ in _SKETCH]
+    sets: list[np.ndarray] = []
+    docs = []
+    for text, y in rows:
+        folded = fold(text)
+        words = folded.split()
         if not words:
             continue
-        sk = _sketch(words)
-        if any(h in s for h, s in zip(sk, seen)):
-            continue  # a near copy of an earlier one
-        for h, s in zip(sk, seen):
-            s.add(h)
-        docs.append((words, y, f))
-    n = Counter(y for _, y, _ in docs)
-    if not n[0] or not n[1]:
-        return Lexicon({}, curve=(-30.0, 0.0, 0.0))
-    df: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for words, y, _ in docs:
-        keys = set()
-        for w in set(words):
-            keys.add(f" {w} ")
-            keys.update(f" {w[:k]}" for k in range(STEM, min(len(w), LONGEST_STEM) + 1))
-        for k in keys:
-            df[k][y] += 1
-
-    def purity(k: str) -> float:
-        clean, toxic = df[k][0] / n[0], df[k][1] / n[1]
-        return toxic / (toxic + clean + 1e-12)
-
-    good = {k for k, c in df.items() if c[1] >= MIN_DOCS and purity(k) >= MIN_PURITY and c[1] >= 0.8 * (c[0] + c[1])}
-    weights: dict[str, float] = {}
-    for k in sorted(good, key=lambda k: (len(k.rstrip()), k)):
-        stem = k.rstrip()
-        if not any(stem[:i] in good and not stem[:i].endswith(" ") and stem[:i] != k for i in range(STEM + 1, min(len(stem), LONGEST_STEM + 1) + 1)):
-            weights[k] = round(math.log((df[k][1] + 0.5) / n[1] / ((df[k][0] + 0.5) / n[0])), 4)
-    phrases: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    matcher = Lexicon(weights)
-    for _, y, f in docs:
-        for end, _w in matcher.automaton.iter(f) if weights else ():
-            for phrase in _around(f, end):
-                phrases[phrase][y] += 1
-    exceptions = {p for p, c in phrases.items() if c[0] >= 3 and not c[1]}
-    lex = Lexicon(weights, exceptions)
-    x = np.array([[1.0, *lex.features(f)] for _, _, f in docs])
-    y = np.array([y for _, y, _ in docs], float)
-    beta = np.zeros(3)
-    for _ in range(30):  # Newton steps with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3)
-        beta = beta + np.linalg.solve(hess, x.T @ (y - p) - 0.05 * beta)
-    lex.curve = tuple(float(b) for b in beta)
-    return lex
+        own = _shingles(words)
+        lows = [int((own * f ^ (own * f >> np.uint64(32))).min()) for f in _SKETCH]
+        near = {i for m, low in zip(met, lows) for i in m.get(low, ())}
+        shared = ((len(np.intersect1d(own, sets[i], assume_unique=True)), len(sets[i])) for i in near)
+        if any(both >= NEAR * (len(own) + n - both) for both, n in shared):
+            continue
+        for m, low in zip(met, lows):
+            m[low].append(len(sets))
+        sets.append(own)
+        docs.append((words, y, folded))
+    return docs
+
+
+class _Counted:
+    """In how many texts of each fold and label each whole word and stem occurs."""
+
+    def __init__(self, docs: list[tuple[list[str], int, str]]) -> None:
+        self.docs = docs
+        self.fold = [xxhash.xxh3_64_intdigest(f) % FOLDS for _, _, f in docs]
+        self.texts = np.zeros((FOLDS, 2), int)
+        self.df: dict[str, list[int]] = defaultdict(lambda: [0] * (2 * FOLDS))
+        for (words, y, _), k in zip(docs, self.fold):
+            self.texts[k, y] += 1
+            keys = set()
+            for w in set(words):
+                keys.add(f" {w} ")
+                keys.update(f" {w[:n]}" for n in range(STEM, min(len(w), LONGEST_STEM) + 1))
+            for key in keys:
+                self.df[key][2 * k + y] += 1
+
+    def fit(self, min_docs: int, without: int | None = None) -> Lexicon:
+        """The lexicon of all folds but one."""
+        used = [k for k in range(FOLDS) if k != without]
+        n = self.texts[used].sum(axis=0).tolist()
+        if not n[0] or not n[1]:
+            return Lexicon({}, curve=(-30.0, 0.0, 0.0))
+        count = lambda key: (sum(self.df[key][2 * k] for k in used), sum(self.df[key][2 * k + 1] for k in used))
+        good: dict[str, tuple[int, int]] = {}
+        for key, c in self.df.items():
+            if sum(c[1::2]) >= min_docs:
+                clean, toxic = count(key)
+                share = toxic / n[1] / (toxic / n[1] + clean / n[0] + 1e-12)
+                if toxic >= min_docs and share >= MIN_PURITY and toxic >= 0.8 * (clean + toxic):
+                    good[key] = clean, toxic
+        weights: dict[str, float] = {}
+        for k in sorted(good, key=lambda k: (len(k.rstrip()), k)):
+            stem = k.rstrip()
+            if not any(stem[:i] in good and not stem[:i].endswith(" ") and stem[:i] != k for i in range(STEM + 1, min(len(stem), LONGEST_STEM + 1) + 1)):
+                weights[k] = round(math.log((good[k][1] + 0.5) / n[1] / ((good[k][0] + 0.5) / n[0])), 4)
+        docs = [d for d, k in zip(self.docs, self.fold) if k != without]
+        phrases: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+        matcher = Lexicon(weights)
+        for _, y, f in docs:
+            for end, _w in matcher.automaton.iter(f) if weights else ():
+                for phrase in _around(f, end):
+                    phrases[phrase][y] += 1
+        lex = Lexicon(weights, {p for p, c in phrases.items() if c[0] >= 3 and not c[1]})
+        x = np.array([[1.0, *lex.features(f)] for _, _, f in docs])
+        y = np.array([y for _, y, _ in docs], float)
+        beta = np.zeros(3)
+        for _ in range(30):  # Newton steps with a small ridge
+            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+            hess = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3)
+            beta = beta + np.linalg.solve(hess, x.T @ (y - p) - 0.05 * beta)
+        lex.curve = tuple(float(b) for b in beta)
+        return lex
+
+    def loss(self, min_docs: int) -> float:
+        """Mean log loss of the texts of each fold under the lexicon of the others."""
+        total = 0.0
+        for k in range(FOLDS):
+            lex = self.fit(min_docs, without=k)
+            for (_, y, f), own in zip(self.docs, self.fold):
+                if own == k:
+                    total -= math.log(max(1e-9, lex.probability(f) if y else 1 - lex.probability(f)))
+        return total / max(1, len(self.docs))
+
+
+def learn(texts: list[str], labels: list[int], settings: tuple[int, ...] = MIN_DOCS) -> Lexicon:
+    """Lexicon from labelled texts; of the settings that with the least loss over folds of these very texts, the first of equals."""
+    counted = _Counted(without_near_copies(list(zip(texts, labels))))
+    chosen = min(settings, key=counted.loss) if len(settings) > 1 else settings[0]
+    return counted.fit(chosen)
 
 
 def _around(folded: str, end: int) -> list[str]:
