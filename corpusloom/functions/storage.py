@@ -36,3 +36,9 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table that ``written`` and the streams of this application left in the shared folder, once no result that reads them is needed any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/core-{spark.sparkContext.applicationId}")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -61,3 +61,15 @@ def map_drift(stored: DataFrame, current: DataFrame, key: str, column: str) -> D
     a = stored.select(key, F.explode(column).alias("name", "stored"))
     b = current.select(key, F.explode(column).alias("name", "current"))
     return a.join(b, [key, "name"], "full").filter(~F.col("stored").eqNullSafe(F.col("current"))).select(key, "name", "stored", "current")
+
+
+def collect_batch(units: DataFrame, results: DataFrame, unit: str, batch: str, per_second: int = 25) -> DataFrame:
+    """(batch, state, missing, errors, tokens) of results (unit, failed, tokens, seconds) of units (unit, batch).
+
+    A unit without a result is missing; absent usage is ceil(seconds * per_second) tokens; any missing or failed unit makes the batch 'collected_with_failures'.
+    """
+    both = units.select(unit, batch).join(results.select(unit, "failed", "tokens", "seconds", F.lit(True).alias("_r")), unit, "left")
+    gone, failed = F.col("_r").isNull(), F.coalesce("failed", F.lit(False))
+    tokens = F.when(~gone & ~failed, F.coalesce("tokens", F.ceil(F.col("seconds") * per_second)))
+    state = F.when(F.bool_or(gone | failed), "collected_with_failures").otherwise("collected")
+    return both.groupBy(batch).agg(state.alias("state"), F.count_if(gone).alias("missing"), F.count_if(failed).alias("errors"), F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens"))

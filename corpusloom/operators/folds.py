@@ -156,3 +156,34 @@ def short_spans(df: DataFrame, keys: list[str], order: list[Column], text: str,
 
 def unit_table(df: DataFrame, keys: list[str], cost: str, name: str = "unit") -> DataFrame:
     return df.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n_items"), F.sum(cost).alias("total"))
+
+
+def balanced_split(df: DataFrame, key: str, order: list[str], cost: str, parts: int) -> DataFrame:
+    """``df`` with ``unit``: a key's rows in ``parts`` runs of about equal cost.
+
+    A part closes where the running cost reaches its share of the total, once per row at most.  The greedy rule has a closed form over
+    running sums, valid where a key has at least ``parts`` rows left for the parts that remain.
+    """
+    totals = df.groupBy(key).agg(F.sum(cost).alias("_t"))
+    along = Window.partitionBy(key).orderBy(*order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    placed = df.join(totals, key).withColumn("_i", F.row_number().over(along))
+    due = placed.withColumn("_due", F.floor(F.sum(cost).over(so_far) * parts / F.col("_t")) - (F.col("_i") - 1)).withColumn("_low", F.min("_due").over(so_far))
+    closed = due.withColumn("_closed", F.col("_i") - 1 + F.least(F.lit(1), F.col("_low")))
+    before = F.coalesce(F.lag("_closed").over(along), F.lit(0))
+    return closed.withColumn("unit", F.least(F.lit(parts - 1), before).cast("long")).drop("_t", "_i", "_due", "_low", "_closed")
+
+
+def sliding_view(words: Column, at: Column, size: int) -> Column:
+    """The ``size`` words shown with the word at 0-based place ``at``: it second where there is room on both sides."""
+    start = F.greatest(F.lit(0), F.least(at - 1, F.size(words) - size)) + 1
+    return F.slice(words, start, F.lit(size))
+
+
+def dated_plan(candidates: DataFrame, key: str, order: str, first_day: str, days: int, variants: list[str]) -> DataFrame:
+    """(key, day, variant, order): the candidates of a key along ``order`` on consecutive days, variants in turn; days without a candidate have null."""
+    numbered = candidates.select(key, order, F.row_number().over(Window.partitionBy(key).orderBy(order)).alias("_k"))
+    slots = candidates.select(key).distinct().withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(days))))
+    day = F.date_add(F.lit(first_day).cast("date"), F.col("_k") - 1)
+    variant = F.element_at(F.array(*map(F.lit, variants)), ((F.col("_k") - 1) % len(variants) + 1).cast("int"))
+    return slots.join(numbered, [key, "_k"], "left").select(key, F.date_format(day, "yyyy-MM-dd").alias("day"), variant.alias("variant"), order)

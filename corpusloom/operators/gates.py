@@ -271,3 +271,32 @@ def decision_order(targets: DataFrame, decisions: DataFrame, scope: str, key: st
     both = decisions.select(scope, key, F.col("place").alias("_d")).join(targets.select(scope, key, F.col("place").alias("_t")), [scope, key])
     ranked = both.withColumns({"_a": w("_d"), "_b": w("_t")})
     return ranked.filter("_a <> _b").select(scope, key, F.lit("order").alias("problem"))
+
+
+def media_drift(df: DataFrame, keys: list[str], size: str, probed_size: str, seconds: str, probed_seconds: str) -> DataFrame:
+    """(keys, problem) of recorded against probed sizes (over 4096 bytes and 2 %) and durations (over 1.5 s and, up to 30 s, 0.05 %); an unknown value is a problem too."""
+    apart = lambda a, b: F.abs(F.col(a) - F.col(b))
+    checks = [
+        ("size", apart(size, probed_size) <= F.greatest(F.lit(4096.0), F.col(size) * 0.02)),
+        ("duration", apart(seconds, probed_seconds) <= F.greatest(F.lit(1.5), F.least(F.lit(30.0), F.col(seconds) * 0.0005))),
+    ]
+    return C.failures(df, keys, checks)
+
+
+def timing_issues(df: DataFrame, key: str, latest_hook: float = 2, closing: float = 1) -> DataFrame:
+    """(key, problem) of a clip's hook, quote, quote_end and ends: 'late_hook', 'quote_before_hook', 'empty_quote', 'no_closing'."""
+    hook, quote, end = F.col("hook"), F.col("quote"), F.col("quote_end")
+    return C.failures(df, [key], [("late_hook", hook <= latest_hook), ("quote_before_hook", quote >= hook), ("empty_quote", end > quote), ("no_closing", F.col("ends") - end >= closing)])
+
+
+def plausible_rate(amount: Column, per: Column, low: float, high: float) -> tuple[Column, Column]:
+    """(ratio, whether it lies between ``low`` and ``high``); without a ratio it does not."""
+    ratio = F.try_divide(amount, per)
+    return ratio, F.coalesce(ratio.between(low, high), F.lit(False))
+
+
+def buffer_inventory(df: DataFrame, keys: list[str], ready: Column, target: int) -> DataFrame:
+    """(keys, ready, blocked, shortfall): how many are ready, how many are not, and how many are lacking to the target."""
+    ok = F.coalesce(ready, F.lit(False))
+    per = df.groupBy(*keys).agg(F.count_if(ok).alias("ready"), F.count_if(~ok).alias("blocked"))
+    return per.withColumn("shortfall", F.greatest(F.lit(0).cast("long"), F.lit(target) - F.col("ready")))

@@ -50,10 +50,11 @@ def closure(targets: DataFrame, groups: DataFrame, key: str) -> DataFrame:
 
 
 def guarded_edit(df: DataFrame, text: str, before: str, after: str) -> DataFrame:
-    """Apply an edit only if ``before`` occurs exactly once: columns new_text and status."""
+    """Apply an edit only if ``before`` occurs exactly once: columns new_text and status ('applied', 'missing', 'ambiguous', 'no_text', or 'no_before' where there is nothing to look for)."""
     n = occurrences(F.col(text), F.col(before))
-    status = F.when(n == 1, "applied").when(n == 0, "missing").otherwise("ambiguous")
-    return df.withColumn("status", status).withColumn("new_text", F.when(n == 1, F.replace(F.col(text), F.col(before), F.col(after))).otherwise(F.col(text)))
+    status = F.when(F.col(text).isNull(), "no_text").when(n.isNull(), "no_before").when(n == 1, "applied").when(n == 0, "missing").otherwise("ambiguous")
+    new = F.when(F.coalesce(n == 1, F.lit(False)), F.replace(F.col(text), F.col(before), F.col(after))).otherwise(F.col(text))
+    return df.withColumn("status", status).withColumn("new_text", new)
 
 
 def accept_gated(base: DataFrame, revised: DataFrame, verdicts: DataFrame, key: str) -> DataFrame:
@@ -148,3 +149,32 @@ def disposition(severity: Column, severe: list[str], decision: Column, accept: C
     """'advisory' for what is not severe, else 'repaired_and_verified', 'rejected_base_verified' or 'unresolved_fallback'."""
     ok = F.coalesce(accept, F.lit(False))
     return F.when(~severity.isin(severe), "advisory").when((decision == "applied") & ok, "repaired_and_verified").when((decision == "rejected") & ok, "rejected_base_verified").otherwise("unresolved_fallback")
+
+
+def finding_id(parts: list[str], prefix: str = "qa-", digits: int = 16) -> Column:
+    """An id that depends on what a finding says: the first hexadecimal digits of a digest of its parts."""
+    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *parts).cast("binary"), 256), 1, digits))
+
+
+def decided(findings: DataFrame, decisions: DataFrame, verdicts: DataFrame, finding: str, key: str) -> DataFrame:
+    """Findings with their decision (by finding) and the verdict on their text (by key); null where there is none."""
+    return findings.join(decisions.select(finding, "decision"), finding, "left").join(verdicts.select(key, "accept"), key, "left")
+
+
+def final_merge(base: DataFrame, overlay: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """(key, value, guard): the overlay's value where there is one; the keys overlaid must be the targets: 'not_a_target', 'target_left_out' or 'ok'."""
+    over = overlay.select(key, F.col("value").alias("_new"), F.lit(True).alias("_o"))
+    wanted = targets.select(key, F.lit(True).alias("_t")).distinct()
+    both = base.join(over, key, "left").join(wanted, key, "left")
+    guard = F.when(F.col("_o").isNotNull() & F.col("_t").isNull(), "not_a_target").when(F.col("_o").isNull() & F.col("_t"), "target_left_out").otherwise("ok")
+    return both.select(key, F.when(F.col("_o"), F.col("_new")).otherwise(F.col("value")).alias("value"), guard.alias("guard"))
+
+
+def canonical_labels(df: DataFrame, generic: Column, text: str, label: str, operation: str = "replaced_generic_label") -> DataFrame:
+    """``df`` with ``label`` replaced by the whole text where it is generic, and the ``operation`` that did so, else null."""
+    return df.withColumn("operation", F.when(generic, operation)).withColumn(label, F.when(generic, F.col(text)).otherwise(F.col(label)))
+
+
+def versioned_text(version: Column, unchanged: str, text: Column, rewritten: Column) -> Column:
+    """The text as it is for runs whose version begins with ``unchanged``, else the rewritten one."""
+    return F.when(version.startswith(unchanged), text).otherwise(rewritten)

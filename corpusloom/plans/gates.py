@@ -156,8 +156,7 @@ SELECT event_id, problem FROM (SELECT event_id, unnest([CASE WHEN hook > 2 THEN
 def timing_eligibility(read):
     k = F.col("event_id")
     e = read("events").select(k, (k % 7 * 0.5).alias("hook"), (k % 11 + 2).alias("quote"), (k % 13 + 10).alias("quote_end"), (k % 17 + 15).alias("ends"))
-    hook, quote, end = F.col("hook"), F.col("quote"), F.col("quote_end")
-    return C.failures(e, ["event_id"], [("late_hook", hook <= 2), ("quote_before_hook", quote >= hook), ("empty_quote", end > quote), ("no_closing", F.col("ends") - end >= 1)])
+    return G.timing_issues(e, "event_id")
 
 
 @query("gat13_caption_gate", f"""WITH {ITEMS}, c AS (SELECT ref, coll, string_split(text, ' ') AS w FROM items), m AS (SELECT ref, coll, len(w) AS n, (len(w) + 4) // 5 AS k FROM c)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import address as A
 from corpusloom.operators import contracts as C
+from corpusloom.operators import folds, timeline
 from corpusloom.operators import matching as M
+from corpusloom.operators import resolve as V
 from corpusloom.operators import rules as R
-from corpusloom.operators import timeline
 from corpusloom.plans.base import ITEMS, LINE_ORDER, items, query
 
 
@@ -50,12 +51,9 @@ def records_of_passages(read):
     return A.expand_range(passages, "a", "b").join(notes, ["coll", "seq"]).select("passage", "ref")
 
 
-WORDS = r"(SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents WHERE lang = 'en')"
-
-
 @query("prj11_identity_policy", "SELECT doc_id, CASE WHEN source LIKE 'src1%' THEN text ELSE replace(text, 'with', 'beside') END AS text FROM documents")
 def identity_policy(read):
-    return read("documents").select("doc_id", F.when(F.col("source").startswith("src1"), F.col("text")).otherwise(F.replace("text", F.lit("with"), F.lit("beside"))).alias("text"))
+    return read("documents").select("doc_id", V.versioned_text(F.col("source"), "src1", F.col("text"), F.replace("text", F.lit("with"), F.lit("beside"))).alias("text"))
 
 
 @query("win12_sliding_clauses", f"""WITH {ITEMS}, c AS (SELECT ref, string_split(text, ' ') AS w FROM items), x AS (SELECT ref, w, unnest(range(0, len(w))) AS i FROM c)
@@ -63,19 +61,13 @@ SELECT ref, i, array_to_string(w[greatest(0, least(i - 1, len(w) - 3)) + 1 : gre
 def sliding(read):
     c = items(read).select("ref", F.split("text", " ").alias("w"))
     x = c.select("ref", "w", F.posexplode("w").alias("i", "_"))
-    start = F.greatest(F.lit(0), F.least(F.col("i") - 1, F.size("w") - 3)) + 1
-    return x.select("ref", F.col("i").cast("long").alias("i"), F.array_join(F.slice("w", start, F.lit(3)), " ").alias("visible"))
+    return x.select("ref", F.col("i").cast("long").alias("i"), F.array_join(folds.sliding_view(F.col("w"), F.col("i"), 3), " ").alias("visible"))
 
 
 @query("win22_dated_plan", """WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders), s AS (SELECT DISTINCT o_custkey, unnest(range(1, 13)) AS k FROM orders)
 SELECT s.o_custkey, strftime(DATE '2024-03-01' + (s.k - 1)::INT, '%Y-%m-%d') AS day, ['A', 'B', 'C'][1 + (s.k - 1) % 3] AS variant, o_orderkey FROM s LEFT JOIN o ON o.o_custkey = s.o_custkey AND o.k = s.k""")
 def dated_plan(read):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = read("orders").select("o_custkey", "o_orderkey", F.row_number().over(w).alias("k"))
-    slots = o.select("o_custkey").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(12))))
-    day = F.date_format(F.date_add(F.lit("2024-03-01").cast("date"), F.col("k") - 1), "yyyy-MM-dd")
-    variant = F.element_at(F.array(*map(F.lit, "ABC")), ((F.col("k") - 1) % 3 + 1).cast("int"))
-    return slots.join(o, ["o_custkey", "k"], "left").select("o_custkey", day.alias("day"), variant.alias("variant"), "o_orderkey")
+    return folds.dated_plan(read("orders"), "o_custkey", "o_orderkey", "2024-03-01", 12, ["A", "B", "C"])
 
 
 @query("win23_component_timeline", f"""WITH t AS (SELECT l_suppkey AS k, l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT AS q, sum(l_quantity::BIGINT) OVER (PARTITION BY l_suppkey ORDER BY {", ".join(LINE_ORDER)} ROWS UNBOUNDED PRECEDING) AS e, sum(l_quantity::BIGINT) OVER (PARTITION BY l_suppkey) AS t FROM lineitem)

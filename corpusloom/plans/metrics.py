@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evals as E
+from corpusloom.operators import gates as G
 from corpusloom.operators import rules as R
 from corpusloom.plans.base import query
 
@@ -118,10 +119,10 @@ def estimate(read):
     return read("documents").groupBy("lang").agg(F.round(F.sum(sample * 0.1) / F.sum(sample) * F.sum(n), 3).alias("seconds"))
 
 
-@query("evl1_weighted_score", "SELECT p_partkey, round(((p_partkey % 5 + 1) * 50 + (p_size % 6) * 30 + 3 * 20) / 5.0, 1) AS score FROM part WHERE p_size % 6 BETWEEN 1 AND 5")
+@query("evl1_weighted_score", "SELECT p_partkey, CASE WHEN p_size % 6 BETWEEN 1 AND 5 THEN round(((p_partkey % 5 + 1) * 50 + (p_size % 6) * 30 + 3 * 20) / 5.0, 1) END AS score FROM part")
 def weighted(read):
     values = {"hook": F.col("p_partkey") % 5 + 1, "clarity": F.col("p_size") % 6, "fit": F.lit(3)}
-    return read("part").select("p_partkey", E.weighted_score(values, {"hook": 50, "clarity": 30, "fit": 20}).alias("score")).filter("score is not null")
+    return read("part").select("p_partkey", E.weighted_score(values, {"hook": 50, "clarity": 30, "fit": 20}).alias("score"))
 
 
 @query("evl2_reading_time", r"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9'']+')) AS words, round(len(regexp_extract_all(text, '[A-Za-z0-9'']+')) * 60.0 / 150, 1) AS seconds FROM documents")
@@ -152,6 +153,8 @@ def bands(read):
     return read("events").select("event_id", R.band(F.col("event_id") % 60, [(15, "short"), (30, "medium")], "long").alias("band"))
 
 
+#: Ages in hours with their tolerance.
+WINDOWS = [(24, 6), (72, 12), (168, 24)]
 AGES = "a AS (SELECT event_id, user_id, value, date_diff('second', TIMESTAMP '2024-01-01', ts) / 3600.0 AS h FROM events)"
 
 
@@ -162,7 +165,7 @@ def _ages(read):
 
 @query("prj16_age_window", f"WITH {AGES} SELECT event_id, CASE WHEN abs(h - 24) <= 6 THEN 24 WHEN abs(h - 72) <= 12 THEN 72 WHEN abs(h - 168) <= 24 THEN 168 END::BIGINT AS age_window FROM a")
 def age_windows(read):
-    return _ages(read).select("event_id", R.age_window(F.col("h"), [(24, 6), (72, 12), (168, 24)]).alias("age_window"))
+    return _ages(read).select("event_id", R.age_window(F.col("h"), WINDOWS).alias("age_window"))
 
 
 @query("prj17_per_mille", "SELECT event_id, round((event_id % 17) / nullif(event_id % 9, 0) * 1000, 3) AS rate FROM events")
@@ -213,17 +216,15 @@ def observation_contract(read):
     return read("events").select("event_id", F.explode(F.array_compact(checks)).alias("problem"))
 
 
-@query("gat18_plausibility", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / l_quantity / 10000 AS ratio, l_extendedprice / l_quantity / 10000 BETWEEN 0.04 AND 0.15 AS plausible FROM lineitem WHERE l_quantity > 0")
+@query("gat18_plausibility", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / nullif(l_quantity, 0) / 10000 AS ratio, coalesce(l_extendedprice / nullif(l_quantity, 0) BETWEEN 400 AND 1500, false) AS plausible FROM lineitem")
 def plausibility(read):
-    ratio = F.col("l_extendedprice") / F.col("l_quantity") / 10000
-    return read("lineitem").filter("l_quantity > 0").select("l_orderkey", "l_linenumber", "l_partkey", ratio.alias("ratio"), ratio.between(0.04, 0.15).alias("plausible"))
+    ratio, plausible = G.plausible_rate(F.col("l_extendedprice"), F.col("l_quantity"), 400, 1500)
+    return read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (ratio / 10000).alias("ratio"), plausible.alias("plausible"))
 
 
 @query("evl6_buffer_inventory", "SELECT source, count(*) FILTER (n_chars BETWEEN 200 AND 5000) AS ready, count(*) FILTER (n_chars NOT BETWEEN 200 AND 5000) AS blocked, greatest(0, 40 - count(*) FILTER (n_chars BETWEEN 200 AND 5000)) AS shortfall FROM documents GROUP BY source")
 def inventory(read):
-    ok = F.col("n_chars").between(200, 5000)
-    g = read("documents").groupBy("source").agg(F.count_if(ok).alias("ready"), F.count_if(~ok).alias("blocked"))
-    return g.withColumn("shortfall", F.greatest(F.lit(0).cast("long"), 40 - F.col("ready")))
+    return G.buffer_inventory(read("documents"), ["source"], F.col("n_chars").between(200, 5000), 40)
 
 
 @query("snk6_review_queue", "SELECT queue, count(*) AS n FROM (SELECT CASE WHEN toxic = 1 THEN 'safety' ELSE 'editing' END AS queue FROM labels WHERE toxic = 1 OR quality = 0) GROUP BY queue")

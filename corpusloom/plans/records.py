@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import contracts as C
+from corpusloom.operators import gates as G
 from corpusloom.operators import resolve as V
 from corpusloom.operators import rules as R
 from corpusloom.plans.base import query
@@ -26,8 +27,7 @@ def blind_audit(read):
 @query("con10_label_log", "SELECT doc_id, CASE WHEN toxic = 1 THEN text ELSE 'whole text' END AS label, CASE WHEN toxic = 1 THEN 'replaced_generic_label' END AS operation FROM labels JOIN documents USING (doc_id) WHERE toxic = 1 OR quality = 0")
 def label_log(read):
     f = read("labels").filter("toxic = 1 or quality = 0").join(read("documents").select("doc_id", "text"), "doc_id")
-    generic = F.col("toxic") == 1
-    return f.select("doc_id", F.when(generic, F.col("text")).otherwise("whole text").alias("label"), F.when(generic, "replaced_generic_label").alias("operation"))
+    return V.canonical_labels(f.withColumn("label", F.lit("whole text")), F.col("toxic") == 1, "text", "label").select("doc_id", "label", "operation")
 
 
 @query("con11_batch_collection", """WITH u AS (SELECT o_orderkey, o_custkey, o_orderkey % 9 = 0 AS gone, o_orderstatus = 'P' AS broken, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 1000 END AS tokens, o_totalprice / 1000 AS d FROM orders)
@@ -36,19 +36,15 @@ def batch_collection(read):
     o = read("orders")
     units = o.select("o_orderkey", "o_custkey")
     usage = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey") % 1000)
-    results = o.filter("o_orderkey % 9 <> 0").select("o_orderkey", (F.col("o_orderstatus") == "P").alias("broken"), usage.alias("tokens"), (F.col("o_totalprice") / 1000).alias("d"))
-    both = units.join(results, "o_orderkey", "left")
-    gone, broken = F.col("broken").isNull(), F.coalesce("broken", F.lit(False))
-    tokens = F.when(~gone & ~broken, F.coalesce("tokens", F.ceil(F.col("d") * 25)))
-    state = F.when(F.bool_or(gone | broken), "collected_with_failures").otherwise("collected")
-    return both.groupBy("o_custkey").agg(state.alias("state"), F.count_if(gone).alias("missing"), F.count_if(broken).alias("errors"), F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens"))
+    results = o.filter("o_orderkey % 9 <> 0").select("o_orderkey", (F.col("o_orderstatus") == "P").alias("failed"), usage.alias("tokens"), (F.col("o_totalprice") / 1000).alias("seconds"))
+    return C.collect_batch(units, results, "o_orderkey", "o_custkey")
 
 
-@query("res8_exact_guard", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'text_differs' WHEN doc_id % 3 = 0 THEN 'count_differs' ELSE 'applied' END AS status FROM documents WHERE text <> ''")
+@query("res8_exact_guard", "SELECT doc_id, CASE WHEN text IS NOT NULL AND doc_id % 5 = 0 THEN 'text_differs' WHEN doc_id % 3 = 0 THEN 'count_differs' ELSE 'applied' END AS status FROM documents")
 def exact_guard(read):
-    d = read("documents").filter("text <> ''").select("doc_id", "text", (F.col("doc_id") % 3).alias("unresolved"))
+    d = read("documents").select("doc_id", "text", (F.col("doc_id") % 3).alias("unresolved"))
     edits = d.select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("?"))).otherwise(F.col("text")).alias("before"), F.greatest(F.col("unresolved"), F.lit(1)).alias("expected"))
-    status = C.first_failure([("text_differs", F.col("text") == F.col("before")), ("count_differs", F.col("unresolved") == F.col("expected"))], "applied")
+    status = C.first_failure([("text_differs", F.col("text").eqNullSafe(F.col("before"))), ("count_differs", F.col("unresolved") == F.col("expected"))], "applied")
     return d.join(edits, "doc_id").select("doc_id", status.alias("status"))
 
 
@@ -61,16 +57,15 @@ def first_passing(read):
 @query("res14_final_merge", "SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN upper(source) ELSE source END AS value, CASE WHEN doc_id % 12 = 6 THEN 'not_a_target' WHEN doc_id % 8 = 4 AND doc_id % 6 <> 0 THEN 'target_left_out' ELSE 'ok' END AS guard FROM documents")
 def final_merge(read):
     d = read("documents").select("doc_id", "source")
-    over = d.filter("doc_id % 6 = 0").select("doc_id", F.upper("source").alias("new"))
-    targets = d.filter("doc_id % 12 = 0 or doc_id % 8 = 4").select("doc_id", F.lit(True).alias("t"))
-    guard = F.when(F.col("new").isNotNull() & F.col("t").isNull(), "not_a_target").when(F.col("new").isNull() & F.col("t"), "target_left_out").otherwise("ok")
-    return d.join(over, "doc_id", "left").join(targets, "doc_id", "left").select("doc_id", F.coalesce("new", "source").alias("value"), guard.alias("guard"))
+    over = d.filter("doc_id % 6 = 0").select("doc_id", F.upper("source").alias("value"))
+    targets = d.filter("doc_id % 12 = 0 or doc_id % 8 = 4").select("doc_id")
+    return V.final_merge(d.withColumnRenamed("source", "value"), over, targets, "doc_id")
 
 
-@query("res15_fragment_roll_up", "SELECT l_orderkey, count(*) AS parts, CASE WHEN bool_or(l_returnflag = 'R') THEN 'failed' WHEN bool_or(l_linestatus = 'O') THEN 'pending' ELSE 'joinable' END AS state FROM lineitem WHERE l_quantity > 2 GROUP BY l_orderkey")
+@query("res15_fragment_roll_up", "SELECT l_orderkey, count(*) AS parts, CASE WHEN bool_or(l_returnflag = 'R') THEN 'failed' WHEN bool_or(l_linestatus = 'O') THEN 'pending' ELSE 'joinable' END AS state FROM lineitem GROUP BY l_orderkey")
 def roll_up(read):
     status = F.when(F.col("l_returnflag") == "R", "failed").when(F.col("l_linestatus") == "O", "pending").otherwise("complete")
-    return C.roll_up(read("lineitem").filter("l_quantity > 2").withColumn("status", status), ["l_orderkey"], "status")
+    return C.roll_up(read("lineitem").withColumn("status", status), ["l_orderkey"], "status")
 
 
 @query("gat1_source_gate", "SELECT source, problem FROM (SELECT source, unnest([CASE WHEN count(*) <> 50 THEN 'cardinality' END, CASE WHEN bool_or(trim(coalesce(text, '')) = '') THEN 'blank_text' END, CASE WHEN count(DISTINCT lang) < 2 THEN 'one_language' END]) AS problem FROM documents GROUP BY source) WHERE problem IS NOT NULL")
@@ -85,11 +80,7 @@ SELECT o_orderkey, problem FROM (SELECT o_orderkey, unnest([CASE WHEN NOT abs(si
 def media_drift(read):
     k, size = F.col("o_orderkey"), F.col("o_totalprice")
     m = read("orders").select(k, size.alias("size"), (size * ((k % 5) * 0.01 + 1)).alias("probed"), (k % 97).cast("double").alias("secs"), (k % 97 + k % 4 * 0.8).alias("probed_secs"))
-    checks = [
-        ("size", F.abs(F.col("size") - F.col("probed")) <= F.greatest(F.lit(4096.0), F.col("size") * 0.02)),
-        ("duration", F.abs(F.col("secs") - F.col("probed_secs")) <= F.greatest(F.lit(1.5), F.least(F.lit(30.0), F.col("secs") * 0.0005))),
-    ]
-    return C.failures(m, ["o_orderkey"], checks)
+    return G.media_drift(m, ["o_orderkey"], "size", "probed", "secs", "probed_secs")
 
 
 @query("gat14_caption_identity", """WITH e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cue, event_id % 1000 AS s, event_type AS t FROM events)

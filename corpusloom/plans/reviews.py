@@ -61,12 +61,13 @@ def items_xml(spark, read, path):
     return files.read_items_xml(spark, path)
 
 
-@source_query("src3_token_lines", f"""WITH {ITEMS}, w AS (SELECT coll, seq, string_split(text, ' ') AS l FROM items), e AS (SELECT coll, seq, unnest(range(1, len(l) + 1)) AS word, unnest(l) AS form FROM w)
-SELECT coll, seq, word, 1::BIGINT AS segment, form, 'N' AS pos, lower(form) AS lemma FROM e WHERE regexp_full_match(form, '[A-Za-z]+')""")
+@source_query("src3_token_lines", f"""WITH {ITEMS}, w AS (SELECT coll, seq, string_split(text, ' ') AS l FROM items), e AS (SELECT coll, seq, unnest(range(1, len(l) + 1)) AS word, regexp_replace(unnest(l), '[\\t\\r\\n]', '_', 'g') AS form FROM w)
+SELECT coll, seq, word, 1::BIGINT AS segment, form, 'N' AS pos, md5(lower(form)) AS lemma FROM e""")
 def token_lines(spark, read, path):
-    each = items(read).select("coll", "seq", F.posexplode(F.split("text", " ")).alias("i", "form")).filter(F.col("form").rlike("^[A-Za-z]+$"))
+    form = F.regexp_replace("form", r"[\t\r\n]", "_")
+    each = items(read).select("coll", "seq", F.posexplode(F.split("text", " ")).alias("i", "form")).withColumn("form", form)
     where = F.concat_ws(":", "coll", "seq", F.col("i") + 1, F.lit(1))
-    each.select(F.concat_ws("\t", where, "form", F.lit("N"), F.concat(F.lit("LEM:"), F.lower("form"), F.lit("|ROOT:x"))).alias("value")).write.text(path)
+    each.select(F.concat_ws("\t", where, "form", F.lit("N"), F.concat(F.lit("LEM:"), F.md5(F.lower("form")), F.lit("|ROOT:x"))).alias("value")).write.text(path)
     return files.read_tokens_tsv(spark, path).select("coll", "seq", "word", "segment", "form", "pos", F.col("features")["LEM"].alias("lemma"))
 
 

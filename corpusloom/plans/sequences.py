@@ -83,16 +83,8 @@ f AS (SELECT k, n, c, 0::BIGINT AS unit, (cum * 5 >= t * 1 AND m - 1 >= 4) AS do
  UNION ALL SELECT r.k, r.n, r.c, unit + done::INT, unit + done::INT < 4 AND r.cum * 5 >= r.t * (unit + done::INT + 1) AND r.m - r.n >= 5 - (unit + done::INT) - 1 FROM f JOIN r ON r.k = f.k AND r.n = f.n + 1)
 SELECT k, unit, count(*) AS n_items, sum(c)::BIGINT AS total FROM f GROUP BY k, unit""")
 def balanced(read):
-    parts = 5
-    rows = _lines(read).select("l_suppkey", "c", *LINE_ORDER)
-    totals = rows.groupBy("l_suppkey").agg(F.sum("c").alias("t"), F.count(F.lit(1)).alias("m"))
-    w = Window.partitionBy("l_suppkey").orderBy(*LINE_ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.join(totals, "l_suppkey").withColumn("i", F.row_number().over(Window.partitionBy("l_suppkey").orderBy(*LINE_ORDER)))
-    # closed form of the greedy rule: a part closes at most once per row and while rows enough remain
-    cum = placed.withColumn("due", F.floor(F.sum("c").over(w) * parts / F.col("t")) - (F.col("i") - 1)).withColumn("low", F.min("due").over(w))
-    closed = F.col("i") - 1 + F.least(F.lit(1), F.col("low"))
-    labelled = cum.withColumn("closed", closed).withColumn("unit", F.least(F.lit(parts - 1), F.coalesce(F.lag("closed").over(Window.partitionBy("l_suppkey").orderBy("i")), F.lit(0))).cast("long"))
-    return labelled.groupBy(F.col("l_suppkey").alias("k"), "unit").agg(F.count(F.lit(1)).alias("n_items"), F.sum("c").alias("total"))
+    split = folds.balanced_split(_lines(read).select("l_suppkey", "c", *LINE_ORDER), "l_suppkey", LINE_ORDER, "c", 5)
+    return split.groupBy(F.col("l_suppkey").alias("k"), "unit").agg(F.count(F.lit(1)).alias("n_items"), F.sum("c").alias("total"))
 
 
 @query("win13_event_end", "SELECT event_id, greatest(e, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s, event_id), 9999999999)) AS event_end FROM (SELECT event_id, user_id, floor(epoch(ts))::BIGINT AS s, floor(epoch(ts))::BIGINT + event_id % 50 AS e FROM events)")

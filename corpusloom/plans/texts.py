@@ -84,10 +84,12 @@ def group_override(read):
     return d.join(named, "doc_id", "left").select("doc_id", F.coalesce("choice", "text").alias("final_text"))
 
 
-@query("res7_guarded_edit", """WITH e AS (SELECT doc_id, text, substr(text, 1, 12 + doc_id % 9) AS b FROM documents), o AS (SELECT *, (length(text) - length(replace(text, b, ''))) // length(b) AS n FROM e WHERE length(b) > 0)
-SELECT doc_id, CASE WHEN n = 1 THEN 'applied' WHEN n = 0 THEN 'missing' ELSE 'ambiguous' END AS status, md5(CASE WHEN n = 1 THEN replace(text, b, 'EDIT') ELSE text END) AS digest FROM o""")
+@query("res7_guarded_edit", """WITH e AS (SELECT doc_id, text, CASE WHEN doc_id % 17 = 0 THEN '' ELSE substr(text, 1, 12 + doc_id % 9) END AS b FROM documents), o AS (SELECT *, (length(text) - length(replace(text, b, ''))) // nullif(length(b), 0) AS n FROM e)
+SELECT doc_id, CASE WHEN text IS NULL THEN 'no_text' WHEN n IS NULL THEN 'no_before' WHEN n = 1 THEN 'applied' WHEN n = 0 THEN 'missing' ELSE 'ambiguous' END AS status, md5(CASE WHEN n = 1 THEN replace(text, b, 'EDIT') ELSE text END) AS digest FROM o""")
 def guarded_edit(read):
-    d = read("documents").withColumn("b", F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 9 + 12).cast("int"))).withColumn("a", F.lit("EDIT")).filter(F.length("b") > 0)
+    k = F.col("doc_id")
+    before = F.when(k % 17 == 0, "").otherwise(F.substring(F.col("text"), F.lit(1), (k % 9 + 12).cast("int")))
+    d = read("documents").withColumn("b", before).withColumn("a", F.lit("EDIT"))
     return V.guarded_edit(d, "text", "b", "a").select("doc_id", "status", F.md5("new_text").alias("digest"))
 
 
@@ -101,21 +103,21 @@ def decision_contract(read):
 
 @query("con7_accept_contract", f"""WITH {FINDINGS} SELECT doc_id, severity, CASE WHEN doc_id % 2 = 0 AND severity = 'blocking' THEN 'accepted_with_severe' WHEN doc_id % 2 = 1 AND severity <> 'blocking' THEN 'rejected_without_severe' ELSE 'ok' END AS status FROM f""")
 def accept_contract(read):
-    severe, accept = F.col("severity") == "blocking", F.col("doc_id") % 2 == 0
-    status = F.when(accept & severe, "accepted_with_severe").when(~accept & ~severe, "rejected_without_severe").otherwise("ok")
+    status = V.accept_status(F.col("severity") == "blocking", F.col("doc_id") % 2 == 0)
     return _findings(read).select("doc_id", "severity", status.alias("status"))
 
 
 @query("res4_finding_disposition", f"""WITH {FINDINGS} SELECT doc_id, CASE WHEN severity = 'minor' THEN 'advisory' WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'repaired_and_verified' WHEN doc_id % 3 = 1 THEN 'rejected_base_verified' ELSE 'unresolved_fallback' END AS disposition FROM f""")
 def disposition(read):
-    d = F.col("doc_id")
-    out = F.when(F.col("severity") == "minor", "advisory").when((d % 3 == 0) & (d % 2 == 0), "repaired_and_verified").when(d % 3 == 1, "rejected_base_verified").otherwise("unresolved_fallback")
-    return _findings(read).select("doc_id", out.alias("disposition"))
+    k = F.col("doc_id")
+    decision = F.when(k % 3 == 0, "applied").when(k % 3 == 1, "rejected").otherwise("escalated")
+    accept = (k % 3 == 1) | (k % 2 == 0)
+    return _findings(read).select("doc_id", V.disposition(F.col("severity"), ["blocking"], decision, accept).alias("disposition"))
 
 
 @query("res1_finding_ids", f"WITH {FINDINGS} SELECT doc_id, 'qa-' || substr(sha256(doc_id || '|' || severity || '|' || quote), 1, 16) AS finding_id FROM f")
 def finding_ids(read):
-    return _findings(read).select("doc_id", F.concat(F.lit("qa-"), F.substring(F.sha2(F.concat_ws("|", "doc_id", "severity", "quote").cast("binary"), 256), 1, 16)).alias("finding_id"))
+    return _findings(read).select("doc_id", V.finding_id(["doc_id", "severity", "quote"]).alias("finding_id"))
 
 
 @query("jon7_finding_decision_verification", f"""WITH {FINDINGS} SELECT doc_id, severity, CASE doc_id % 3 WHEN 0 THEN 'applied' WHEN 1 THEN 'rejected' END AS decision, CASE WHEN doc_id % 4 <> 0 THEN doc_id % 2 = 0 END AS accept FROM f""")
@@ -123,7 +125,7 @@ def decided(read):
     f = _findings(read)
     d = f.filter("doc_id % 3 <> 2").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "applied").otherwise("rejected").alias("decision"))
     v = f.filter("doc_id % 4 <> 0").select("doc_id", (F.col("doc_id") % 2 == 0).alias("accept"))
-    return f.join(d, "doc_id", "left").join(v, "doc_id", "left").select("doc_id", "severity", "decision", "accept")
+    return V.decided(f, d, v, "doc_id", "doc_id").select("doc_id", "severity", "decision", "accept")
 
 
 @query("jon13_referenced_sources", f"WITH {FINDINGS} SELECT doc_id, 'src' || doc_id % 30 AS source FROM f WHERE 'src' || doc_id % 30 NOT IN (SELECT DISTINCT source FROM documents)")
