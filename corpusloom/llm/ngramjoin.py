@@ -207,7 +207,7 @@ def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None,
     rest = suffixes(placed.join(classes.select("cid", "prefix", "parts"), "cid"))
     dealt = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["gram", "i", "j", "answers", "cid", "n", "place", "component", "asks", "gone", "rest"]
+    columns = ["gram", "i", "j", "answers", "cid", "n", "place", "component", "asks", "rest"]
     left = rest.filter("asks").withColumn("i", dealt("asking", 1)).withColumn("j", every("rooms")).withColumn("answers", F.lit(False))
     right = rest.withColumn("j", dealt("rooms", 2)).withColumn("i", every("asking")).withColumn("answers", F.lit(True))
     met = left.select(*columns).unionByName(right.select(*columns))
@@ -226,33 +226,34 @@ def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None,
         if held is not None:
             yield from allowed_pairs(held, percent)
 
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def suffixes(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``gone`` and ``rest`` instead of prefix and parts: what stands before ``place`` in the order of a class, and the counts by part of what stands from there on."""
+    """``rows`` with ``rest`` instead of prefix and parts: the counts by part of what stands from ``place`` on in the order of a class."""
     kept = [c for c in rows.columns if c not in ("prefix", "parts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            gone, rest = [], []
+            rest = []
             for prefix, parts, place in zip(b.column("prefix"), b.column("parts"), b.column("place").to_pylist()):
                 whole, before = np.frombuffer(parts.as_buffer(), np.uint8), np.frombuffer(prefix.as_buffer(), np.uint64)[:place]
                 less = np.bincount((before & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
-                gone.append(np.sort(before).tobytes())
                 rest.append(np.where(whole == FULL, FULL, whole - less).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(gone, pa.binary()), pa.array(rest, pa.binary())], names=[*kept, "gone", "rest"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rest, pa.binary())], names=[*kept, "rest"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
-    return rows.mapInArrow(run, f"{fields}, gone binary, rest binary")
+    return rows.mapInArrow(run, f"{fields}, rest binary")
 
 
 def allowed_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
-    """(a, b) of whole groups, askers before those that answer: each asker with each other one that the filters allow, in the list of the first n-gram they share."""
+    """(a, b) of whole groups, askers before those that answer: each asker with each other one that the filters allow.
+
+    What two classes share before a list's n-gram is in neither suffix, so later lists that they share seldom tell a pair again.
+    """
     gram, i, j, cid, n, place, component = (rows[c].to_numpy() for c in ("gram", "i", "j", "cid", "n", "place", "component"))
     answers, asks = (rows[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("answers", "asks"))
     rest = np.frombuffer(b"".join(rows["rest"].to_pylist()), np.uint8).reshape(-1, PARTS)
-    gone = [np.frombuffer(g, np.uint64) for g in rows["gone"].to_pylist()]
     begun = np.concatenate([[True], (gram[1:] != gram[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     group = np.cumsum(begun) - 1
     ends = np.append(np.flatnonzero(begun)[1:], len(gram))[group]
@@ -274,8 +275,6 @@ def allowed_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         both = np.minimum(rest[x], rest[y])
         shared = both.sum(axis=1, dtype=np.int64) + np.where((both == FULL).any(axis=1), sizes, 0)
         x, y = x[shared >= needed], y[shared >= needed]
-        first_met = np.array([not len(np.intersect1d(gone[p], gone[q], assume_unique=True)) for p, q in zip(x.tolist(), y.tolist())], bool)
-        x, y = x[first_met], y[first_met]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[x], cid[y])), pa.array(np.maximum(cid[x], cid[y]))], names=["a", "b"])
 
 
