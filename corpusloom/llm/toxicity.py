@@ -27,7 +27,8 @@ import itertools
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -151,8 +152,8 @@ def _shingles(words: list[str]) -> np.ndarray:
     return np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, grams), np.uint64, len(grams)))
 
 
-def without_near_copies(rows: list[tuple[str, int]]) -> list[tuple[list[str], int, str]]:
-    """(words, label, folded text) of the texts with words that are no near copy of an earlier one that stayed.
+def without_near_copies(rows: Iterable[tuple[str, int]]) -> list[tuple[int, str]]:
+    """(label, folded text) of the texts with words that are no near copy of an earlier one that stayed.
 
     A near copy has NEAR of all three-word shingles of both in common; the sets
     are compared wherever one of eight minimum hashes is equal.
@@ -174,22 +175,22 @@ def without_near_copies(rows: list[tuple[str, int]]) -> list[tuple[list[str], in
         for m, low in zip(met, lows):
             m[low].append(len(sets))
         sets.append(own)
-        docs.append((words, y, folded))
+        docs.append((y, folded))
     return docs
 
 
 class _Counted:
     """In how many texts of each fold and label each whole word and stem occurs."""
 
-    def __init__(self, docs: list[tuple[list[str], int, str]]) -> None:
+    def __init__(self, docs: list[tuple[int, str]]) -> None:
         self.docs = docs
-        self.fold = [xxhash.xxh3_64_intdigest(f) % FOLDS for _, _, f in docs]
+        self.fold = [xxhash.xxh3_64_intdigest(f) % FOLDS for _, f in docs]
         self.texts = np.zeros((FOLDS, 2), int)
-        self.df: dict[str, list[int]] = defaultdict(lambda: [0] * (2 * FOLDS))
-        for (words, y, _), k in zip(docs, self.fold):
+        self.df: dict[str, array] = defaultdict(lambda: array("I", bytes(8 * FOLDS)))
+        for (y, folded), k in zip(docs, self.fold):
             self.texts[k, y] += 1
             keys = set()
-            for w in set(words):
+            for w in set(folded.split()):
                 keys.add(f" {w} ")
                 keys.update(f" {w[:n]}" for n in range(STEM, min(len(w), LONGEST_STEM) + 1))
             for key in keys:
@@ -217,13 +218,13 @@ class _Counted:
         docs = [d for d, k in zip(self.docs, self.fold) if k != without]
         phrases: dict[str, list[int]] = defaultdict(lambda: [0, 0])
         matcher = Lexicon(weights)
-        for _, y, f in docs:
+        for y, f in docs:
             for end, _w in matcher.automaton.iter(f) if weights else ():
                 for phrase in _around(f, end):
                     phrases[phrase][y] += 1
         lex = Lexicon(weights, {p for p, c in phrases.items() if c[0] >= 3 and not c[1]})
-        x = np.array([[1.0, *lex.features(f)] for _, _, f in docs])
-        y = np.array([y for _, y, _ in docs], float)
+        x = np.array([[1.0, *lex.features(f)] for _, f in docs])
+        y = np.array([y for y, _ in docs], float)
         beta = np.zeros(3)
         for _ in range(30):  # Newton steps with a small ridge
             p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -237,7 +238,7 @@ class _Counted:
         total = 0.0
         for k in range(FOLDS):
             lex = self.fit(min_docs, without=k)
-            for (_, y, f), own in zip(self.docs, self.fold):
+            for (y, f), own in zip(self.docs, self.fold):
                 if own == k:
                     total -= math.log(max(1e-9, lex.probability(f) if y else 1 - lex.probability(f)))
         return total / max(1, len(self.docs))
@@ -245,7 +246,7 @@ class _Counted:
 
 def learn(texts: list[str], labels: list[int], settings: tuple[int, ...] = MIN_DOCS) -> Lexicon:
     """Lexicon from labelled texts; of the settings that with the least loss over folds of these very texts, the first of equals."""
-    counted = _Counted(without_near_copies(list(zip(texts, labels))))
+    counted = _Counted(without_near_copies(zip(texts, labels)))
     chosen = min(settings, key=counted.loss) if len(settings) > 1 else settings[0]
     return counted.fit(chosen)
 
