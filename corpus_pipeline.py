@@ -5,6 +5,15 @@ shingles, Jaccard 0.8 or more) the smallest doc_id stays; documents
 contaminated by the benchmark go; sources are mixed to their target weights
 (documents are repeated or left out as whole texts); every row of the mix gets
 its shard and slot.
+
+Defined edge cases, each judged by row: null, empty and wordless texts are
+scored by the lexicon's curve at 0, are near-duplicates of nothing, hit no
+benchmark window, have size 0 in the mix and get a shard; repeated rows are one
+group of near-duplicates, repeated or null doc_ids of different texts are not;
+equal texts of several rows are told apart by row wherever one of them stays.
+Without labels of both kinds nothing is toxic; an empty benchmark contaminates
+nothing; an empty table gives an empty result.  Extra columns stay, whatever
+their names; ``shard`` and ``slot`` are replaced.
 """
 
 from __future__ import annotations
