@@ -110,3 +110,31 @@ def compare_timelines(left: DataFrame, right: DataFrame, keys: list[str], tolera
     delta = lambda x: F.round(F.abs(F.col(f"_a.{x}") - F.col(f"_b.{x}")), 6)
     status = F.when(F.col("_a").isNull(), "only_right").when(F.col("_b").isNull(), "only_left").when(F.greatest(delta("start"), delta("end")) > tolerance, "differs").otherwise("agrees")
     return both.select(*keys, status.alias("status"), delta("start").alias("start_delta"), delta("end").alias("end_delta"))
+
+
+def stamp(seconds: Column) -> Column:
+    """H:MM:SS of a time, rounded down."""
+    whole = F.floor(seconds).cast("long")
+    return F.format_string("%d:%02d:%02d", F.floor(whole / 3600), F.pmod(F.floor(whole / 60), F.lit(60)).cast("long"), F.pmod(whole, F.lit(60)))
+
+
+def catalog_metadata(outputs: DataFrame, chapters: DataFrame, kinds: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(key, kind, title, label, playlist, description) of outputs by kind.
+
+    outputs: key, kind and the ``fields``; kinds: kind, title, label, playlist, about, in which each field's name in braces stands for its value (null: nothing);
+    chapters: key, at (seconds), name.  The description is the ``about`` line, a blank line and one line a chapter in order of time, where there are any.
+    An output of an unknown kind has null texts.
+    """
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda c: F.concat(stamp(c["at"]), F.lit(" "), c["name"])), "\n")
+    listed = chapters.groupBy(key).agg(lines.alias("_lines"))  # the chapters of one output
+    joined = outputs.join(F.broadcast(kinds), "kind", "left").join(listed, key, "left")  # a row a kind
+
+    def filled(column: str) -> Column:
+        text = F.col(column)
+        for field in fields:
+            text = F.replace(text, F.lit(f"{{{field}}}"), F.coalesce(F.col(field).cast("string"), F.lit("")))
+        return text
+
+    about = filled("about")
+    description = F.when(F.col("_lines").isNotNull(), F.concat(about, F.lit("\n\n"), F.col("_lines"))).otherwise(about)
+    return joined.select(key, "kind", *[filled(c).alias(c) for c in ("title", "label", "playlist")], description.alias("description"))

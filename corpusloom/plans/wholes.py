@@ -227,3 +227,29 @@ SELECT k, unit, count(*) AS n_items, sum(c)::BIGINT AS total FROM f GROUP BY k,
 def short_spans(read):
     rows = items(read).select(F.col("coll").alias("k"), "seq", "text", F.length("text").cast("long").alias("c"), F.when((F.col("coll") + F.col("seq") - 1) % 4 == 0, 12.0).otherwise(9.5).alias("seconds"))
     return folds.unit_table(folds.short_spans(rows, ["k"], [F.col("seq")], "text", "seconds", 200, 10, 4, 450), ["k"], "c")
+
+
+#: kind, title, label, playlist, about.
+KINDS = [("collection", "{name} ({number})", "PART {number}", "By collection", "{name}, {first}-{last}."), ("section", "Section {number} of 30", "SECTION {number}", "By section", "Section {number}, {first}-{last}."), ("full", "The whole", "ALL", "Whole editions", "Everything, {first}-{last}.")]
+KIND_SQL = "k(kind, title, label, playlist, about) AS (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in KINDS) + ")"
+
+
+def _filled(column: str) -> str:
+    for field in ("name", "number", "first", "last"):
+        column = f"replace({column}, '{{{field}}}', coalesce(o.\"{field}\"::VARCHAR, ''))"
+    return column
+
+
+@query("snk8_catalog_metadata", f"""WITH {KIND_SQL}, o AS (SELECT user_id, CASE user_id % 4 WHEN 0 THEN 'collection' WHEN 1 THEN 'section' WHEN 2 THEN 'full' ELSE 'other' END AS kind, CASE WHEN user_id % 5 <> 0 THEN 'User ' || user_id END AS name, user_id % 30 + 1 AS number, min(event_id) AS "first", max(event_id) AS "last", floor(epoch(min(ts)))::BIGINT AS t0 FROM events GROUP BY user_id),
+c AS (SELECT e.user_id, string_agg(printf('%d:%02d:%02d %s', s // 3600, s // 60 % 60, s % 60, e.event_id::VARCHAR), chr(10) ORDER BY s, e.event_id::VARCHAR) AS lines FROM (SELECT events.user_id, event_id, floor(epoch(ts))::BIGINT - t0 AS s FROM events JOIN o USING (user_id) WHERE event_type = 'signup') e GROUP BY e.user_id)
+SELECT o.user_id, o.kind, {_filled('title')} AS title, {_filled('label')} AS label, playlist, {_filled('about')} || CASE WHEN lines IS NOT NULL THEN chr(10) || chr(10) || lines ELSE '' END AS description FROM o LEFT JOIN k ON k.kind = o.kind LEFT JOIN c ON c.user_id = o.user_id""")
+def catalog_metadata(read):
+    ev = read("events").select("user_id", "event_id", "event_type", F.unix_timestamp("ts").alias("t"))
+    u = F.col("user_id")
+    kind = F.when(u % 4 == 0, "collection").when(u % 4 == 1, "section").when(u % 4 == 2, "full").otherwise("other")
+    outputs = ev.groupBy("user_id").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.min("t").alias("t0"))
+    outputs = outputs.select(u, kind.alias("kind"), F.when(u % 5 != 0, F.concat(F.lit("User "), u.cast("string"))).alias("name"), (u % 30 + 1).alias("number"), "first", "last", "t0")
+    points = ev.filter("event_type = 'signup'").join(outputs.select("user_id", "t0"), "user_id")
+    chapters = points.select("user_id", (F.col("t") - F.col("t0")).alias("at"), F.col("event_id").cast("string").alias("name"))
+    kinds = ev.sparkSession.createDataFrame(KINDS, "kind string, title string, label string, playlist string, about string")
+    return timeline.catalog_metadata(outputs.drop("t0"), chapters, kinds, "user_id", ["name", "number", "first", "last"])
