@@ -18,7 +18,8 @@ order.  Two sets that are similar enough share an n-gram among the first
    the class before it and the first one in its lists; those it shares most
    lists with.  What these links join is not compared again: the join of step
    2 then runs only between different components, where in every list the
-   members outside the largest component ask.
+   members outside the largest component ask.  It runs twice: first each asker tries of each other component only the class
+   that may share most with it, then whatever is still apart is compared with all.
 
 Nothing is capped: all lists are joined whole.
 
@@ -188,11 +189,12 @@ def first_tries(lists: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE) -> DataFrame:
+def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE, best: bool = False) -> DataFrame:
     """(a, b): classes of different components (``label``: node, component; without it each class is its own) that all three filters allow to link.
 
     In each list the members outside its largest component ask all others.  Both sides are cut into pieces of about ``piece`` rows,
     so a long list is many tasks' work; a task holds one piece of each side, and what it tells are the pairs that are left.
+    With ``best`` each asker's pieces of a list tell of each other component only the class that may share most with it.
     """
     known = lists.select("gram", "cid", "n", "place")
     if label is None:
@@ -220,11 +222,11 @@ def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None,
             room = [table_[c].to_numpy() for c in ("gram", "i", "j")]
             new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in room], axis=0)) + 1
             if len(new):  # all groups but the last are whole
-                yield from allowed_pairs(table_.slice(0, int(new[-1])), percent)
+                yield from allowed_pairs(table_.slice(0, int(new[-1])), percent, best)
                 table_ = table_.slice(int(new[-1]))
             held = table_
         if held is not None:
-            yield from allowed_pairs(held, percent)
+            yield from allowed_pairs(held, percent, best)
 
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
@@ -246,7 +248,7 @@ def suffixes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{fields}, rest binary")
 
 
-def allowed_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+def allowed_pairs(rows: pa.Table, percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """(a, b) of whole groups, askers before those that answer: each asker with each other one that the filters allow.
 
     What two classes share before a list's n-gram is in neither suffix, so later lists that they share seldom tell a pair again.
@@ -274,7 +276,13 @@ def allowed_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         x, y, needed, sizes = x[ok], y[ok], needed[ok], sizes[ok]
         both = np.minimum(rest[x], rest[y])
         shared = both.sum(axis=1, dtype=np.int64) + np.where((both == FULL).any(axis=1), sizes, 0)
-        x, y = x[shared >= needed], y[shared >= needed]
+        ok = shared >= needed
+        x, y, spare = x[ok], y[ok], (shared - needed)[ok]
+        if best and len(x):
+            order = np.lexsort((cid[y], -spare, component[y], x))
+            x, y = x[order], y[order]
+            first_of = np.concatenate([[True], (x[1:] != x[:-1]) | (component[y][1:] != component[y][:-1])])
+            x, y = x[first_of], y[first_of]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[x], cid[y])), pa.array(np.maximum(cid[x], cid[y]))], names=["a", "b"])
 
 
@@ -324,8 +332,8 @@ class Prepared:
         named = rows.select(F.coalesce("doc_id", F.lit(FAR)).alias("id"), F.col("fp").alias("_fp"), "text")
         self.texts = materialize(named.join(wanted, ["id", "_fp"]).groupBy("cid").agg(F.first("text").alias("text")), "texts")
 
-    def links(self, label: DataFrame | None, piece: int) -> DataFrame:
-        pairs = materialize(pairs_between(self.lists, self.classes, label, self.percent, piece), "pairs")
+    def links(self, label: DataFrame | None, piece: int, best: bool = False) -> DataFrame:
+        pairs = materialize(pairs_between(self.lists, self.classes, label, self.percent, piece, best), "pairs")
         return verified(pairs, self.texts, self.width, self.percent)
 
 
@@ -341,8 +349,10 @@ def ngram_components(docs: DataFrame, width: int, percent: int, piece: int = PIE
     ready = Prepared(docs, width, percent)
     tries = materialize(first_tries(ready.lists, percent), "tries")
     label = components(materialize(verified(tries, ready.texts, width, percent), "links"))
-    stars = label.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    label = components(materialize(stars.union(ready.links(label, piece)), "links")).withColumnRenamed("node", "cid")
+    for best in (True, False):
+        stars = label.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))  # they connect what the links did
+        label = components(materialize(stars.union(ready.links(label, piece, best)), "links"))
+    label = label.withColumnRenamed("node", "cid")
     firsts = ready.classes.select("cid", "first_id").join(label, "cid").groupBy("component").agg(F.min("first_id").alias("component_id"))
     firsts = materialize(firsts, "firsts")  # written, so that a join may split the rows of a large component
     named = ready.classes.select("digest", "first_id", "cid").join(label, "cid", "left").join(firsts, "component", "left")
