@@ -17,7 +17,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, usable: Colum
     """At most ``rows`` labelled rows of at most ``total`` bytes together, chosen by a hash of doc_id; for fitting only.
 
     Chosen texts come whole.  A text that would pass ``total`` is left for the next of the order.  ``usable`` says which
-    doc_ids may be learnt from.  Rows with a null text or label are left out; rows equal in doc_id and text count once.
+    doc_ids may be learnt from.  Rows with a null text or label are left out; rows equal in doc_id and text count once;
+    a doc_id with labels that disagree is learnt as one row for each of them.
     """
     marks = labels.filter(usable & F.col(label).isNotNull()).select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
     marks = F.broadcast(marks.orderBy(F.xxhash64("_id"), "_id", "_y").limit(rows))  # bounded by ``rows``
