@@ -7,7 +7,8 @@ order.  Two sets that are similar enough share an n-gram among the first
 ``n - ceil(percent * n / 100) + 1`` of each, their prefixes.
 
 1. Prefix n-grams are dealt out; n-grams of a single class's prefix go at once.  The rest are the
-   posting lists, each with its classes in the order of the n-gram's place.
+   posting lists, each with its classes in the order of the n-gram's place.  Of lists of up to LONG rows
+   only classes stay that length and positional filter allow to link with another of the list.
 2. ``class_links``: all links between classes.  Lists are joined with
    themselves in pieces of at most ``piece`` rows a side, under the length
    filter (sizes too unlike), the positional filter (what follows the shared
@@ -19,7 +20,8 @@ order.  Two sets that are similar enough share an n-gram among the first
    lists with.  What these links join is not compared again: the join of step
    2 then runs only between different components, where in every list the
    members outside the largest component ask.  It runs twice: first each asker tries of each other component only the class
-   that may share most with it, then whatever is still apart is compared with all.
+   that may share most with it, then lists in which that left a pair untold are compared in full, as far as
+   their members are still apart.
 
 Nothing is capped: all lists are joined whole.
 
@@ -50,6 +52,7 @@ PARTS = 256
 FULL = 255
 PIECE = 2048
 PAIRS = 200_000  # looked at together
+LONG = 256  # rows of a list up to which all are compared by size and place before it is written
 HEADS = 256  # partners of one class that are verified in one place
 FAR = (1 << 63) - 1
 
@@ -115,8 +118,55 @@ def sketches(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
     return texts.mapInArrow(run, "doc_id long, fp long, n long, digest binary, prefix binary, parts binary")
 
 
-def posting_lists(classes: DataFrame) -> DataFrame:
-    """(gram, cid, n, place, prior, prior_n, prior_place, first, first_n, first_place): prefix n-grams that several classes have.
+def near_enough(n: np.ndarray, place: np.ndarray, other_n: np.ndarray, other_place: np.ndarray, percent: int) -> np.ndarray:
+    """``may_link`` of arrays."""
+    alike = 100 * np.minimum(n, other_n) >= percent * np.maximum(n, other_n)
+    return alike & (np.minimum(n - place, other_n - other_place) >= (percent * (n + other_n) + 99 + percent) // (100 + percent))
+
+
+def pairable(rows: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows (gram, cid, n, place) of whole lists length and positional filter allow to link with another of their list; all rows of lists over LONG."""
+    gram, _, n, place = rows
+    bounds = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1], [True]]))
+    sizes = np.diff(bounds)
+    good, ends = np.repeat(sizes > LONG, sizes), np.repeat(bounds[1:], sizes)
+    left = np.flatnonzero(~good)
+    for d in range(1, LONG):
+        left = left[left + d < ends[left]]
+        if not len(left):
+            break
+        x = left[near_enough(n[left], place[left], n[left + d], place[left + d], percent)]
+        good[x] = good[x + d] = True
+    return good
+
+
+def pairable_rows(parts: Iterator[np.ndarray], percent: int) -> Iterator[np.ndarray]:
+    """The pairable rows of lists that come in parts; of a list over LONG no more than that and a part is held."""
+    held = np.empty((4, 0), np.int64)
+    passing = None  # the n-gram of a list over LONG whose first rows are told
+    for part in parts:
+        held = np.concatenate([held, part], axis=1)
+        if not held.shape[1]:
+            continue
+        if passing is not None:
+            more = int(np.searchsorted(held[0], passing, "right"))
+            yield held[:, :more]
+            held = held[:, more:]
+            if not held.shape[1]:
+                continue
+            passing = None
+        last = int(np.searchsorted(held[0], held[0, -1], "left"))
+        if held.shape[1] - last > LONG:
+            last, passing = held.shape[1], held[0, -1]
+        if last:
+            yield held[:, :last][:, pairable(held[:, :last], percent)]
+            held = held[:, last:]
+    if held.shape[1]:
+        yield held[:, pairable(held, percent)]
+
+
+def posting_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(gram, cid, n, place, prior, prior_n, prior_place, first, first_n, first_place): prefix n-grams that several classes have, with those that are ``pairable``.
 
     ``prior`` is the class before in the order (place, n, cid) of the list, ``first`` its first one; both null on the first row.
     """
@@ -133,8 +183,8 @@ def posting_lists(classes: DataFrame) -> DataFrame:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((4, 0), np.int64)  # the row not told yet, which waits for its successor
         prior = first = None  # the row told last, and the first one of its list
-        for b in batches:
-            held = np.concatenate([held, np.stack([b.column(c).to_numpy() for c in names[:4]])], axis=1)
+        for part in pairable_rows((np.stack([b.column(c).to_numpy() for c in names[:4]]) for b in batches), percent):
+            held = np.concatenate([held, part], axis=1)
             if held.shape[1] > 1:
                 yield told(held, held.shape[1] - 1, prior, first)
                 first, prior = first_of(held, held.shape[1] - 1, first), held[:, -2]
@@ -189,12 +239,13 @@ def first_tries(lists: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE, best: bool = False) -> DataFrame:
-    """(a, b): classes of different components (``label``: node, component; without it each class is its own) that all three filters allow to link.
+def pairs_between(lists: DataFrame, heads: DataFrame, label: DataFrame | None, percent: int, piece: int = PIECE, best: bool = False) -> DataFrame:
+    """(a, b, gram): classes a, b of different components (``label``: node, component; without it each class is its own) that all three filters allow to link; no gram.
 
     In each list the members outside its largest component ask all others.  Both sides are cut into pieces of about ``piece`` rows,
     so a long list is many tasks' work; a task holds one piece of each side, and what it tells are the pairs that are left.
-    With ``best`` each asker's pieces of a list tell of each other component only the class that may share most with it.
+    With ``best`` each asker's pieces of a list tell of each other component only the class that may share most with it; where that
+    left a pair untold, a row has the list's gram alone.  All pairs of the other lists are told.
     """
     known = lists.select("gram", "cid", "n", "place")
     if label is None:
@@ -206,13 +257,15 @@ def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None,
     rooms = lambda x: F.ceil(x / F.lit(piece)).cast("int")
     split = split.select("gram", F.col("m.component").alias("largest"), rooms(F.col("members") - F.col("m.c")).alias("asking"), rooms(F.col("members")).alias("rooms"))
     placed = known.join(split, "gram").withColumn("asks", F.col("component") != F.col("largest")).drop("largest")
-    rest = suffixes(placed.join(classes.select("cid", "prefix", "parts"), "cid"))
     dealt = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["gram", "i", "j", "answers", "cid", "n", "place", "component", "asks", "rest"]
-    left = rest.filter("asks").withColumn("i", dealt("asking", 1)).withColumn("j", every("rooms")).withColumn("answers", F.lit(False))
-    right = rest.withColumn("j", dealt("rooms", 2)).withColumn("i", every("asking")).withColumn("answers", F.lit(True))
-    met = left.select(*columns).unionByName(right.select(*columns))
+    every = lambda n, one: F.transform(F.sequence(F.lit(0), F.col(n) - 1), one)
+    room = lambda i, j, asker, answers: F.struct(i.alias("i"), j.alias("j"), asker.alias("asker"), answers.alias("answers"))
+    own_i, own_j = dealt("asking", 1), dealt("rooms", 2)
+    answering = every("asking", lambda i: room(i, own_j, F.col("asks") & (i == own_i), F.lit(True)))
+    elsewhere = F.filter(every("rooms", lambda j: room(own_i, j, F.lit(True), F.lit(False))), lambda x: F.col("asks") & (x["j"] != own_j))
+    alone = F.array(room(F.lit(0), F.lit(0), F.col("asks"), F.lit(True)))  # a list of one room
+    at = F.when(F.expr("asking = 1 and rooms = 1"), alone).otherwise(F.concat(answering, elsewhere))
+    met = suffixes(placed, heads).withColumn("at", F.explode(at)).select("gram", "at.i", "at.j", "at.asker", "at.answers", "cid", "n", "place", "component", "asks", "rest")
     ordered = met.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "answers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,39 +281,69 @@ def pairs_between(lists: DataFrame, classes: DataFrame, label: DataFrame | None,
         if held is not None:
             yield from allowed_pairs(held, percent, best)
 
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long, gram long").distinct()
 
 
-def suffixes(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``rest`` instead of prefix and parts: the counts by part of what stands from ``place`` on in the order of a class."""
-    kept = [c for c in rows.columns if c not in ("prefix", "parts")]
+def suffixes(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """``rows`` with ``rest``: the counts by part of what stands from ``place`` on in the order of a class; heads: cid, prefix, parts.
+
+    A class goes once to all its rows, of which it has at most as many as its prefix has n-grams.
+    """
+    kept = rows.columns
+    tops = heads.select(*(F.col("cid") if f.name == "cid" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields), "prefix", "parts")
+    none = F.lit(None).cast("binary")
+    met = tops.unionByName(rows.withColumn("prefix", none).withColumn("parts", none))
+    ordered = met.repartition("cid").sortWithinPartitions("cid", F.col("place").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, prefix = np.empty(0, np.uint8), np.empty(0, np.uint64)
         for b in batches:
+            top = np.flatnonzero(b.column("place").is_null().to_numpy(zero_copy_only=False))
+            place = b.column("place").fill_null(-1).to_numpy()
             rest = []
-            for prefix, parts, place in zip(b.column("prefix"), b.column("parts"), b.column("place").to_pylist()):
-                whole, before = np.frombuffer(parts.as_buffer(), np.uint8), np.frombuffer(prefix.as_buffer(), np.uint64)[:place]
-                less = np.bincount((before & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
-                rest.append(np.where(whole == FULL, FULL, whole - less).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rest, pa.binary())], names=[*kept, "rest"])
+            for head, lo, hi in zip([-1, *top.tolist()], [0, *(top + 1).tolist()], [*top.tolist(), len(place)]):
+                if hi == lo and hi < len(place):
+                    continue  # none of its rows are left
+                if head >= 0:
+                    whole = np.frombuffer(b.column("parts")[head].as_buffer(), np.uint8)
+                    prefix = np.frombuffer(b.column("prefix")[head].as_buffer(), np.uint64)
+                if hi > lo:
+                    rest.append(left_from(place[lo:hi], whole, prefix))
+            if rest:
+                own = np.delete(np.arange(len(place)), top)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(own)) for c in kept), binaries(np.concatenate(rest))], names=[*kept, "rest"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return ordered.mapInArrow(run, f"{fields}, rest binary")
+
+
+def left_from(places: np.ndarray, whole: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """Per place (ascending): ``whole`` without the n-grams of the prefix before that place."""
+    before = prefix[: places[-1]]
+    row = np.searchsorted(places, np.arange(len(before)), "right")  # the first place that an n-gram is before
+    less = np.bincount(row * PARTS + (before & np.uint64(PARTS - 1)).astype(np.int64), minlength=len(places) * PARTS).reshape(-1, PARTS)
+    return np.where(whole == FULL, FULL, whole - np.cumsum(less, axis=0)).astype(np.uint8)
+
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
-    return rows.mapInArrow(run, f"{fields}, rest binary")
+def binaries(rows: np.ndarray) -> pa.Array:
+    """Rows of PARTS bytes as an Arrow column."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * PARTS
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def allowed_pairs(rows: pa.Table, percent: int, best: bool) -> Iterator[pa.RecordBatch]:
-    """(a, b) of whole groups, askers before those that answer: each asker with each other one that the filters allow.
+    """(a, b, gram) of whole groups, those that only ask before those that answer: each asker with each other one that the filters allow.
 
     What two classes share before a list's n-gram is in neither suffix, so later lists that they share seldom tell a pair again.
     """
     gram, i, j, cid, n, place, component = (rows[c].to_numpy() for c in ("gram", "i", "j", "cid", "n", "place", "component"))
-    answers, asks = (rows[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("answers", "asks"))
+    asking, answers, asks = (rows[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("asker", "answers", "asks"))
     rest = np.frombuffer(b"".join(rows["rest"].to_pylist()), np.uint8).reshape(-1, PARTS)
     begun = np.concatenate([[True], (gram[1:] != gram[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     group = np.cumsum(begun) - 1
     ends = np.append(np.flatnonzero(begun)[1:], len(gram))[group]
     first = np.minimum.reduceat(np.where(answers, np.arange(len(gram)), len(gram)), np.flatnonzero(begun))[group]
-    asker = np.flatnonzero(~answers & (first < ends))
+    asker = np.flatnonzero(asking & (first < ends))
     many = (ends - first)[asker]
     stops = np.searchsorted(np.cumsum(many), np.arange(PAIRS, many.sum() + PAIRS, PAIRS), "right") if len(asker) else []
     for lo, hi in zip([0, *stops[:-1]], stops):
@@ -269,21 +352,25 @@ def allowed_pairs(rows: pa.Table, percent: int, best: bool) -> Iterator[pa.Recor
             continue
         x = np.repeat(asker[lo:hi], many[lo:hi])
         y = np.arange(len(x)) - np.repeat(np.cumsum(many[lo:hi]) - many[lo:hi], many[lo:hi]) + np.repeat(first[asker[lo:hi]], many[lo:hi])
+        ok = (component[x] != component[y]) & (~asks[y] | (cid[x] < cid[y])) & near_enough(n[x], place[x], n[y], place[y], percent)
+        x, y = x[ok], y[ok]
         sizes = n[x] + n[y]
         needed = (percent * sizes + 99 + percent) // (100 + percent)
-        ok = (component[x] != component[y]) & (~asks[y] | (cid[x] < cid[y])) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-        ok &= np.minimum(n[x] - place[x], n[y] - place[y]) >= needed
-        x, y, needed, sizes = x[ok], y[ok], needed[ok], sizes[ok]
         both = np.minimum(rest[x], rest[y])
         shared = both.sum(axis=1, dtype=np.int64) + np.where((both == FULL).any(axis=1), sizes, 0)
         ok = shared >= needed
         x, y, spare = x[ok], y[ok], (shared - needed)[ok]
+        untold = np.empty(0, np.int64)
         if best and len(x):
             order = np.lexsort((cid[y], -spare, component[y], x))
             x, y = x[order], y[order]
             first_of = np.concatenate([[True], (x[1:] != x[:-1]) | (component[y][1:] != component[y][:-1])])
+            untold = np.unique(gram[x[~first_of]])
             x, y = x[first_of], y[first_of]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[x], cid[y])), pa.array(np.maximum(cid[x], cid[y]))], names=["a", "b"])
+        pairs, marks = pa.nulls(len(x), pa.int64()), pa.nulls(len(untold), pa.int64())
+        cols = [pa.array(np.minimum(cid[x], cid[y])), pa.array(np.maximum(cid[x], cid[y])), pairs]
+        yield pa.RecordBatch.from_arrays(cols, names=["a", "b", "gram"])
+        yield pa.RecordBatch.from_arrays([marks, marks, pa.array(untold)], names=["a", "b", "gram"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -316,7 +403,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
 
 class Prepared:
-    """The written tables of a join: sketch (rows), classes, lists and the texts of classes that are in lists."""
+    """The written tables of a join: sketch (rows), classes, lists; of classes that are in lists heads (prefix and parts) and texts."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int) -> None:
         text = F.col("text").cast("string")
@@ -327,31 +414,35 @@ class Prepared:
         firsts = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
         grouped = self.sketch.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), rep, *firsts)
         self.classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-        self.lists = materialize(posting_lists(self.classes), "lists")
-        wanted = self.classes.join(self.lists.select("cid").distinct(), "cid", "left_semi").select("cid", "rep.id", F.col("rep.fp").alias("_fp"))
+        self.lists = materialize(posting_lists(self.classes, percent), "lists")
+        self.heads = materialize(self.classes.join(self.lists.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "prefix", "parts"), "heads")
+        wanted = self.heads.select("cid", "rep.id", F.col("rep.fp").alias("_fp"))
         named = rows.select(F.coalesce("doc_id", F.lit(FAR)).alias("id"), F.col("fp").alias("_fp"), "text")
         self.texts = materialize(named.join(wanted, ["id", "_fp"]).groupBy("cid").agg(F.first("text").alias("text")), "texts")
 
-    def links(self, label: DataFrame | None, piece: int, best: bool = False) -> DataFrame:
-        pairs = materialize(pairs_between(self.lists, self.classes, label, self.percent, piece, best), "pairs")
-        return verified(pairs, self.texts, self.width, self.percent)
+    def links(self, lists: DataFrame, label: DataFrame | None, piece: int, best: bool = False) -> tuple[DataFrame, DataFrame]:
+        """(a, b) verified, and what of the lists is not told by that."""
+        told = materialize(pairs_between(lists, self.heads, label, self.percent, piece, best), "pairs")
+        untold = lists.join(told.filter("gram is not null").select("gram").distinct(), "gram", "left_semi")
+        return verified(told.filter("gram is null").select("a", "b"), self.texts, self.width, self.percent), untold
 
 
 def class_links(docs: DataFrame, width: int, percent: int, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
     """(members, links): doc_id and class of every row (null without n-grams), and all links (a, b) between different classes."""
     ready = Prepared(docs, width, percent)
     members = ready.sketch.join(ready.classes.select("digest", "cid"), "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.col("cid").alias("class"))
-    return members, ready.links(None, piece)
+    return members, ready.links(ready.lists, None, piece)[0]
 
 
 def ngram_components(docs: DataFrame, width: int, percent: int, piece: int = PIECE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     ready = Prepared(docs, width, percent)
     tries = materialize(first_tries(ready.lists, percent), "tries")
-    label = components(materialize(verified(tries, ready.texts, width, percent), "links"))
+    label, lists = components(materialize(verified(tries, ready.texts, width, percent), "links")), ready.lists
     for best in (True, False):
         stars = label.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))  # they connect what the links did
-        label = components(materialize(stars.union(ready.links(label, piece, best)), "links"))
+        links, lists = ready.links(lists, label, piece, best)
+        label = components(materialize(stars.union(links), "links"))
     label = label.withColumnRenamed("node", "cid")
     firsts = ready.classes.select("cid", "first_id").join(label, "cid").groupBy("component").agg(F.min("first_id").alias("component_id"))
     firsts = materialize(firsts, "firsts")  # written, so that a join may split the rows of a large component

@@ -189,6 +189,57 @@ def test_positional_filter_never_drops_a_link():
         assert min(len(a) - first[0], len(b) - first[1]) >= -(-80 * (len(a) + len(b)) // 180)
 
 
+def test_lists_keep_only_what_may_link(spark):
+    words = [f"w{k}" for k in range(50)]
+    near = [" ".join(words[:40]), " ".join(words[:42])]  # 37 and 39 n-grams: of the four lists that they share, the last leaves too little
+    unlike = [" ".join(words[:40]), " ".join(words), " ".join(words[37:])]  # 37, 47 and 10 n-grams, each in two texts
+    assert ngramjoin.Prepared(docs_of(spark, near), 4, 85).lists.count() == 2 * 3
+    assert ngramjoin.Prepared(docs_of(spark, unlike), 4, 85).lists.count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 85])
+def test_pairable_rows_against_all_pairs(percent, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "LONG", 12)
+    r = random.Random(percent)
+    rows = np.array(sorted((g - 60, r.randrange(40), r.randrange(1, 60), c) for g in range(120) for c in range(r.choice([1, 1, 2, 3, 12, 13, 40]))))
+    rows = rows[:, [0, 3, 2, 1]].T.copy()  # gram, cid, n, place
+    rows[3] = np.minimum(rows[3], rows[2] - 1)
+
+    def meets(x, y):
+        (n, p), (m, q) = (tuple(rows[2:, k].tolist()) for k in (x, y))
+        return 100 * min(n, m) >= percent * max(n, m) and min(n - p, m - q) >= -(-percent * (n + m) // (100 + percent))
+
+    lists = {g: np.flatnonzero(rows[0] == g).tolist() for g in rows[0].tolist()}
+    want = [x for own in lists.values() for x in own if len(own) > 12 or any(x != y and meets(x, y) for y in own)]
+    for step in (1, 7, 30, 10000):
+        got = np.concatenate(list(ngramjoin.pairable_rows((rows[:, k : k + step] for k in range(0, rows.shape[1], step)), percent)), axis=1)
+        assert got.T.tolist() == rows[:, sorted(want)].T.tolist()
+
+
+def test_first_join_names_the_lists_it_leaves_untold(spark):
+    """A class that may link with two of a component tells one and the list; lists told whole are not joined again."""
+    ready = ngramjoin.Prepared(docs_of(spark, [*copies(25, 1), *copies(12, 2, 130)]), 4, 60)
+    cids = [r["cid"] for r in ready.classes.orderBy("first_id").collect()]
+    label = spark.createDataFrame([(c, cids[0]) for c in cids[:3]], "node long, component long")
+    told = ngramjoin.pairs_between(ready.lists, ready.heads, label, 60, 3, True)
+    whole = {(r["a"], r["b"]) for r in ngramjoin.pairs_between(ready.lists, ready.heads, label, 60, 3).collect()}
+    pairs, left = {(r["a"], r["b"]) for r in told.filter("gram is null").collect()}, told.filter("gram is not null").select("gram")
+    assert pairs < whole and 0 < left.count() < ready.lists.select("gram").distinct().count()
+    again = ngramjoin.pairs_between(ready.lists.join(left, "gram", "left_semi"), ready.heads, label, 60, 3).collect()
+    assert pairs | {(r["a"], r["b"]) for r in again} == whole
+
+
+def test_what_follows_a_place():
+    r = np.random.RandomState(3)
+    for n in (1, 30, 900):
+        grams = r.randint(0, 1 << 60, n).astype(np.uint64) & ~np.uint64(0xF0)  # few parts, so that some are full
+        whole = np.frombuffer(ngramjoin.parts_of(grams), np.uint8)
+        places = np.unique(r.randint(0, n, 9))
+        for place, rest in zip(places, ngramjoin.left_from(places, whole, grams)):
+            less = np.bincount((grams[:place] & np.uint64(255)).astype(np.int64), minlength=256)
+            assert rest.tolist() == np.where(whole == 255, 255, whole - less).tolist()
+
+
 # --- periodic runs
 
 
