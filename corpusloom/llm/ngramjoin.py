@@ -420,11 +420,14 @@ class Prepared:
         named = rows.select(F.coalesce("doc_id", F.lit(FAR)).alias("id"), F.col("fp").alias("_fp"), "text")
         self.texts = materialize(named.join(wanted, ["id", "_fp"]).groupBy("cid").agg(F.first("text").alias("text")), "texts")
 
-    def links(self, lists: DataFrame, label: DataFrame | None, piece: int, best: bool = False) -> tuple[DataFrame, DataFrame]:
-        """(a, b) verified, and what of the lists is not told by that."""
+    def links(self, lists: DataFrame, label: DataFrame | None, piece: int, best: bool = False) -> tuple[DataFrame, DataFrame | None]:
+        """(a, b) verified, and with ``best`` the lists of which that does not tell all."""
         told = materialize(pairs_between(lists, self.heads, label, self.percent, piece, best), "pairs")
-        untold = lists.join(told.filter("gram is not null").select("gram").distinct(), "gram", "left_semi")
-        return verified(told.filter("gram is null").select("a", "b"), self.texts, self.width, self.percent), untold
+        links = verified(told.filter("gram is null").select("a", "b"), self.texts, self.width, self.percent)
+        if not best:
+            return links, None
+        untold = lists.select("gram", "cid", "n", "place").join(told.filter("gram is not null").select("gram").distinct(), "gram", "left_semi")
+        return links, materialize(untold, "untold")  # written, so that joins may split the rows of a long list
 
 
 def class_links(docs: DataFrame, width: int, percent: int, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
