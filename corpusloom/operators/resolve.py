@@ -101,7 +101,7 @@ def adjudicate(texts: DataFrame, edits: DataFrame, key: str, stamp: str) -> Data
     A change applies where ``before`` stands once ('changed'); where it stands nowhere and ``after`` does, the text
     must be what this very table of edits left ('already_applied'), else 'after_without_provenance'; any other count is 'before_guard'.
     'retained' where ``expected`` stands, else 'retain_guard'; 'missing_text' without a text, 'unknown_action' for any other action.
-    provenance: action, category, source (the text before the first change), text, rationale, stamp; kept as it was where the edit fails.
+    provenance: action, category, source (the text before the last change), text, rationale, stamp; kept as it was where the edit fails.
     """
     joined = edits.join(texts.select(key, "text", "provenance"), key, "left")
     t, was = F.col("text"), F.col("provenance")

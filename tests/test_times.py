@@ -8,28 +8,34 @@ from test_queries import rows
 from corpusloom import plans
 
 
-def same_as_sql(spark, folder, name, times, users=3):
-    """The query's rows, which must be those of its SQL; times: one an event, null included."""
-    data = [(i, t, i % users, "view", float(i), "{}") for i, t in enumerate(times)]
-    ev = spark.createDataFrame(data, "event_id long, t string, user_id long, event_type string, value double, props string")
-    ev.select("event_id", F.col("t").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props").coalesce(1).write.parquet(f"{folder}/events.parquet")
+def same_as_sql(spark, folder, name, table, df):
+    """The query's rows on ``df`` as its table, which must be those of its SQL."""
+    df.coalesce(1).write.parquet(f"{folder}/{table}.parquet")
     con = duckdb.connect()
     con.sql("set timezone='UTC'")
-    con.sql(f"create view events as from '{folder}/events.parquet/*.parquet'")
+    con.sql(f"create view {table} as from '{folder}/{table}.parquet/*.parquet'")
     got, want = plans.QUERIES[name](spark, str(folder)), con.sql(plans.ORACLES[name])
-    table = [tuple(r) for r in got.collect()]
-    assert sorted(got.columns) == sorted(want.columns) and rows(got.columns, table) == rows(want.columns, want.fetchall())
-    return table
+    found = got.collect()
+    assert sorted(got.columns) == sorted(want.columns) and rows(got.columns, map(tuple, found)) == rows(want.columns, want.fetchall())
+    return found
+
+
+def events(spark, times, users):
+    """One event a time, null included."""
+    data = [(i, t, i % users, "view", float(i), "{}") for i, t in enumerate(times)]
+    ev = spark.createDataFrame(data, "event_id long, t string, user_id long, event_type string, value double, props string")
+    return ev.select("event_id", F.col("t").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield
+    spark.conf.set("spark.sql.session.timeZone", before)
 
 
-@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_a_part_of_captions_begins_half_a_second_before_its_time(spark, tmp_path, zone):
     edge = ["2024-01-02 23:59:59.499999", "2024-01-02 23:59:59.5", "2024-01-02 23:59:59.500001", "2024-01-02 23:59:59.999999", "2024-01-03 00:00:00", "2024-01-03 00:00:00.5"]
     early = ["1970-01-01 00:00:00", "1969-12-31 23:59:59.4", "1969-12-26 23:59:59.5", "1969-12-26 00:00:00.25", "1969-12-20 12:00:00"]
-    before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", zone)
-    try:
-        got = same_as_sql(spark, tmp_path, "snk4_catalog_captions", [None, *edge, *edge, None, *early, *edge], 2)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", before)
-    assert len(got) == 23
+    assert len(same_as_sql(spark, tmp_path, "snk4_catalog_captions", "events", events(spark, [None, *edge, *edge, None, *early, *edge], 2))) == 23
