@@ -142,7 +142,7 @@ NOW = "2024-02-01 00:00:00"
 @query("evl5_measurement_schedule", f"""SELECT event_id, w AS window_hours, CASE WHEN h > w + t THEN 'missed' WHEN h >= w - t THEN 'due' ELSE 'upcoming' END AS state FROM (SELECT event_id, date_diff('second', ts, TIMESTAMP '{NOW}') / 3600.0 AS h FROM events), (VALUES (24, 6), (72, 12), (168, 24)) v(w, t)""")
 def schedule(read):
     windows = read("events").sparkSession.createDataFrame([(24, 6), (72, 12), (168, 24)], "window_hours int, t int")
-    h = F.timestamp_diff("SECOND", F.col("ts"), F.lit(NOW).cast("timestamp")) / 3600.0
+    h = F.timestamp_diff("SECOND", F.date_trunc("second", F.col("ts")), F.lit(NOW).cast("timestamp")) / 3600.0  # whole seconds of the clock, not of the time between
     rows = read("events").select("event_id", h.alias("h")).crossJoin(F.broadcast(windows))  # three fixed windows
     state = F.when(F.col("h") > F.col("window_hours") + F.col("t"), "missed").when(F.col("h") >= F.col("window_hours") - F.col("t"), "due").otherwise("upcoming")
     return rows.select("event_id", "window_hours", state.alias("state"))

@@ -1,11 +1,14 @@
 """Queries on times against their SQL, on rows at the edges of seconds and parts."""
 
+from datetime import datetime, timedelta
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 from test_queries import rows
 
 from corpusloom import plans
+from corpusloom.plans import metrics
 
 
 def same_as_sql(spark, folder, name, table, df):
@@ -39,3 +42,12 @@ def test_a_part_of_captions_begins_half_a_second_before_its_time(spark, tmp_path
     edge = ["2024-01-02 23:59:59.499999", "2024-01-02 23:59:59.5", "2024-01-02 23:59:59.500001", "2024-01-02 23:59:59.999999", "2024-01-03 00:00:00", "2024-01-03 00:00:00.5"]
     early = ["1970-01-01 00:00:00", "1969-12-31 23:59:59.4", "1969-12-26 23:59:59.5", "1969-12-26 00:00:00.25", "1969-12-20 12:00:00"]
     assert len(same_as_sql(spark, tmp_path, "snk4_catalog_captions", "events", events(spark, [None, *edge, *edge, None, *early, *edge], 2))) == 23
+
+
+def test_a_measurement_is_due_by_whole_seconds_of_the_clock(spark, tmp_path, zone):
+    hours = [h + x for h, t in ((24, 6), (72, 12), (168, 24)) for x in (-t, t)] + [0, 30 * 24, 60 * 366 * 24]
+    now = datetime.fromisoformat(metrics.NOW)
+    near = [timedelta(seconds=s, microseconds=m) for s in (-1, 0, 1) for m in (0, 1, 500000, 999999)]
+    times = [str(now - timedelta(hours=h) + x) for h in hours for x in near] + [None, "2024-02-01 00:00:00.5", "2024-02-09 12:00:00.75"]
+    got = same_as_sql(spark, tmp_path, "evl5_measurement_schedule", "events", events(spark, times, 3))
+    assert len(got) == 3 * len(times) and {r["state"] for r in got} == {"missed", "due", "upcoming"}
